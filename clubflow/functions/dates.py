@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH = "DATE'1970-01-01'"
-
 # Dates are stored modulo 65,536 days, day numbers from 39,969 on
 # stand for days before 1970.
 BIRTHDAY_WRAP_FROM = 39_969
 BIRTHDAY_WRAP_DAYS = 65_536
 
 
+def ntz(value: dt.datetime) -> Column:
+    """A wall clock literal; it stays a constant, so filters on it reach the scan."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(c: Column) -> Column:
     return F.trunc(c, "MM")
 

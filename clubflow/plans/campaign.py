@@ -146,12 +146,14 @@ def campaign_purchases(
     )
     trial = plans.where(F.col("payment_plan_id") == c.TRIAL_PLAN_ID).select("user_id").distinct()
     clicked = tracker.groupBy("user_id").agg(F.max("click_date").alias("_click"))
-    # everything keyed by user is put together once and joined once
-    buyer = (
-        person.join(first_video, "user_id", "full")
-        .join(banner, "user_id", "full")
-        .join(trial.withColumn("_trial", F.lit(True)), "user_id", "full")
-        .join(clicked, "user_id", "full")
+    # the running minimum left the purchases partitioned by user: the five joins
+    # on the user shuffle only their right sides
+    known = (
+        bought.join(person, "user_id", "left")
+        .join(first_video, "user_id", "left")
+        .join(banner, "user_id", "left")
+        .join(trial.withColumn("_trial", F.lit(True)), "user_id", "left")
+        .join(clicked, "user_id", "left")
     )
     new = bought.where(F.col("payment_type") == "new")
     of_new = (
@@ -169,10 +171,9 @@ def campaign_purchases(
         )
     )
     return (
-        bought.join(of_new, "user_payment_plan_id", "left")
+        known.join(of_new, "user_payment_plan_id", "left")
         .join(staff, "_owner", "left")
         .join(refund, "transaction_id", "left")
-        .join(buyer, "user_id", "left")
         .select(
             F.when(F.col("_staff"), c.EMPLOYEE).otherwise(c.CLIENT).alias("if_employee"),
             "transaction_date", "transaction_id", "signed_date", "end_date", "cancel_date",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clubflow import config as c
-from clubflow.functions.dates import minutes_between
+from clubflow.functions.dates import minutes_between, ntz
 from clubflow.operators.ordered import neighbours
 from clubflow.operators.skew import hot_keys
 
@@ -28,7 +28,7 @@ def cohorts(history: DataFrame, discount_id: int | None = None) -> DataFrame:
     kept = history.where(
         F.col("payment_plan_id").isin(*c.DEBT_PLAN_IDS)
         & (F.coalesce("cancel_reason", F.lit("")) != c.EXCLUDED_REASON)
-        & (F.col("updated_at") >= F.lit(c.DEBT_FROM))
+        & (F.col("updated_at") >= ntz(c.DEBT_FROM))
         & (F.coalesce("status", F.lit("")) != "Deleted")
     )
     if discount_id is not None:

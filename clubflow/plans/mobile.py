@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clubflow import config as c
+from clubflow.functions.dates import ntz
 from clubflow.functions.text import json_text
 from clubflow.operators.ordered import group_values
 from clubflow.operators.skew import hot_keys
@@ -90,7 +91,7 @@ def mobile_events(
         "event_name", "event_params", "sex", "name", "last_name", "phone", "email", "birthday",
         "sport_experience", "home_club_id", "club_name", "payment_plan_name", "status",
         "start_date", "end_date", "user_payment_plan_id",
-        F.lit(as_of).cast("timestamp_ntz").alias("updated_at"),
+        ntz(as_of).alias("updated_at"),
     )
 
 
@@ -118,7 +119,7 @@ def mobile_stories(
             "story_id", "slide_id", "header", "showtime", "user_id", "sex", "name", "last_name",
             "phone", "email", "birthday", "sport_experience", "club_name", "payment_plan_name",
             "status", "user_payment_plan_id",
-            F.lit(as_of).cast("timestamp_ntz").alias("updated_at"),
+            ntz(as_of).alias("updated_at"),
         )
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clubflow import config as c
-from clubflow.functions.dates import days_between, month_start, repair_birthday, shift_hours
+from clubflow.functions.dates import days_between, month_start, ntz, repair_birthday, shift_hours
 from clubflow.functions.text import code_label, first_label, split_number
 from clubflow.operators.ordered import first_rows, group_values, neighbours
 from clubflow.operators.skew import hot_keys
@@ -60,7 +60,7 @@ def revenue_monthly(
     )
     stop = dt.datetime.combine(last_day, dt.time(23, 59, 59))
     paid = transactions.where(
-        F.col("updated_at").between(F.lit(dt.datetime.combine(first_day, dt.time())), F.lit(stop))
+        F.col("updated_at").between(ntz(dt.datetime.combine(first_day, dt.time())), ntz(stop))
     ).select(
         "user_id",
         "user_payment_plan_id",
@@ -373,7 +373,7 @@ def subscription_sales(
             "discount_id_tr",
             "code_tr",
             "city_name",
-            F.lit(as_of).cast("timestamp_ntz").alias("updated_at"),
+            ntz(as_of).alias("updated_at"),
         )
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clubflow import config as c
-from clubflow.functions.dates import minutes_between
+from clubflow.functions.dates import minutes_between, ntz
 from clubflow.functions.text import like_any, phone_plus7
 
 
@@ -129,7 +129,7 @@ def trainer_pay(
         "trainer_id",
     )
     classes = (
-        timetables.where(~F.col("is_deleted") & (F.col("start_time") >= F.lit(start)))
+        timetables.where(~F.col("is_deleted") & (F.col("start_time") >= ntz(start)))
         .select(F.col("id").alias("timetable_id"), "group_training_id", "club_id", "start_time", "end_time")
         .join(
             class_employees.select(F.col("group_training_time_table_id").alias("timetable_id"), "employee_id"),

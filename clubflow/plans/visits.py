@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clubflow import config as c
-from clubflow.functions.dates import days_between, repair_birthday, shift_hours
+from clubflow.functions.dates import days_between, ntz, repair_birthday, shift_hours
 from clubflow.operators.flows import explode_hours
 from clubflow.operators.intervals import inside_any
 from clubflow.operators.ordered import neighbours, running
@@ -40,8 +40,8 @@ def occupancy_hourly(
     events = (
         visits.where(
             F.col("event_type").isin(c.EVENT_IN, c.EVENT_OUT)
-            & (F.col("event_date") >= F.lit(date_from - pad))
-            & (F.col("event_date") < F.lit(date_to + pad))
+            & (F.col("event_date") >= ntz(date_from - pad))
+            & (F.col("event_date") < ntz(date_to + pad))
         )
         .join(staff, "user_id", "left_anti")
         .join(round_clock, "club_id", "left_semi")
@@ -66,7 +66,7 @@ def occupancy_hourly(
         )
     )
     hours = explode_hours(spans, "event_date", "end_time", "check_time").where(
-        (F.col("check_time") >= F.lit(date_from)) & (F.col("check_time") < F.lit(date_to))
+        (F.col("check_time") >= ntz(date_from)) & (F.col("check_time") < ntz(date_to))
     )
     # one row per person and hour before the users table is touched
     people = hours.select("club_id", "club_name", "check_time", "user_id").distinct()
@@ -254,7 +254,7 @@ def class_attendance(
     ).select(
         "user_id",
         shift_hours(F.col("signed_date"), shift).alias("_from"),
-        F.when(open_ended, F.lit(dt.datetime(2099, 12, 31)).cast("timestamp_ntz"))
+        F.when(open_ended, ntz(dt.datetime(2099, 12, 31)))
         .otherwise(shift_hours(F.col("end_date"), shift))
         .alias("_to"),
     )
