@@ -383,7 +383,7 @@ _LIFE = """
             count(*) OVER (PARTITION BY user_id) AS n FROM lt),
     top AS (
         SELECT user_id, inflow_club, inflow_club_name, row_number() OVER (PARTITION BY user_id ORDER BY sum(life) DESC, inflow_club) AS r
-        FROM lt GROUP BY ALL),
+        FROM lt GROUP BY user_id, inflow_club, inflow_club_name),
     ua AS (
         SELECT wt.user_id, top.inflow_club AS club_id, top.inflow_club_name AS club_name, max(end_date) AS last_end,
             sum(life)::DOUBLE / CASE WHEN n > 1 AND longs > 1 THEN longs ELSE round(sum(w)) END AS alt
