@@ -52,23 +52,23 @@ def neighbours(
     rows = cut.withColumns(
         {n: F.lag(c).over(w) for n, c in lag.items()}
         | {n: F.lead(c).over(w) for n, c in lead.items()}
-        | {"_head": F.lag(F.lit(1)).over(w).isNull(), "_tail": F.lead(F.lit(1)).over(w).isNull()}
+        | {"_segment_head": F.lag(F.lit(1)).over(w).isNull(), "_segment_tail": F.lead(F.lit(1)).over(w).isNull()}
     )
     edges = cut.groupBy(*keys, SEGMENT).agg(
-        F.min_by(F.struct(F.lit(1).alias("_x"), *[F.col(c).alias(f"e_{n}") for n, c in lead.items()]), by).alias("_first"),
-        F.max_by(F.struct(F.lit(1).alias("_x"), *[F.col(c).alias(f"e_{n}") for n, c in lag.items()]), by).alias("_last"),
+        F.min_by(F.struct(F.lit(1).alias("_segment_x"), *[F.col(c).alias(f"e_{n}") for n, c in lead.items()]), by).alias("_segment_first"),
+        F.max_by(F.struct(F.lit(1).alias("_segment_x"), *[F.col(c).alias(f"e_{n}") for n, c in lag.items()]), by).alias("_segment_last"),
     )
     across = window(keys, [SEGMENT])
     edges = edges.select(
         *keys,
         SEGMENT,
-        F.lag("_last").over(across).alias("_before"),
-        F.lead("_first").over(across).alias("_after"),
+        F.lag("_segment_last").over(across).alias("_segment_before"),
+        F.lead("_segment_first").over(across).alias("_segment_after"),
     )
     joined = attach(rows, edges, keys)
-    fixed = {n: F.when(F.col("_head"), F.col(f"_before.e_{n}")).otherwise(F.col(n)) for n in lag}
-    fixed |= {n: F.when(F.col("_tail"), F.col(f"_after.e_{n}")).otherwise(F.col(n)) for n in lead}
-    return joined.withColumns(fixed).drop("_head", "_tail", "_before", "_after", SEGMENT)
+    fixed = {n: F.when(F.col("_segment_head"), F.col(f"_segment_before.e_{n}")).otherwise(F.col(n)) for n in lag}
+    fixed |= {n: F.when(F.col("_segment_tail"), F.col(f"_segment_after.e_{n}")).otherwise(F.col(n)) for n in lead}
+    return joined.withColumns(fixed).drop("_segment_head", "_segment_tail", "_segment_before", "_segment_after", SEGMENT)
 
 
 def row_numbers(
@@ -83,13 +83,13 @@ def row_numbers(
         return df.withColumn(name, F.row_number().over(window(keys, order)))
     cut = segmented(df, keys, order[0], hot)
     rows = cut.withColumn(name, F.row_number().over(window([*keys, SEGMENT], order)).cast("long"))
-    sizes = cut.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_segment_n"))
     before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, SEGMENT, F.sum("_n").over(before).alias("_offset"))
+    offsets = sizes.select(*keys, SEGMENT, F.sum("_segment_n").over(before).alias("_segment_offset"))
     return (
         attach(rows, offsets, keys)
-        .withColumn(name, F.col(name) + F.coalesce("_offset", F.lit(0)))
-        .drop("_offset", SEGMENT)
+        .withColumn(name, F.col(name) + F.coalesce("_segment_offset", F.lit(0)))
+        .drop("_segment_offset", SEGMENT)
     )
 
 
@@ -142,19 +142,19 @@ def running(
     by = _rank_key(order)
     rows = cut.withColumns({n: _RUNNING[k][0](c).over(w) for n, (k, c) in values.items()})
     sums = cut.groupBy(*keys, SEGMENT).agg(
-        *[_RUNNING[k][1](c, by).alias(f"_t_{n}") for n, (k, c) in values.items()]
+        *[_RUNNING[k][1](c, by).alias(f"_segment_t_{n}") for n, (k, c) in values.items()]
     )
     before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)
     carry = sums.select(
         *keys,
         SEGMENT,
-        *[_RUNNING[k][2](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (k, _) in values.items()],
+        *[_RUNNING[k][2](f"_segment_t_{n}").over(before).alias(f"_segment_c_{n}") for n, (k, _) in values.items()],
     )
-    merged = {n: _RUNNING[k][3](F.col(f"_c_{n}"), F.col(n)) for n, (k, _) in values.items()}
+    merged = {n: _RUNNING[k][3](F.col(f"_segment_c_{n}"), F.col(n)) for n, (k, _) in values.items()}
     return (
         attach(rows, carry, keys)
         .withColumns(merged)
-        .drop(*[f"_c_{n}" for n in values], SEGMENT)
+        .drop(*[f"_segment_c_{n}" for n in values], SEGMENT)
     )
 
 

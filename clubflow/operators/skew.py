@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from clubflow.session import materialize, rows_per_segment
 
+#: Helper columns start with this prefix and are dropped again.
 SEGMENT = "_segment"
-_LO, _HI, _PARTS = "_lo", "_hi", "_parts"
+_LO, _HI, _PARTS = "_segment_lo", "_segment_hi", "_segment_parts"
 
 
 def position(df: DataFrame, name: str) -> Column:
@@ -59,10 +60,10 @@ def segmented(
     df: DataFrame, keys: Sequence[str], along: str, hot: DataFrame
 ) -> DataFrame:
     """Add ``_segment``: 0 for ordinary keys, 0..n along the order for hot ones."""
-    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], _LO, _HI, _PARTS)
+    marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys], _LO, _HI, _PARTS)
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_segment_hot_{k}"))
     at = position(df, along)
     part = F.floor((at - F.col(_LO)) / (F.col(_HI) - F.col(_LO) + 1) * F.col(_PARTS))
     segment = (
@@ -73,15 +74,15 @@ def segmented(
     )
     cut = df.join(F.broadcast(marks), same, "left").withColumn(SEGMENT, segment)
     # read twice below (rows and summaries), so it is written once
-    return materialize(cut.drop(*[f"_hot_{k}" for k in keys], _LO, _HI, _PARTS))
+    return materialize(cut.drop(*[f"_segment_hot_{k}" for k in keys], _LO, _HI, _PARTS))
 
 
 def attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join one summary row to every row of its (key, segment)."""
     right = summary.select(
-        *[F.col(c).alias(f"_s_{c}") if c in (*keys, SEGMENT) else F.col(c) for c in summary.columns]
+        *[F.col(c).alias(f"_segment_of_{c}") if c in (*keys, SEGMENT) else F.col(c) for c in summary.columns]
     )
-    same = F.col(SEGMENT) == F.col(f"_s_{SEGMENT}")
+    same = F.col(SEGMENT) == F.col(f"_segment_of_{SEGMENT}")
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return rows.join(right, same, "left").drop(*[f"_s_{k}" for k in (*keys, SEGMENT)])
+        same = same & F.col(k).eqNullSafe(F.col(f"_segment_of_{k}"))
+    return rows.join(right, same, "left").drop(*[f"_segment_of_{k}" for k in (*keys, SEGMENT)])

@@ -148,6 +148,7 @@ def compact(
     overwrite_partitions(materialize(latest(recent, [partition, *keys], version)), path, partition)
 
 
-def loaded_count(spark: SparkSession, path: str, column: str, above: int) -> int:
-    """Rows loaded above a watermark."""
-    return spark.read.parquet(path).where(F.col(column) > above).count()
+def loaded_rows(spark: SparkSession, path: str, column: str, above) -> DataFrame:
+    """Number of rows loaded above a watermark (an id or a date), as one row ``loaded``."""
+    kept = spark.read.parquet(path).where(F.col(column) > F.lit(above))
+    return kept.agg(F.count(F.lit(1)).alias("loaded"))
