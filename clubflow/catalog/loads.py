@@ -61,7 +61,7 @@ def _full_replace(t: Tables):
 )
 def _ctas(t: Tables):
     path = new_table_path(t.spark, "ctas")
-    load.create_as(_orders(t).limit(0), path, ["o_custkey", "o_orderkey"])
+    load.create_as(_orders(t).where(F.col("o_orderstatus") == "O"), path, ["o_custkey", "o_orderkey"])
     load.create_as(_orders(t), path, ["o_custkey", "o_orderkey"])
     return load.read_target(t.spark, path)
 

@@ -17,6 +17,14 @@ def fold_city(name: Column) -> Column:
     return F.when(name.isin(*c.METRO_SATELLITES), c.METRO_CITY).otherwise(name)
 
 
+def club_city(club: Column, brand: str) -> Column:
+    """City in a club name of the form '<brand> <city> …'; '' when there is none.
+
+    The Cyrillic letter that looks like X is read as X.
+    """
+    return F.regexp_extract(F.replace(club, F.lit("Х"), F.lit("X")), rf"^{brand} ([\p{{L}}-]+)", 1)
+
+
 def _filled(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
