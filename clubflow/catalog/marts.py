@@ -390,7 +390,7 @@ _LIFE = """
         FROM wt JOIN top ON top.user_id = wt.user_id AND top.r = 1
         GROUP BY wt.user_id, top.inflow_club, top.inflow_club_name, n, longs),
     life AS (
-        SELECT CAST(date_trunc('month', last_end) AS DATE) AS date, club_id, club_name, round_even(avg(ua.alt), 0) AS alt
+        SELECT CAST(date_trunc('month', last_end) AS DATE) AS date, club_id, club_name, round_even(CAST(sum(CAST(ua.alt AS DECIMAL(28,9))) AS DOUBLE) / count(*), 0) AS alt
         FROM ua WHERE ua.alt > 0 GROUP BY 1, 2, 3)"""
 
 _MONTHS = "SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS date"

@@ -19,6 +19,11 @@ def round_even(c: Column, places: int = 0) -> Column:
 def exact_quantile(values: Column, p: float) -> Column:
     """Element floor(p * n) of the sorted array, no interpolation; NULLs are not counted."""
     present = F.array_sort(F.filter(values, lambda x: x.isNotNull()))
-    last = F.size(present) - 1
-    at = F.least(F.floor(F.lit(p) * F.size(present)).cast("int"), last)
-    return F.try_element_at(present, at + 1)
+    n = F.size(present)
+    at = F.least(F.floor(F.lit(p) * n).cast("int"), n - 1)
+    return F.when(n > 0, F.try_element_at(present, at + 1))
+
+
+def exact_mean(c: Column, places: int = 9) -> Column:
+    """Mean of doubles through decimals: the same result in whatever order rows arrive."""
+    return ratio(F.sum(c.cast(f"decimal(28,{places})")), F.count(c))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clubflow import config as c
 from clubflow.functions.dates import days_between, month_start, months_between
-from clubflow.functions.numbers import ratio, round_even
+from clubflow.functions.numbers import exact_mean, ratio, round_even
 from clubflow.operators.flows import full_join, month_grid, monthly_sum, zero
 from clubflow.operators.ordered import neighbours, running
 from clubflow.operators.skew import hot_keys
@@ -72,7 +72,7 @@ def lifetime(flows: DataFrame) -> DataFrame:
             F.col("main.inflow_club").alias("club_id"),
             F.col("main.inflow_club_name").alias("club_name"),
         )
-        .agg(round_even(F.avg("alt"), 0).alias("alt"))
+        .agg(round_even(exact_mean(F.col("alt")), 0).alias("alt"))
     )
 
 
