@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clubflow.catalog.standins import table, with_tables
-from clubflow.session import prepare
+from clubflow.catalog.standins import Tables, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,16 +27,6 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-class Tables:
-    """Tables of one data folder by attribute: ``t.orders``, ``t.plans``, …"""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
-
-
 def query(
     name: str,
     sql: str | None = None,
@@ -53,7 +42,6 @@ def query(
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark)
             return present(fn(Tables(spark, sf_dir)))
 
         run.__name__ = name

@@ -308,14 +308,26 @@ def _base_names(text: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}", text)))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a stand-in as a DataFrame."""
-    prepare(spark)
-    if name in BASE:
-        return scan_table(spark, f"{sf_dir}/{name}.parquet")
-    text = TABLES[name]
-    sources = {n: scan_table(spark, f"{sf_dir}/{n}.parquet") for n in _base_names(text)}
-    return spark.sql(text.replace("[q]", "`"), **sources)
+class Tables:
+    """Given tables and stand-ins of one folder by attribute: ``t.orders``, ``t.plans``, …
+
+    Each is opened once, so one query reads every file footer once.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = prepare(spark), sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in BASE:
+            found = scan_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        elif name in TABLES:
+            text = TABLES[name]
+            sources = {n: getattr(self, n) for n in _base_names(text)}
+            found = self.spark.sql(text.replace("[q]", "`"), **sources)
+        else:
+            raise AttributeError(name)
+        self.__dict__[name] = found
+        return found
 
 
 def with_tables(sql: str, *names: str) -> str:

@@ -146,9 +146,9 @@ def _running_min(t: Tables):
         CAST(sum(CAST(value AS DECIMAL(18,2))) OVER p AS DOUBLE) AS total FROM events WINDOW p AS (PARTITION BY user_id)""",
 )
 def _partition_agg(t: Tables):
-    rows, hot = _events(t, "value", F.col("value").cast("decimal(18,2)").alias("_v"))
+    rows = t.events.select("event_id", "user_id", "value", F.col("value").cast("decimal(18,2)").alias("_v"))
     values = {"top": ("max", "value"), "n": ("count", "event_id"), "total": ("sum", "_v")}
-    return group_values(rows, USER, values, hot=hot, along="ts").select("event_id", "user_id", "top", "n", "total")
+    return group_values(rows, USER, values).select("event_id", "user_id", "top", "n", "total")
 
 
 @query(
@@ -157,8 +157,7 @@ def _partition_agg(t: Tables):
 )
 def _is_last(t: Tables):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    hot = hot_keys(rows, ["o_custkey"], "o_orderdate")
-    out = group_values(rows, ["o_custkey"], {"_last": ("max", "o_orderdate")}, hot=hot, along="o_orderdate")
+    out = group_values(rows, ["o_custkey"], {"_last": ("max", "o_orderdate")})
     return out.select("o_orderkey", F.when(F.col("o_orderdate") == F.col("_last"), 1).otherwise(0).alias("is_last"))
 
 

@@ -40,31 +40,36 @@ def inside_any(
     )
 
 
-def _nodes(start: Column, end: Column) -> Column:
-    """Tree nodes that together make up the closed day range."""
-    lo = F.greatest(F.unix_date(start), F.lit(0))
-    hi = F.least(F.unix_date(end), F.lit(2**LEVELS - 1)) + 1
-
-    def at_level(j: Column) -> Column:
-        width = F.pow(F.lit(2), j)
-        left, right = F.ceil(lo / width), F.floor(hi / width)
-        node = lambda index, used: F.when(
-            (left < right) & used, F.struct(j.alias("level"), index.alias("index"))
-        )
-        return F.array(node(left, left % 2 == 1), node(right - 1, right % 2 == 1))
-
-    levels = F.sequence(F.lit(0), F.lit(LEVELS))
-    return F.filter(F.flatten(F.transform(levels, at_level)), lambda n: n.isNotNull())
-
-
-def _ancestors(day: Column) -> Column:
-    levels = F.sequence(F.lit(0), F.lit(LEVELS))
-    return F.transform(
-        levels,
-        lambda j: F.struct(
-            j.alias("level"), F.floor(F.unix_date(day) / F.pow(F.lit(2), j)).alias("index")
-        ),
+def _leaf(day: Column) -> Column:
+    """Tree number of a day; node n has the children 2n and 2n + 1."""
+    return F.least(F.greatest(F.unix_date(day), F.lit(0)), F.lit(2**LEVELS - 1)) + 2**LEVELS
+
+
+def _with_nodes(df: DataFrame, start: str, end: str) -> DataFrame:
+    """One row per tree node of the closed day range; the nodes are disjoint and cover it."""
+    spans = df.withColumns({"_l": _leaf(F.col(start)), "_r": _leaf(F.col(end)) + 1}).withColumn(
+        "_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))
+    )
+    ends = spans.withColumns(
+        {
+            "_left": F.expr("shiftright(_l + shiftleft(1, _level) - 1, _level)"),
+            "_right": F.expr("shiftright(_r, _level)"),
+        }
+    ).where(F.col("_left") < F.col("_right"))
+    odd = lambda name: F.col(name) % 2 == 1
+    picked = F.array(F.when(odd("_left"), F.col("_left")), F.when(odd("_right"), F.col("_right") - 1))
+    return (
+        ends.withColumn("_node", F.explode(picked))
+        .where(F.col("_node").isNotNull())
+        .drop("_l", "_r", "_level", "_left", "_right")
+    )
+
+
+def _with_ancestors(df: DataFrame, day: str) -> DataFrame:
+    levels = df.withColumns(
+        {"_leaf": _leaf(F.col(day)), "_level": F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))}
     )
+    return levels.withColumn("_node", F.expr("shiftright(_leaf, _level)")).drop("_leaf", "_level")
 
 
 def max_over_covering(
@@ -85,14 +90,13 @@ def max_over_covering(
     number of rows a key has.
     """
     nodes = (
-        intervals.where(F.col(start) <= F.col(end))
-        .withColumn("_node", F.explode(_nodes(F.col(start), F.col(end))))
+        _with_nodes(intervals.where(F.col(start) <= F.col(end)), start, end)
         .groupBy(*keys, "_node")
         .agg(*[F.max(c).alias(n) for n, c in values.items()])
     )
     days = points.select(*keys, F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct()
     best = (
-        days.withColumn("_node", F.explode(_ancestors(F.col("_day"))))
+        _with_ancestors(days, "_day")
         .join(nodes, [*keys, "_node"])
         .groupBy(*keys, "_day")
         .agg(*[F.max(n).alias(n) for n in values])

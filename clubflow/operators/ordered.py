@@ -162,26 +162,20 @@ _TOTAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
 def group_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: Mapping[str, tuple[str, str]],
-    hot: DataFrame | None = None,
-    along: str | None = None,
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
-    """Add whole-group sum/count/min/max to every row: ``{new: (kind, source)}``."""
-    if hot is None:
-        w = Window.partitionBy(*keys)
-        return df.withColumns({n: _TOTAL[k](c).over(w) for n, (k, c) in values.items()})
-    cut = segmented(df, keys, along or keys[0], hot)
-    parts = cut.groupBy(*keys, SEGMENT).agg(
-        *[_TOTAL[k](c).alias(n) for n, (k, c) in values.items()]
-    )
-    w = Window.partitionBy(*keys)
-    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-    totals = parts.select(
-        *keys, SEGMENT, *[merge[k](n).over(w).alias(n) for n, (k, _) in values.items()]
-    )
-    return attach(cut, totals, keys).drop(SEGMENT)
+    """Add whole-group sum/count/min/max to every row: ``{new: (kind, source)}``.
+
+    An aggregate joined back, not a window: groups are reduced before their
+    shuffle, and the join has one row per key on its right side, so adaptive
+    execution can split a large key on its left.
+    """
+    named = [F.col(k).alias(f"_group_{k}") for k in keys]
+    totals = df.groupBy(*named).agg(*[_TOTAL[k](c).alias(n) for n, (k, c) in values.items()])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_group_{k}"))
+    return df.join(totals, same, "left").drop(*[f"_group_{k}" for k in keys])
 
 
 def first_rows(

@@ -113,10 +113,16 @@ def campaign_purchases(
         .join(campaign, "user_payment_plan_id")
         .join(gates.select(F.col("id").alias("gate_id"), F.col("name").alias("gate_name")), "gate_id")
     )
-    by_plan = hot_keys(transactions, ["user_payment_plan_id"], "created_at")
-    ranked = row_numbers(paid, ["user_payment_plan_id"], ["_created", "transaction_id"], "_rank", hot=by_plan)
-    dated = ranked.where(F.to_date("transaction_date") >= F.lit(start)).withColumn(
-        "payment_type", F.when(F.col("_rank") == 1, "new").otherwise("repeat")
+    first_of_plan = paid.groupBy(F.col("user_payment_plan_id")).agg(
+        F.min_by("transaction_id", F.struct("_created", "transaction_id")).alias("_first_of_plan")
+    )
+    dated = (
+        paid.join(first_of_plan, "user_payment_plan_id")
+        .where(F.to_date("transaction_date") >= F.lit(start))
+        .withColumn(
+            "payment_type",
+            F.when(F.col("transaction_id") == F.col("_first_of_plan"), "new").otherwise("repeat"),
+        )
     )
     by_user = hot_keys(transactions, ["user_id"], "id")
     bought = running(

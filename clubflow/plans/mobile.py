@@ -11,7 +11,6 @@ from clubflow import config as c
 from clubflow.functions.dates import ntz
 from clubflow.functions.text import json_text
 from clubflow.operators.ordered import group_values
-from clubflow.operators.skew import hot_keys
 
 
 def event_user(parameters: Column) -> Column:
@@ -69,10 +68,7 @@ def mobile_events(
         F.col("EventParameters").alias("event_params"),
         event_user(F.col("EventParameters")).alias("_seen"),
     )
-    hot = hot_keys(ranged, ["device_id"], "event_datetime")
-    known = group_values(
-        ranged, ["device_id"], {"user_id": ("max", "_seen")}, hot=hot, along="event_datetime"
-    ).drop("_seen")
+    known = group_values(ranged, ["device_id"], {"user_id": ("max", "_seen")}).drop("_seen")
     # dimensions are assembled per user first, so events meet one table
     club = clubs.select(F.col("id").alias("home_club_id"), F.col("name").alias("club_name"))
     person = users.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clubflow import config as c
 from clubflow.functions.dates import days_between, month_start, ntz, repair_birthday, shift_hours
 from clubflow.functions.text import code_label, first_label, split_number
-from clubflow.operators.ordered import first_rows, group_values, neighbours
+from clubflow.operators.ordered import first_rows, neighbours
 from clubflow.operators.skew import hot_keys
 
 
@@ -424,16 +424,18 @@ def inflow_outflow_marketing(
         .select("first_id", "code")
     )
     hot = hot_keys(flows, ["user_id"], "start_date")
-    base = group_values(flows, ["user_id"], {"_last_start": ("max", "start_date")}, hot=hot, along="start_date")
     running_on = F.col("last_id") == -1
     gone = F.col("_open_id").isNull() & F.col("end_date").isNull()
     joined = (
-        base.drop("last_name")
+        # joins on the user come last: the grouping and the window below then
+        # find the rows already partitioned by user
+        flows.drop("last_name")
+        .join(sale, "first_id", "left")
+        .join(code, "first_id", "left")
         .join(users.select(F.col("id").alias("user_id"), "last_name"), "user_id", "left")
         .join(live, "user_id", "left")
         .join(ended, "user_id", "left")
-        .join(sale, "first_id", "left")
-        .join(code, "first_id", "left")
+        .join(flows.groupBy("user_id").agg(F.max("start_date").alias("_last_start")), "user_id", "left")
         .select(
             "user_id", "name", "last_name", "phone", "email", "birthday", "sex", "first_id",
             F.when(running_on, F.col("_open_id")).otherwise(F.col("last_id")).alias("last_id"),

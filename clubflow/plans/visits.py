@@ -37,18 +37,18 @@ def occupancy_hourly(
     round_clock = clubs.where(
         F.get_json_object("open_hours", "$.is_open_all_day") == "true"
     ).select(F.col("id").alias("club_id"))
+    ranged = visits.where(
+        F.col("event_type").isin(c.EVENT_IN, c.EVENT_OUT)
+        & (F.col("event_date") >= ntz(date_from - pad))
+        & (F.col("event_date") < ntz(date_to + pad))
+    )
     events = (
-        visits.where(
-            F.col("event_type").isin(c.EVENT_IN, c.EVENT_OUT)
-            & (F.col("event_date") >= ntz(date_from - pad))
-            & (F.col("event_date") < ntz(date_to + pad))
-        )
-        .join(staff, "user_id", "left_anti")
+        ranged.join(staff, "user_id", "left_anti")
         .join(round_clock, "club_id", "left_semi")
         .select("user_id", "club_id", "club_name", "event_type", "event_date")
         .distinct()
     )
-    hot = hot_keys(events, ["user_id", "club_id"], "event_date")
+    hot = hot_keys(ranged, ["user_id", "club_id"], "event_date")
     spans = (
         neighbours(
             events,

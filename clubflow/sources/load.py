@@ -83,7 +83,7 @@ def replace_range(
     new = materialize(df.where(inside))
     target = read_target(spark, path)
     if target is None:
-        new.write.mode("overwrite").partitionBy(partition).parquet(path)
+        overwrite_partitions(new, path, partition)
         return
     touched = target.where(inside).select(partition).union(new.select(partition)).distinct()
     outside = target.where(~F.coalesce(inside, F.lit(False)))
@@ -98,9 +98,13 @@ def replace_range(
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace exactly the partitions present in ``df``."""
+    """Replace exactly the partitions present in ``df``.
+
+    The rebalance hint groups rows by partition value, merges small groups into
+    one task and splits large ones, so file sizes follow the data.
+    """
     (
-        df.repartition(F.col(partition), F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+        df.hint("rebalance", F.col(partition))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
