@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from clubflow.operators.skew import SEGMENT, attach, segmented
+from clubflow.operators.skew import SEGMENT, attach, of_hot_keys, segmented
 
 
 def _sorted(order: Sequence[str]) -> list[Column]:
@@ -54,7 +54,7 @@ def neighbours(
         | {n: F.lead(c).over(w) for n, c in lead.items()}
         | {"_segment_head": F.lag(F.lit(1)).over(w).isNull(), "_segment_tail": F.lead(F.lit(1)).over(w).isNull()}
     )
-    edges = cut.groupBy(*keys, SEGMENT).agg(
+    edges = of_hot_keys(cut).groupBy(*keys, SEGMENT).agg(
         F.min_by(F.struct(F.lit(1).alias("_segment_x"), *[F.col(c).alias(f"e_{n}") for n, c in lead.items()]), by).alias("_segment_first"),
         F.max_by(F.struct(F.lit(1).alias("_segment_x"), *[F.col(c).alias(f"e_{n}") for n, c in lag.items()]), by).alias("_segment_last"),
     )
@@ -83,7 +83,7 @@ def row_numbers(
         return df.withColumn(name, F.row_number().over(window(keys, order)))
     cut = segmented(df, keys, order[0], hot)
     rows = cut.withColumn(name, F.row_number().over(window([*keys, SEGMENT], order)).cast("long"))
-    sizes = cut.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_segment_n"))
+    sizes = of_hot_keys(cut).groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_segment_n"))
     before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, SEGMENT, F.sum("_segment_n").over(before).alias("_segment_offset"))
     return (
@@ -141,7 +141,7 @@ def running(
     w = window([*keys, SEGMENT], order).rowsBetween(*frame)
     by = _rank_key(order)
     rows = cut.withColumns({n: _RUNNING[k][0](c).over(w) for n, (k, c) in values.items()})
-    sums = cut.groupBy(*keys, SEGMENT).agg(
+    sums = of_hot_keys(cut).groupBy(*keys, SEGMENT).agg(
         *[_RUNNING[k][1](c, by).alias(f"_segment_t_{n}") for n, (k, c) in values.items()]
     )
     before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)

@@ -59,7 +59,7 @@ def hot_keys(
 def segmented(
     df: DataFrame, keys: Sequence[str], along: str, hot: DataFrame
 ) -> DataFrame:
-    """Add ``_segment``: 0 for ordinary keys, 0..n along the order for hot ones."""
+    """Add ``_segment``: 0 for ordinary keys, 1, 2, … along the order for hot ones."""
     marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys], _LO, _HI, _PARTS)
     same = F.lit(True)
     for k in keys:
@@ -68,8 +68,9 @@ def segmented(
     part = F.floor((at - F.col(_LO)) / (F.col(_HI) - F.col(_LO) + 1) * F.col(_PARTS))
     segment = (
         F.when(F.col(_PARTS).isNull(), F.lit(0))
+        # NULLs come last; values beyond the counted span join the nearest segment
         .when(at.isNull(), F.col(_PARTS) + 1)
-        .otherwise(F.coalesce(part, F.lit(0)))
+        .otherwise(F.least(F.greatest(F.coalesce(part, F.lit(0)) + 1, F.lit(1)), F.col(_PARTS)))
         .cast("long")
     )
     cut = df.join(F.broadcast(marks), same, "left").withColumn(SEGMENT, segment)
@@ -77,6 +78,11 @@ def segmented(
     return materialize(cut.drop(*[f"_segment_hot_{k}" for k in keys], _LO, _HI, _PARTS))
 
 
+def of_hot_keys(cut: DataFrame) -> DataFrame:
+    """Rows of split keys: only these need summaries."""
+    return cut.where(F.col(SEGMENT) > 0)
+
+
 def attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join one summary row to every row of its (key, segment)."""
     right = summary.select(

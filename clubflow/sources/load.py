@@ -80,11 +80,11 @@ def replace_range(
     spark = df.sparkSession
     value = F.col(column)
     inside = (value >= F.lit(lo)) & ((value <= F.lit(hi)) if closed else (value < F.lit(hi)))
-    new = materialize(df.where(inside))
     target = read_target(spark, path)
     if target is None:
-        overwrite_partitions(new, path, partition)
+        overwrite_partitions(df.where(inside), path, partition)
         return
+    new = materialize(df.where(inside))
     touched = target.where(inside).select(partition).union(new.select(partition)).distinct()
     outside = target.where(~F.coalesce(inside, F.lit(False)))
     # held apart before its own partitions are overwritten
