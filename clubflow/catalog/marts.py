@@ -7,6 +7,7 @@ import datetime as dt
 from clubflow import config as c
 from clubflow.catalog.registry import Tables, query
 from clubflow.plans import anomalies, campaign, cohorts, mobile, money, trainers, tree, visits
+from clubflow.session import materialize
 
 START = dt.date(1995, 1, 1)
 AS_OF = dt.date(2001, 12, 1)
@@ -520,7 +521,7 @@ _PAIRED = ", ".join(f'b."{n}" AS "{n}_2"' for n in ("year", "club_id", "club_nam
     SELECT a.*, {_PAIRED} FROM one a LEFT JOIN one b ON month(a.date) = month(b.date)""",
 )
 def _metrics_year(t: Tables):
-    return tree.metrics_year(_month_tree(t), t.clubs, START, AS_OF)
+    return tree.metrics_year(materialize(_month_tree(t)), t.clubs, START, AS_OF)
 
 
 # --------------------------------------------------------------------------- anomalies
@@ -840,7 +841,8 @@ _COVER = ("payment_plan", "gate_name", "if_employee", "discount_name", "discount
         nn.duration_by_qty_rows, nn.max_duration, nn.is_completed, nn.stars, nn.difficulty, nn.comment, vid.max_rewatch, vid.more""",
 )
 def _video_rewatch(t: Tables):
-    return campaign.video_rewatch(t.video_history, t.videos, _purchases(t))
+    # purchases are a stored table to this mart, as in production
+    return campaign.video_rewatch(t.video_history, t.videos, materialize(_purchases(t)))
 
 
 # --------------------------------------------------------------------------- trainers

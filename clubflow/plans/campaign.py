@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clubflow import config as c
 from clubflow.functions.dates import days_between, repair_birthday, shift_hours
 from clubflow.operators.intervals import max_over_covering
-from clubflow.operators.ordered import first_rows, row_numbers, running, sessions
+from clubflow.operators.ordered import first_rows, running, sessions
 from clubflow.operators.skew import hot_keys
+from clubflow.session import materialize
 
 
 def staff_users(plans: DataFrame, employees: DataFrame) -> DataFrame:
@@ -27,8 +28,9 @@ def main_plan_by_day(
     inflow_plan_ids: DataFrame,
     payment_plans: DataFrame,
     discounts: DataFrame,
+    buyers: DataFrame,
 ) -> DataFrame:
-    """The main plan a user paid for on a day."""
+    """The main plan each of the ``buyers`` paid for on a day."""
     paid = transactions.where(F.col("provider_id").isin(*c.FIRST_PAYMENT_PROVIDERS)).select(
         F.col("user_payment_plan_id").alias("id"), F.to_date("updated_at").alias("main_pp_date")
     )
@@ -40,6 +42,7 @@ def main_plan_by_day(
         )
         .select("id", "user_id", "payment_plan_id", "discount_id")
         .join(wanted, "payment_plan_id", "left_semi")
+        .join(buyers.select("user_id"), "user_id", "left_semi")
         .join(paid, "id")
         .groupBy("user_id", "main_pp_date")
         .agg(
@@ -102,6 +105,7 @@ def campaign_purchases(
         .join(clubs.select(F.col("id").alias("club_id"), F.col("name").alias("club_name")), "club_id")
         .drop("club_id")
     )
+    gate = gates.select(F.col("id").alias("gate_id"), F.col("name").alias("gate_name"))
     paid = (
         transactions.where(F.col("provider_id").isin(*c.CAMPAIGN_PROVIDERS))
         .select(
@@ -110,15 +114,47 @@ def campaign_purchases(
             F.col("created_at").alias("_created"),
             "user_id", "user_payment_plan_id", "provider_id", "type", "total_amount", "discount_id", "gate_id",
         )
-        .join(campaign, "user_payment_plan_id")
-        .join(gates.select(F.col("id").alias("gate_id"), F.col("name").alias("gate_name")), "gate_id")
+        .join(gate, "gate_id")
+    )
+    # the first payment of every campaign plan, with what is attributed to the plan through it
+    first = (
+        paid.join(campaign.select("user_payment_plan_id"), "user_payment_plan_id", "left_semi")
+        .groupBy("user_payment_plan_id")
+        .agg(
+            F.min_by(
+                F.struct("transaction_id", "user_id", "discount_id", F.to_date("transaction_date").alias("day")),
+                F.struct("_created", "transaction_id"),
+            ).alias("_row")
+        )
+        .select(
+            "user_payment_plan_id",
+            F.col("_row.transaction_id").alias("_first_of_plan"),
+            F.col("_row.user_id").alias("user_id"),
+            F.col("_row.discount_id").alias("discount_id"),
+            F.col("_row.day").alias("main_pp_date"),
+        )
     )
-    first_of_plan = paid.groupBy(F.col("user_payment_plan_id")).agg(
-        F.min_by("transaction_id", F.struct("_created", "transaction_id")).alias("_first_of_plan")
+    discount = discounts.select(F.col("id").alias("discount_id"), F.col("name").alias("_discount"))
+    main = main_plan_by_day(plans, transactions, inflow_plan_ids, payment_plans, discounts, first)
+    counted = F.col("main_pp_date") >= F.lit(start)
+    of_plan = (
+        first.join(main, ["user_id", "main_pp_date"], "left")
+        .join(discount, "discount_id", "left")
+        .select(
+            "user_payment_plan_id",
+            "_first_of_plan",
+            # a plan whose first payment lies before the campaign gets no attributes
+            *[
+                F.when(counted, F.col(n)).alias(n)
+                for n in ("user_payment_plan_id_main", "user_payment_plan_name_main", "discount_name_main")
+            ],
+            F.when(counted, F.coalesce(F.nullif(F.col("_discount"), F.lit("")), F.lit("-"))).alias("discount_name"),
+        )
     )
     dated = (
-        paid.join(first_of_plan, "user_payment_plan_id")
-        .where(F.to_date("transaction_date") >= F.lit(start))
+        paid.where(F.to_date("transaction_date") >= F.lit(start))
+        .join(campaign, "user_payment_plan_id")
+        .join(of_plan, "user_payment_plan_id")
         .withColumn(
             "payment_type",
             F.when(F.col("transaction_id") == F.col("_first_of_plan"), "new").otherwise("repeat"),
@@ -129,7 +165,6 @@ def campaign_purchases(
         dated, ["user_id"], ["transaction_id"], {"min_transaction_date": ("min", "transaction_date")}, hot=by_user
     )
     staff = staff_users(plans, employees).select(F.col("user_id").alias("_owner"), F.lit(True).alias("_staff"))
-    discount = discounts.select(F.col("id").alias("discount_id"), F.col("name").alias("_discount"))
     refund = transactions.where(F.col("type") == "refund").select(
         F.col("payment_transaction_id").alias("transaction_id"),
         F.col("id").alias("return_transaction"),
@@ -161,24 +196,8 @@ def campaign_purchases(
         .join(trial.withColumn("_trial", F.lit(True)), "user_id", "left")
         .join(clicked, "user_id", "left")
     )
-    new = bought.where(F.col("payment_type") == "new")
-    of_new = (
-        new.select(
-            "user_payment_plan_id", "user_id", F.to_date("transaction_date").alias("main_pp_date"), "discount_id"
-        )
-        .join(main_plan_by_day(plans, transactions, inflow_plan_ids, payment_plans, discounts), ["user_id", "main_pp_date"], "left")
-        .join(discount, "discount_id", "left")
-        .select(
-            "user_payment_plan_id",
-            "user_payment_plan_id_main",
-            "user_payment_plan_name_main",
-            "discount_name_main",
-            F.coalesce(F.nullif(F.col("_discount"), F.lit("")), F.lit("-")).alias("discount_name"),
-        )
-    )
     return (
-        known.join(of_new, "user_payment_plan_id", "left")
-        .join(staff, "_owner", "left")
+        known.join(staff, "_owner", "left")
         .join(refund, "transaction_id", "left")
         .select(
             F.when(F.col("_staff"), c.EMPLOYEE).otherwise(c.CLIENT).alias("if_employee"),
@@ -229,13 +248,15 @@ def watch_sessions(history: DataFrame, shift: int = 3) -> DataFrame:
             F.max("comment").alias("comment"),
         )
     )
-    # the id of the newest progress row stands for the user's progress of the video
-    ids = spans.groupBy(*keys).agg(F.max("_id").alias("id"))
-    kept = spans.where(F.col("qty_rows") >= c.MIN_SESSION_ROWS).drop("_id").join(ids, keys)
+    # The id of the newest progress row stands for the user's progress of the
+    # video. Sessions lie three hours apart, so a key has at most eight a day and
+    # these windows stay small.
+    whole = Window.partitionBy(*keys)
     return (
-        row_numbers(kept, keys, ["session_number"], "_number", hot=hot)
-        .drop("session_number")
-        .withColumnRenamed("_number", "session_number")
+        spans.withColumn("id", F.max("_id").over(whole))
+        .where(F.col("qty_rows") >= c.MIN_SESSION_ROWS)
+        .withColumn("session_number", F.row_number().over(whole.orderBy("session_number")))
+        .drop("_id")
     )
 
 
@@ -243,8 +264,11 @@ def video_rewatch(
     history: DataFrame, videos: DataFrame, purchases: DataFrame, shift: int = 3
 ) -> DataFrame:
     """Watch sessions with rewatch counts and the campaign plan that covered each."""
-    watched = watch_sessions(history, shift).withColumn(
-        "if_rewatch", F.when(F.col("session_number") > 1, 1).otherwise(0)
+    # read three times below; far smaller than the history
+    watched = materialize(
+        watch_sessions(history, shift).withColumn(
+            "if_rewatch", F.when(F.col("session_number") > 1, 1).otherwise(0)
+        )
     )
     per_user = watched.groupBy("user_id", "video_id").agg(F.sum("if_rewatch").alias("_again"))
     per_video = per_user.groupBy("video_id").agg(
