@@ -8,13 +8,14 @@ large keys are cut into segments and the segments exchange summaries only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from clubflow.operators.skew import SEGMENT, attach, of_hot_keys, segmented
+from clubflow.functions.dates import seconds_between
+from clubflow.operators.skew import SEGMENT, attach, segmented, without_hot
 
 
 def _sorted(order: Sequence[str]) -> list[Column]:
@@ -30,33 +31,52 @@ def window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*_sorted(order))
 
 
-def neighbours(
+def in_order(
+    df: DataFrame,
+    keys: Sequence[str],
+    along: str,
+    build: Callable[[DataFrame, bool], DataFrame],
+    hot: DataFrame | None,
+) -> DataFrame:
+    """Run ordered steps with large keys taken apart once for all of them.
+
+    ``build(rows, cut)`` chains the step functions below. Ordinary keys take the
+    plain windows; rows of large keys are cut into segments, and both results
+    are put together.
+    """
+    if hot is None:
+        return build(df, False)
+    plain = build(without_hot(df, keys, hot), False)
+    split = build(segmented(df, keys, along, hot), True).drop(SEGMENT)
+    return plain.unionByName(split)
+
+
+def neighbours_step(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
-    hot: DataFrame | None = None,
+    cut: bool = False,
 ) -> DataFrame:
-    """Add values of the previous (``lag``) and next (``lead``) row: ``{new: source}``."""
     lag, lead = lag or {}, lead or {}
-    if hot is None:
-        w = window(keys, order)
-        new = {n: F.lag(c).over(w) for n, c in lag.items()}
-        new |= {n: F.lead(c).over(w) for n, c in lead.items()}
-        return df.withColumns(new)
-
-    cut = segmented(df, keys, order[0], hot)
-    w = window([*keys, SEGMENT], order)
+    w = window([*keys, SEGMENT] if cut else keys, order)
+    near = {n: F.lag(c).over(w) for n, c in lag.items()} | {n: F.lead(c).over(w) for n, c in lead.items()}
+    if not cut:
+        return df.withColumns(near)
     by = _rank_key(order)
-    rows = cut.withColumns(
-        {n: F.lag(c).over(w) for n, c in lag.items()}
-        | {n: F.lead(c).over(w) for n, c in lead.items()}
-        | {"_segment_head": F.lag(F.lit(1)).over(w).isNull(), "_segment_tail": F.lead(F.lit(1)).over(w).isNull()}
+    rows = df.withColumns(
+        near
+        | {
+            "_segment_head": F.lag(F.lit(1)).over(w).isNull(),
+            "_segment_tail": F.lead(F.lit(1)).over(w).isNull(),
+        }
+    )
+    picked = lambda names: F.struct(
+        F.lit(1).alias("_x"), *[F.col(c).alias(f"e_{n}") for n, c in names.items()]
     )
-    edges = of_hot_keys(cut).groupBy(*keys, SEGMENT).agg(
-        F.min_by(F.struct(F.lit(1).alias("_segment_x"), *[F.col(c).alias(f"e_{n}") for n, c in lead.items()]), by).alias("_segment_first"),
-        F.max_by(F.struct(F.lit(1).alias("_segment_x"), *[F.col(c).alias(f"e_{n}") for n, c in lag.items()]), by).alias("_segment_last"),
+    edges = df.groupBy(*keys, SEGMENT).agg(
+        F.min_by(picked(lead), by).alias("_segment_first"), F.max_by(picked(lag), by).alias("_segment_last")
     )
     across = window(keys, [SEGMENT])
     edges = edges.select(
@@ -65,10 +85,26 @@ def neighbours(
         F.lag("_segment_last").over(across).alias("_segment_before"),
         F.lead("_segment_first").over(across).alias("_segment_after"),
     )
-    joined = attach(rows, edges, keys)
     fixed = {n: F.when(F.col("_segment_head"), F.col(f"_segment_before.e_{n}")).otherwise(F.col(n)) for n in lag}
     fixed |= {n: F.when(F.col("_segment_tail"), F.col(f"_segment_after.e_{n}")).otherwise(F.col(n)) for n in lead}
-    return joined.withColumns(fixed).drop("_segment_head", "_segment_tail", "_segment_before", "_segment_after", SEGMENT)
+    return (
+        attach(rows, edges, keys)
+        .withColumns(fixed)
+        .drop("_segment_head", "_segment_tail", "_segment_before", "_segment_after")
+    )
+
+
+def neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    lag: Mapping[str, str] | None = None,
+    lead: Mapping[str, str] | None = None,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Add values of the previous (``lag``) and next (``lead``) row: ``{new: source}``."""
+    step = lambda rows, cut: neighbours_step(rows, keys, order, lag, lead, cut)
+    return in_order(df, keys, order[0], step, hot)
 
 
 def row_numbers(
@@ -79,18 +115,21 @@ def row_numbers(
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each key 1, 2, 3, …"""
-    if hot is None:
-        return df.withColumn(name, F.row_number().over(window(keys, order)))
-    cut = segmented(df, keys, order[0], hot)
-    rows = cut.withColumn(name, F.row_number().over(window([*keys, SEGMENT], order)).cast("long"))
-    sizes = of_hot_keys(cut).groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_segment_n"))
-    before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, SEGMENT, F.sum("_segment_n").over(before).alias("_segment_offset"))
-    return (
-        attach(rows, offsets, keys)
-        .withColumn(name, F.col(name) + F.coalesce("_segment_offset", F.lit(0)))
-        .drop("_segment_offset", SEGMENT)
-    )
+
+    def step(rows: DataFrame, cut: bool) -> DataFrame:
+        if not cut:
+            return rows.withColumn(name, F.row_number().over(window(keys, order)).cast("long"))
+        inside = rows.withColumn(name, F.row_number().over(window([*keys, SEGMENT], order)).cast("long"))
+        sizes = rows.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_segment_n"))
+        before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(*keys, SEGMENT, F.sum("_segment_n").over(before).alias("_segment_offset"))
+        return (
+            attach(inside, offsets, keys)
+            .withColumn(name, F.col(name) + F.coalesce("_segment_offset", F.lit(0)))
+            .drop("_segment_offset")
+        )
+
+    return in_order(df, keys, order[0], step, hot)
 
 
 def _latest(c: str, by: Column) -> Column:
@@ -122,26 +161,21 @@ _RUNNING = {
 }
 
 
-def running(
+def running_step(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     values: Mapping[str, tuple[str, str]],
-    hot: DataFrame | None = None,
+    cut: bool = False,
 ) -> DataFrame:
-    """Add values over all rows up to the current one: ``{new: (kind, source)}``.
-
-    Kinds: sum, count, min, max, last and first (both skip NULLs).
-    """
-    frame = (Window.unboundedPreceding, Window.currentRow)
-    if hot is None:
-        w = window(keys, order).rowsBetween(*frame)
-        return df.withColumns({n: _RUNNING[k][0](c).over(w) for n, (k, c) in values.items()})
-    cut = segmented(df, keys, order[0], hot)
-    w = window([*keys, SEGMENT], order).rowsBetween(*frame)
+    w = window([*keys, SEGMENT] if cut else keys, order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    rows = df.withColumns({n: _RUNNING[k][0](c).over(w) for n, (k, c) in values.items()})
+    if not cut:
+        return rows
     by = _rank_key(order)
-    rows = cut.withColumns({n: _RUNNING[k][0](c).over(w) for n, (k, c) in values.items()})
-    sums = of_hot_keys(cut).groupBy(*keys, SEGMENT).agg(
+    sums = df.groupBy(*keys, SEGMENT).agg(
         *[_RUNNING[k][1](c, by).alias(f"_segment_t_{n}") for n, (k, c) in values.items()]
     )
     before = window(keys, [SEGMENT]).rowsBetween(Window.unboundedPreceding, -1)
@@ -151,11 +185,22 @@ def running(
         *[_RUNNING[k][2](f"_segment_t_{n}").over(before).alias(f"_segment_c_{n}") for n, (k, _) in values.items()],
     )
     merged = {n: _RUNNING[k][3](F.col(f"_segment_c_{n}"), F.col(n)) for n, (k, _) in values.items()}
-    return (
-        attach(rows, carry, keys)
-        .withColumns(merged)
-        .drop(*[f"_segment_c_{n}" for n in values], SEGMENT)
-    )
+    return attach(rows, carry, keys).withColumns(merged).drop(*[f"_segment_c_{n}" for n in values])
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Mapping[str, tuple[str, str]],
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Add values over all rows up to the current one: ``{new: (kind, source)}``.
+
+    Kinds: sum, count, min, max, last and first (both skip NULLs).
+    """
+    step = lambda rows, cut: running_step(rows, keys, order, values, cut)
+    return in_order(df, keys, order[0], step, hot)
 
 
 _TOTAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -225,13 +270,15 @@ def sessions(
 
     Also adds ``next_time`` and ``is_new_session`` (0/1).
     """
-    from clubflow.functions.dates import seconds_between
-
     order = [time, *tie]
-    out = neighbours(df, keys, order, lag={"prev_time": time}, lead={"next_time": time}, hot=hot)
     gap = seconds_between(F.col("prev_time"), F.col(time))
-    out = out.withColumn("is_new_session", F.when(gap < gap_seconds, 0).otherwise(1))
-    return running(out, keys, order, {name: ("sum", "is_new_session")}, hot=hot)
+
+    def steps(rows: DataFrame, cut: bool) -> DataFrame:
+        near = neighbours_step(rows, keys, order, {"prev_time": time}, {"next_time": time}, cut)
+        flagged = near.withColumn("is_new_session", F.when(gap < gap_seconds, 0).otherwise(1))
+        return running_step(flagged, keys, order, {name: ("sum", "is_new_session")}, cut)
+
+    return in_order(df, keys, time, steps, hot)
 
 
 def distinct_ranks(

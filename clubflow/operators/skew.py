@@ -56,37 +56,42 @@ def hot_keys(
     return spark.createDataFrame(rows, counted.schema) if rows else None
 
 
-def segmented(
-    df: DataFrame, keys: Sequence[str], along: str, hot: DataFrame
-) -> DataFrame:
-    """Add ``_segment``: 0 for ordinary keys, 1, 2, … along the order for hot ones."""
-    marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys], _LO, _HI, _PARTS)
+def _is_hot(keys: Sequence[str]) -> Column:
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_segment_hot_{k}"))
+    return same
+
+
+def without_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Rows of the ordinary keys."""
+    marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys])
+    return df.join(F.broadcast(marks), _is_hot(keys), "left_anti")
+
+
+def segmented(df: DataFrame, keys: Sequence[str], along: str, hot: DataFrame) -> DataFrame:
+    """Rows of the hot keys with ``_segment``: 0, 1, 2, … along the order.
+
+    They are read several times (rows and summaries), so they are written once.
+    """
+    marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys], _LO, _HI, _PARTS)
     at = position(df, along)
     part = F.floor((at - F.col(_LO)) / (F.col(_HI) - F.col(_LO) + 1) * F.col(_PARTS))
-    segment = (
-        F.when(F.col(_PARTS).isNull(), F.lit(0))
-        # NULLs come last; values beyond the counted span join the nearest segment
-        .when(at.isNull(), F.col(_PARTS) + 1)
-        .otherwise(F.least(F.greatest(F.coalesce(part, F.lit(0)) + 1, F.lit(1)), F.col(_PARTS)))
-        .cast("long")
+    # NULLs come last; values beyond the counted span join the nearest segment
+    segment = F.when(at.isNull(), F.col(_PARTS)).otherwise(
+        F.least(F.greatest(part, F.lit(0)), F.col(_PARTS) - 1)
     )
-    cut = df.join(F.broadcast(marks), same, "left").withColumn(SEGMENT, segment)
-    # read twice below (rows and summaries), so it is written once
+    cut = df.join(F.broadcast(marks), _is_hot(keys)).withColumn(SEGMENT, segment.cast("long"))
     return materialize(cut.drop(*[f"_segment_hot_{k}" for k in keys], _LO, _HI, _PARTS))
 
 
-def of_hot_keys(cut: DataFrame) -> DataFrame:
-    """Rows of split keys: only these need summaries."""
-    return cut.where(F.col(SEGMENT) > 0)
-
-
 def attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join one summary row to every row of its (key, segment)."""
     right = summary.select(
-        *[F.col(c).alias(f"_segment_of_{c}") if c in (*keys, SEGMENT) else F.col(c) for c in summary.columns]
+        *[
+            F.col(c).alias(f"_segment_of_{c}") if c in (*keys, SEGMENT) else F.col(c)
+            for c in summary.columns
+        ]
     )
     same = F.col(SEGMENT) == F.col(f"_segment_of_{SEGMENT}")
     for k in keys:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clubflow import config as c
 from clubflow.functions.dates import minutes_between, ntz
-from clubflow.operators.ordered import neighbours
+from clubflow.operators.ordered import in_order, neighbours_step
 from clubflow.operators.skew import hot_keys
 
 _ORDER = ["version_updated_at", "version"]
@@ -33,30 +33,27 @@ def cohorts(history: DataFrame, discount_id: int | None = None) -> DataFrame:
     )
     if discount_id is not None:
         kept = kept.where(F.col("discount_id") == discount_id)
-    hot = hot_keys(kept, ["id"], "version_updated_at")
-    rows = neighbours(
-        kept.select("id", "club_id", "status", "cancel_reason", "pay_date", "updated_at", *_ORDER),
-        ["id"],
-        _ORDER,
-        lag={"_before": "status"},
-        lead={"_next_pay": "pay_date"},
-        hot=hot,
-    )
     status, before = F.coalesce("status", F.lit("")), F.coalesce("_before", F.lit(""))
     pays_on = (status == "Current") & (before == "Current")
     opens = status == "PaymentPending"
-    events = rows.where(
-        (pays_on & ~_same_day(F.col("pay_date"), F.col("_next_pay")))
-        | (opens & before.isin("Current", "Freezed", ""))
-        | (status.isin("Current", "Ended", "Freezed", "Refunded") & (before == "PaymentPending"))
-    ).withColumn("_kind", F.when(opens, "open").when(pays_on, "continue").otherwise("close"))
-    # same key and order as above: no second shuffle
-    chained = neighbours(
-        events,
+
+    def chain(rows: DataFrame, cut: bool) -> DataFrame:
+        near = neighbours_step(rows, ["id"], _ORDER, {"_before": "status"}, {"_next_pay": "pay_date"}, cut)
+        events = near.where(
+            (pays_on & ~_same_day(F.col("pay_date"), F.col("_next_pay")))
+            | (opens & before.isin("Current", "Freezed", ""))
+            | (status.isin("Current", "Ended", "Freezed", "Refunded") & (before == "PaymentPending"))
+        ).withColumn("_kind", F.when(opens, "open").when(pays_on, "continue").otherwise("close"))
+        # same key and order as above: no second shuffle
+        after = {"_end": "updated_at", "_closing": "status", "_reason": "cancel_reason"}
+        return neighbours_step(events, ["id"], _ORDER, lead=after, cut=cut)
+
+    chained = in_order(
+        kept.select("id", "club_id", "status", "cancel_reason", "pay_date", "updated_at", *_ORDER),
         ["id"],
-        _ORDER,
-        lead={"_end": "updated_at", "_closing": "status", "_reason": "cancel_reason"},
-        hot=hot,
+        _ORDER[0],
+        chain,
+        hot_keys(kept, ["id"], _ORDER[0]),
     )
     goes_on = F.col("_kind") == "continue"
     closing = (

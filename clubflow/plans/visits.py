@@ -12,7 +12,7 @@ from clubflow import config as c
 from clubflow.functions.dates import days_between, ntz, repair_birthday, shift_hours
 from clubflow.operators.flows import explode_hours
 from clubflow.operators.intervals import inside_any
-from clubflow.operators.ordered import neighbours, running
+from clubflow.operators.ordered import in_order, neighbours, neighbours_step, running, running_step
 from clubflow.operators.skew import hot_keys
 
 
@@ -225,8 +225,12 @@ def swipe_gapfill(swipes: DataFrame, clubs: DataFrame, above: int = 0, tz_hours:
     )
     keys = ["user_id", "_day"]
     hot = hot_keys(scans, keys, "id")
-    filled = neighbours(scans, keys, ["id"], lag={"_prev": "_known"}, lead={"_next": "_known"}, hot=hot)
-    filled = running(filled, keys, ["id"], {"_first": ("first", "club_id")}, hot=hot)
+
+    def fill(rows: DataFrame, cut: bool) -> DataFrame:
+        near = neighbours_step(rows, keys, ["id"], {"_prev": "_known"}, {"_next": "_known"}, cut)
+        return running_step(near, keys, ["id"], {"_first": ("first", "club_id")}, cut)
+
+    filled = in_order(scans, keys, "id", fill, hot)
     picked = filled.withColumn("_club", F.coalesce("_prev", "_next", "_first"))
     return picked.join(known, "_club", "left").select(
         "id",
