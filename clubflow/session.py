@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of one key that a single task may hold before the key is split.
 ROWS_PER_SEGMENT = "clubflow.rowsPerSegment"
-DEFAULT_ROWS_PER_SEGMENT = 5_000_000
+DEFAULT_ROWS_PER_SEGMENT = 10_000_000
 
 
 def build_session(app: str = "clubflow", master: str | None = None, **conf: str) -> SparkSession:
