@@ -248,8 +248,9 @@ TABLES: dict[str, str] = {
             CAST(r_regionkey + 2000 AS DECIMAL(18,2)) AS cycle, CAST(r_regionkey + 3000 AS DECIMAL(18,2)) AS grit,
             CAST(r_regionkey + 330 AS DECIMAL(18,2)) AS [q]30[q], CAST(r_regionkey + 345 AS DECIMAL(18,2)) AS [q]45[q],
             CAST(r_regionkey + 355 AS DECIMAL(18,2)) AS [q]55[q]
-        FROM {region} JOIN (SELECT DISTINCT CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B'
-                ELSE 'Звездный тренер сайкл' END AS trainer_type, 1 AS one FROM {supplier}) AS k ON k.one = 1
+        FROM (SELECT DISTINCT CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'Звездный тренер сайкл' END
+                AS trainer_type, n_regionkey FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey) AS k
+        JOIN {region} ON r_regionkey = k.n_regionkey
         WHERE r_regionkey < 4""",
     "bookings": """
         SELECT event_id AS booking_id, event_id * 2 AS timetable_id, user_id, user_id % 9 AS employee_id,

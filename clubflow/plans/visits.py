@@ -42,17 +42,19 @@ def occupancy_hourly(
         & (F.col("event_date") >= ntz(date_from - pad))
         & (F.col("event_date") < ntz(date_to + pad))
     )
-    events = (
+    keys = ["user_id", "club_id"]
+    hot = hot_keys(ranged, keys, "event_date")
+    kept = (
         ranged.join(staff, "user_id", "left_anti")
         .join(round_clock, "club_id", "left_semi")
         .select("user_id", "club_id", "club_name", "event_type", "event_date")
-        .distinct()
     )
-    hot = hot_keys(ranged, ["user_id", "club_id"], "event_date")
+    # without large keys one shuffle serves both the distinct and the window below
+    events = (kept.repartition(*keys) if hot is None else kept).distinct()
     spans = (
         neighbours(
             events,
-            ["user_id", "club_id"],
+            keys,
             ["event_date", "event_type"],
             lead={"next_type": "event_type", "next_time": "event_date"},
             hot=hot,
@@ -76,13 +78,11 @@ def occupancy_hourly(
         .groupBy("club_id", "club_name", "check_time", F.coalesce("sex", F.lit("unknown")).alias("sex"))
         .agg(F.count(F.lit(1)).alias("people_in_club"))
     )
-    total = (
-        by_sex.groupBy("club_id", "club_name", "check_time")
+    # every row counts for its sex and for the total: one pass over the grouped rows
+    return (
+        by_sex.withColumn("sex", F.explode(F.array("sex", F.lit("total"))))
+        .groupBy("check_time", "club_id", "club_name", "sex")
         .agg(F.sum("people_in_club").alias("people_in_club"))
-        .withColumn("sex", F.lit("total"))
-    )
-    return by_sex.unionByName(total).select(
-        "check_time", "club_id", "club_name", "sex", "people_in_club"
     )
 
 
