@@ -2,8 +2,8 @@
 
 ``Collection`` starts from the empty suffixes and inserts, in each round, one more symbol of every text at once.
 Where a suffix goes follows from the collection's Burrows-Wheeler transform, and its common prefix with the suffix
-before it from the smallest common prefix between two equal symbols. The three columns (transform, common prefixes,
-suffix numbers) live in sequential files that each round reads and writes from front to back once they outgrow
+before it from the smallest common prefix between two equal symbols. The columns (transform, common prefixes, suffix
+numbers, places) live in sequential files that each round reads and writes from front to back once they outgrow
 ``MEMORY``; before that they are arrays.
 
 A whole corpus is dealt out first, so that equal strings of ``width`` bytes meet: the windows of a document that
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clubflow.llm.common import mix, raw_bytes, slices
+from clubflow.llm.common import mix, ragged, raw_bytes, slices
 from clubflow.llm.minimiser import (
     HELD_BYTES,
     PLACE,
@@ -40,6 +40,7 @@ from clubflow.llm.minimiser import (
     numbered,
     opened,
     placed,
+    run_hashes,
     span_batch,
     spans_of,
     super_kmers,
@@ -51,14 +52,14 @@ GRAM = 32
 #: Symbols of a collection held in memory; larger ones live in files.
 MEMORY = 16 << 20
 #: Symbols of texts that form one collection when they come from many minimisers.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 19
 _BLOCK = 1 << 20
 
 
 class Column:
     """A sequence that grows by insertions, in memory or in a file that is read and written from front to back."""
 
-    def __init__(self, kind: type, length: int, folder: str | None):
+    def __init__(self, kind, length: int, folder: str | None):
         self.kind, self.folder, self.length = np.dtype(kind), folder, length
         self.held = np.zeros(length, kind)
         if folder:
@@ -102,51 +103,66 @@ class Collection:
         n = len(texts)
         lengths = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(lengths)
-        data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1  # 0: the text has no more symbols
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        # 0: the text has no more symbols
+        data = raw + np.uint8(1) if raw.max(initial=0) < 255 else raw.astype(np.uint16) + np.uint16(1)
         begins = self.ends - lengths
         # round 0: the empty suffixes, in the order of the texts
-        self.transform, self.common = Column(np.uint16, n, folder), Column(np.uint16, n, folder)
-        self.suffix = Column(np.int64, n, folder)
-        first = np.zeros(n, np.uint16)
+        self.transform, self.common = Column(data.dtype, n, folder), Column(np.uint16, n, folder)
+        self.suffix = Column(np.uint32 if len(data) < 2**32 else np.int64, n, folder)
+        first = np.zeros(n, data.dtype)
         first[lengths > 0] = data[self.ends[lengths > 0] - 1]
         self.transform.write(first)
-        self.suffix.write(self.ends)
-        at = np.arange(n)
+        self.suffix.write(self.ends.astype(self.suffix.kind))
+        # where in the order the rest of each suffix stands; rising among the suffixes with one first symbol
+        self.rest = Column(np.int64, n, folder)
+        heads = np.zeros(int(data.max(initial=0)) + 2, np.int64)  # suffixes by first symbol, the empty ones aside
         active = np.flatnonzero(lengths > 0)
-        at = at[active]
+        at = active
         taken = 0
         while len(active):
             taken += 1
-            b = self.transform.read()
-            order = np.argsort(b, kind="stable")
-            rank = np.empty(len(b), np.int64)
-            rank[order] = np.arange(len(b))
-            finished = int(len(b) - np.count_nonzero(b))
-            by = np.argsort(rank[at])
-            at, active = at[by], active[by]
-            k = rank[at]
-            goes = n + k - finished
-            # common prefix with the suffix before: one more than the least between two equal symbols
-            c = self.common.read()
+            b, rest = self.transform.read(), self.rest.read()
             symbol = b[at]
-            near = np.where(k > 0, order[k - 1], 0)
-            has = (k > 0) & (b[near] == symbol)
-            own = np.zeros(len(at), np.int64)
+            by = np.lexsort((at, symbol))
+            at, active, symbol = at[by], active[by], symbol[by]
+            edge = np.flatnonzero(np.r_[True, symbol[1:] != symbol[:-1]])
+            ends = np.r_[edge[1:], len(at)]
+            low = n + np.cumsum(heads) - heads
+            near, far = np.full(len(at), -1, np.int64), np.full(len(at), len(b), np.int64)
+            goes = np.arange(len(at), dtype=np.int64)
+            for i, j in zip(edge.tolist(), ends.tolist()):
+                c = int(symbol[i])
+                pile = rest[low[c] : low[c] + heads[c]]
+                before = np.searchsorted(pile, at[i:j])
+                goes[i:j] += low[c] + before
+                has = before > 0
+                near[i:j][has] = pile[before[has] - 1]
+                has = before < len(pile)
+                far[i:j][has] = pile[before[has]]
+                # suffixes of this round with the same symbol are neighbours too
+                near[i + 1 : j] = np.maximum(near[i + 1 : j], at[i : j - 1])
+                far[i : j - 1] = np.minimum(far[i : j - 1], at[i + 1 : j])
+                heads[c] += j - i
+            # common prefix with the suffix before: one more than the least between two equal symbols
+            c = np.append(self.common.read(), np.uint16(0))
+            own, behind = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+            has = near >= 0
             own[has] = 1 + _least(c, near[has] + 1, at[has] + 1)
             # and of the suffix behind with this one
-            after = np.minimum(k + 1, len(b) - 1)
-            far = order[after]
-            follows = (k + 1 < len(b)) & (b[far] == symbol)
-            behind = np.zeros(len(at), np.int64)
-            behind[follows] = 1 + _least(c, at[follows] + 1, far[follows] + 1)
+            has = far < len(b)
+            behind[has] = 1 + _least(c, at[has] + 1, far[has] + 1)
             hole = np.ones(len(b) + len(at), bool)
             hole[goes] = False
+            moved = np.flatnonzero(hole)
             starts = self.ends[active] - taken
             more = starts > begins[active]
-            symbols = np.zeros(len(at), np.uint16)
+            symbols = np.zeros(len(at), data.dtype)
             symbols[more] = data[starts[more] - 1]
             self.transform.insert(goes, symbols, hole)
             self.suffix.insert(goes, starts, hole)
+            self.rest.write(np.take(moved, rest, mode="clip"))
+            self.rest.insert(goes, moved[at], hole)
             self.common.insert(goes, np.minimum(own, 65535).astype(np.uint16), hole)
             c = self.common.read()
             fix = goes + 1
@@ -157,14 +173,14 @@ class Collection:
 
 
 def _least(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Minimum of values[begin:end] for each pair, none of them empty."""
+    """Minimum of values[begin:end] for each pair, none of them empty; values has one number more at its end."""
     if not len(begin):
         return np.zeros(0, np.int64)
     order = np.argsort(begin, kind="stable")
     pairs = np.empty(2 * len(begin), np.int64)
     pairs[0::2], pairs[1::2] = begin[order], end[order]
     out = np.empty(len(begin), np.int64)
-    out[order] = np.minimum.reduceat(np.append(values, values.dtype.type(0)), pairs)[0::2]
+    out[order] = np.minimum.reduceat(values, pairs)[0::2]
     return out
 
 
@@ -179,7 +195,7 @@ def repeated(texts: list[bytes], width: int, memory: int = MEMORY) -> np.ndarray
 
 def _repeated(collection: Collection, width: int) -> np.ndarray:
     long = np.append(collection.common.read() >= width, False)
-    return np.sort(collection.suffix.read()[long[:-1] | long[1:]])
+    return np.sort(collection.suffix.read()[long[:-1] | long[1:]].astype(np.int64))
 
 
 def _send(buckets: int, width: int, gram: int):
@@ -230,6 +246,9 @@ def _send(buckets: int, width: int, gram: int):
 
 def _decide(width: int, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[bytes] = []
+        origin: list[tuple[int, int]] = []
+        symbols = 0
         for parcels in by_bucket(batches):
             marks, place, start, strings, spans = opened(parcels)
             if len(spans):
@@ -248,41 +267,58 @@ def _decide(width: int, memory: int):
             # smallest hash would have moved along
             mark = np.zeros(len(texts), np.uint32)
             mark[which] = marks >> 1
-            order = np.argsort(mark, kind="stable")
-            first = np.flatnonzero(np.r_[True, mark[order][1:] != mark[order][:-1]])
-            sizes = np.diff(np.r_[first, len(order)])
-            group: list[int] = []
-            symbols = 0
-            for f, n in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-                group += order[f : f + n].tolist()
-                symbols += int(length[order[f : f + n]].sum())
-                if symbols > TOGETHER:
-                    parts += _found(group, texts, which, place, start, width, memory)
-                    group, symbols = [], 0
-            if group:
-                parts += _found(group, texts, which, place, start, width, memory)
+            _, kind, sizes = np.unique(mark, return_inverse=True, return_counts=True)
+            group = np.flatnonzero(sizes[kind] > 1)
+            row = np.zeros(len(texts), np.int64)
+            row[which] = np.arange(len(which))
+            text, begin, end = pieces([texts[i] for i in group.tolist()], width)
+            for i, x, y in zip(group[text].tolist(), begin.tolist(), end.tolist()):
+                waiting.append(texts[i][x:y])
+                # rows of a whole repeat are decided; its text only serves the others
+                origin.append((-1, 0) if times[i] > 1 else (int(place[row[i]]), int(start[row[i]]) + x))
+                symbols += y - x
+            if symbols > TOGETHER:
+                parts.append(_found(waiting, origin, width, memory))
+                waiting, origin, symbols = [], [], 0
             out = np.concatenate(parts)
             if len(out):
                 yield span_batch(out)
+        if waiting:
+            yield span_batch(_found(waiting, origin, width, memory))
 
     return run
 
 
-def _found(group, texts, which, place, start, width, memory) -> list[np.ndarray]:
-    """Spans of all rows whose text is in the group, from the repeats inside the group's collection."""
-    chosen = [texts[i] for i in group]
-    at = repeated(chosen, width, memory)
-    if not len(at):
-        return []
-    begins = np.cumsum([0] + [len(t) for t in chosen])
+def pieces(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end) of the parts that can hold repeats: windows whose hash comes more than once.
+
+    Equal windows have equal hashes, so nothing is lost; what comes together by chance the sorted suffixes tell apart.
+    """
+    if not texts:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    lengths = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    windows = lengths - width + 1
+    at = ragged(begins, windows)
+    h = run_hashes(np.frombuffer(b"".join(texts), np.uint8), at, at + width)
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    hit = np.zeros(len(h), bool)
+    hit[order[1:][same]] = hit[order[:-1][same]] = True
+    owner = np.repeat(np.arange(len(texts)), windows)[hit]
+    return tuple(spans_of(owner, at[hit] - begins[owner], width).T)
+
+
+def _found(texts: list[bytes], origin: list[tuple[int, int]], width: int, memory: int) -> np.ndarray:
+    """Spans (place, begin, end) of the repeats in the collection of these texts."""
+    at = repeated(texts, width, memory)
+    begins = np.cumsum([0] + [len(t) for t in texts])
     text = np.searchsorted(begins, at, side="right") - 1
-    spans = spans_of(np.array(group)[text], at - begins[text], width)
-    # one span per text and run, for each row that has the text
-    order = np.argsort(which, kind="stable")
-    lo, hi = np.searchsorted(which[order], spans[:, 0]), np.searchsorted(which[order], spans[:, 0], side="right")
-    span = np.repeat(np.arange(len(spans)), hi - lo)
-    row = order[np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])]
-    return [np.column_stack((place[row], start[row] + spans[span, 1], start[row] + spans[span, 2]))]
+    place, start = np.array(origin, np.int64).reshape(-1, 2).T
+    own = place[text] >= 0
+    text, at = text[own], at[own]
+    return spans_of(place[text], start[text] + at - begins[text], width)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
