@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,7 +31,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
-            "spark.checkpoint.dir": os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="bench-"),
+            "spark.checkpoint.dir": os.environ.get("BENCH_WORK_DIR", "/tmp/checkpoints"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

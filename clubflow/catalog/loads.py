@@ -94,7 +94,7 @@ def _replace_range(t: Tables):
     load.replace_range(rows.withColumn("load", F.lit("old")), path, "day", dt.date(1990, 1, 1), dt.date(2010, 1, 1), "month")
     new = rows.where(F.col("o_orderstatus") != "P").withColumn("load", F.lit("new"))
     for _ in range(2):  # a repeated load changes nothing
-        load.replace_range(new, path, "day", _LO, _HI, "month")
+        load.replace_range(new, path, "day", _LO, _HI, "month", partitions=(_LO.replace(day=1), _HI.replace(day=1)))
     return load.read_target(t.spark, path)
 
 
@@ -131,20 +131,22 @@ def _replace_month(t: Tables):
     dates=("month",),
     sql="""
     WITH v AS (
-        SELECT event_id // 4 AS id, CAST(date_trunc('month', ts) AS DATE) AS month, event_id AS version, event_type FROM events)
-    SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY id, month ORDER BY version DESC) = 1""",
+        SELECT event_id // 12 AS id, CAST(date_trunc('month', ts) + (event_id % 3) * INTERVAL 1 MONTH AS DATE) AS month, event_id AS version, event_type FROM events)
+    SELECT * FROM v WHERE month = (SELECT max(month) FROM v)
+    UNION ALL
+    SELECT * FROM v WHERE month < (SELECT max(month) FROM v) QUALIFY row_number() OVER (PARTITION BY id, month ORDER BY version DESC) = 1""",
 )
 def _compact(t: Tables):
     path = new_table_path(t.spark, "compact")
     rows = t.events.select(
-        F.floor(F.col("event_id") / 4).alias("id"),
-        month_start(F.col("ts")).alias("month"),
+        F.floor(F.col("event_id") / 12).alias("id"),
+        F.add_months(month_start(F.col("ts")), (F.col("event_id") % 3).cast("int")).alias("month"),
         F.col("event_id").alias("version"),
         "event_type",
     )
     load.overwrite_partitions(rows, path, "month")
-    months = [row[0] for row in rows.select("month").distinct().collect()]
-    load.compact(t.spark, path, ["id"], ["version"], "month", months)
+    months = sorted(row[0] for row in rows.select("month").distinct().collect())
+    load.compact(t.spark, path, ["id"], ["version"], "month", months[:-1])  # the last one keeps all versions
     return load.read_target(t.spark, path)
 
 

@@ -518,7 +518,7 @@ _PAIRED = ", ".join(f'b."{n}" AS "{n}_2"' for n in ("year", "club_id", "club_nam
                 WHEN date_diff('month', k.open_date, DATE '2001-12-01') <= 24 THEN 'юниоры' ELSE 'зрелые' END AS age,
             {", ".join(f'm."{n}"' for n in tree.METRICS)}
         FROM month m LEFT JOIN clubs k ON k.name = m.club_name)
-    SELECT a.*, {_PAIRED} FROM one a LEFT JOIN one b ON month(a.date) = month(b.date)""",
+    SELECT a.*, {_PAIRED} FROM one a LEFT JOIN one b ON month(a.date) = month(b.date) AND a.club_name = b.club_name""",
 )
 def _metrics_year(t: Tables):
     return tree.metrics_year(materialize(_month_tree(t)), t.clubs, START, AS_OF)

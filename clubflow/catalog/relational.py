@@ -305,16 +305,16 @@ def _full(t: Tables):
 @query(
     "join_full_outer_chain",
     sql="""
-    WITH a AS (SELECT s_suppkey * 2 AS k, s_name AS name FROM supplier),
-    b AS (SELECT s_suppkey * 3 AS k, CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'b' || s_name END AS name FROM supplier),
+    WITH a AS (SELECT s_suppkey * 20 AS k, s_name AS name FROM supplier),
+    b AS (SELECT s_suppkey * 30 AS k, CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'b' || s_name END AS name FROM supplier),
     d AS (SELECT c_custkey AS k, c_name AS name FROM customer)
     SELECT coalesce(d.k, a.k, b.k) AS id, coalesce(nullif(b.name, ''), a.name, d.name) AS name
     FROM d FULL JOIN a ON a.k = d.k FULL JOIN b ON b.k = coalesce(d.k, a.k)""",
 )
 def _full_chain(t: Tables):
-    a = t.supplier.select((F.col("s_suppkey") * 2).alias("id"), F.col("s_name").alias("a"))
+    a = t.supplier.select((F.col("s_suppkey") * 20).alias("id"), F.col("s_name").alias("a"))
     b = t.supplier.select(
-        (F.col("s_suppkey") * 3).alias("id"),
+        (F.col("s_suppkey") * 30).alias("id"),
         F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(F.concat(F.lit("b"), "s_name")).alias("b"),
     )
     d = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("d"))
@@ -364,7 +364,8 @@ def _self_next(t: Tables):
     return out.select("event_id", "user_id", "next_id", "next_type")
 
 
-_RANGE = "plan_from AS (SELECT user_id, signed_date AS a, end_date + INTERVAL 2500 DAY AS b FROM plans WHERE end_date IS NOT NULL)"
+# the periods of the plans end before the events begin; shifted, events fall before, into, between and after them
+_RANGE = "plan_from AS (SELECT user_id, signed_date + INTERVAL 9400 DAY AS a, end_date + INTERVAL 9400 DAY AS b FROM plans WHERE end_date IS NOT NULL)"
 
 
 @query(
@@ -376,7 +377,9 @@ _RANGE = "plan_from AS (SELECT user_id, signed_date AS a, end_date + INTERVAL 25
 def _range_interval(t: Tables):
     points = t.events.select("event_id", "user_id", "ts")
     spans = t.plans.where(F.col("end_date").isNotNull()).select(
-        "user_id", F.col("signed_date").alias("_a"), (F.col("end_date") + F.expr("INTERVAL 2500 DAY")).alias("_b")
+        "user_id",
+        (F.col("signed_date") + F.expr("INTERVAL 9400 DAY")).alias("_a"),
+        (F.col("end_date") + F.expr("INTERVAL 9400 DAY")).alias("_b"),
     )
     hot = hot_keys(
         points.select("user_id", F.col("ts").alias("_at")).unionByName(spans.select("user_id", F.col("_a").alias("_at"))),
@@ -391,7 +394,7 @@ def _range_interval(t: Tables):
     tables=("plans",),
     dates=("day", "start_date"),
     sql="""
-    WITH p AS (SELECT user_id, id, status, CAST(signed_date AS DATE) AS a, CAST(end_date + INTERVAL 2500 DAY AS DATE) AS b FROM plans WHERE end_date IS NOT NULL),
+    WITH p AS (SELECT user_id, id, status, CAST(signed_date + INTERVAL 9400 DAY AS DATE) AS a, CAST(end_date + INTERVAL 9600 DAY AS DATE) AS b FROM plans WHERE end_date IS NOT NULL),
     e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events)
     SELECT e.event_id, e.user_id, e.day, max(CASE WHEN e.day BETWEEN a AND b THEN p.id END) AS plan_id,
         max(CASE WHEN e.day BETWEEN a AND b THEN p.status END) AS status, max(CASE WHEN e.day BETWEEN a AND b THEN a END) AS start_date
@@ -403,8 +406,8 @@ def _attribution(t: Tables):
         "user_id",
         F.col("id").alias("plan_id"),
         "status",
-        F.to_date("signed_date").alias("start_date"),
-        F.to_date(F.col("end_date") + F.expr("INTERVAL 2500 DAY")).alias("_end"),
+        F.to_date(F.col("signed_date") + F.expr("INTERVAL 9400 DAY")).alias("start_date"),
+        F.to_date(F.col("end_date") + F.expr("INTERVAL 9600 DAY")).alias("_end"),
     )
     names = {n: n for n in ("plan_id", "status", "start_date")}
     return max_over_covering(points, spans, ["user_id"], "day", "start_date", "_end", names)

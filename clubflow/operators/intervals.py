@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from clubflow.operators.ordered import running
 
-#: Day numbers 0..65,535 (1970 to 2149) form a binary tree of this height.
-LEVELS = 16
+#: The days of the years 1 to 9999 form a binary tree of this height.
+LEVELS = 22
+#: Day number of 0001-01-01 and of 9999-12-31, the range of the date type.
+_FIRST, _LAST = -719_162, 2_932_896
 
 
 def inside_any(
@@ -41,13 +43,21 @@ def inside_any(
 
 
 def _leaf(day: Column) -> Column:
-    """Tree number of a day; node n has the children 2n and 2n + 1."""
-    return F.least(F.greatest(F.unix_date(day), F.lit(0)), F.lit(2**LEVELS - 1)) + 2**LEVELS
+    """Tree number of a day; node n has the children 2n and 2n + 1. NULL outside the range of the date type."""
+    number = F.unix_date(day)
+    return F.when(number.between(_FIRST, _LAST), number - _FIRST + 2**LEVELS)
 
 
 def _with_nodes(df: DataFrame, start: str, end: str) -> DataFrame:
     """One row per tree node of the closed day range; the nodes are disjoint and cover it."""
-    spans = df.withColumns({"_l": _leaf(F.col(start)), "_r": _leaf(F.col(end)) + 1}).withColumn(
+    first, last = F.lit(2**LEVELS), F.lit(_LAST - _FIRST + 2**LEVELS)
+    spans = df.withColumns(
+        {
+            # an interval that goes on beyond the range covers the range up to its end
+            "_l": F.when(F.unix_date(F.col(start)) < _FIRST, first).otherwise(_leaf(F.col(start))),
+            "_r": F.when(F.unix_date(F.col(end)) > _LAST, last).otherwise(_leaf(F.col(end))) + 1,
+        }
+    ).withColumn(
         "_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))
     )
     ends = spans.withColumns(
@@ -85,9 +95,8 @@ def max_over_covering(
 
     ``values`` maps new names to interval columns. Each interval is cut into at
     most ``2 * LEVELS`` tree nodes and reduced to one row per (key, node); each
-    distinct (key, day) looks up its ``LEVELS + 1`` nodes. A key contributes at
-    most 131,071 nodes and 65,536 days, so neither side can grow with the
-    number of rows a key has.
+    distinct (key, day) looks up its ``LEVELS + 1`` nodes. A key contributes
+    at most two nodes and one day per day of the calendar, however many rows it has.
     """
     nodes = (
         _with_nodes(intervals.where(F.col(start) <= F.col(end)), start, end)

@@ -16,6 +16,7 @@ from pyspark.sql.window import WindowSpec
 
 from clubflow.functions.dates import seconds_between
 from clubflow.operators.skew import SEGMENT, attach, segmented, without_hot
+from clubflow.session import stored
 
 
 def _sorted(order: Sequence[str]) -> list[Column]:
@@ -34,20 +35,23 @@ def window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
 def in_order(
     df: DataFrame,
     keys: Sequence[str],
-    along: str,
+    order: Sequence[str],
     build: Callable[[DataFrame, bool], DataFrame],
     hot: DataFrame | None,
 ) -> DataFrame:
     """Run ordered steps with large keys taken apart once for all of them.
 
     ``build(rows, cut)`` chains the step functions below. Ordinary keys take the
-    plain windows; rows of large keys are cut into segments, and both results
-    are put together.
+    plain windows; rows of large keys are cut into segments along the whole
+    ordering, and both results are put together. With large keys the input is
+    written once, as it is read several times. Running sums of doubles can then
+    differ in the last bits; decimals and whole numbers do not.
     """
     if hot is None:
         return build(df, False)
+    df = stored(df, "ordered")
     plain = build(without_hot(df, keys, hot), False)
-    split = build(segmented(df, keys, along, hot), True).drop(SEGMENT)
+    split = build(segmented(df, keys, order, hot), True).drop(SEGMENT)
     return plain.unionByName(split)
 
 
@@ -104,7 +108,7 @@ def neighbours(
 ) -> DataFrame:
     """Add values of the previous (``lag``) and next (``lead``) row: ``{new: source}``."""
     step = lambda rows, cut: neighbours_step(rows, keys, order, lag, lead, cut)
-    return in_order(df, keys, order[0], step, hot)
+    return in_order(df, keys, order, step, hot)
 
 
 def row_numbers(
@@ -129,7 +133,7 @@ def row_numbers(
             .drop("_segment_offset")
         )
 
-    return in_order(df, keys, order[0], step, hot)
+    return in_order(df, keys, order, step, hot)
 
 
 def _latest(c: str, by: Column) -> Column:
@@ -200,7 +204,7 @@ def running(
     Kinds: sum, count, min, max, last and first (both skip NULLs).
     """
     step = lambda rows, cut: running_step(rows, keys, order, values, cut)
-    return in_order(df, keys, order[0], step, hot)
+    return in_order(df, keys, order, step, hot)
 
 
 _TOTAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -278,7 +282,7 @@ def sessions(
         flagged = near.withColumn("is_new_session", F.when(gap < gap_seconds, 0).otherwise(1))
         return running_step(flagged, keys, order, {name: ("sum", "is_new_session")}, cut)
 
-    return in_order(df, keys, time, steps, hot)
+    return in_order(df, keys, order, steps, hot)
 
 
 def distinct_ranks(

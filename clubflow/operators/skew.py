@@ -2,9 +2,11 @@
 
 A window needs all rows of its partition in one task. Adaptive execution does
 not split such partitions, so one key with a third of the table would stall the
-job. The functions here count rows per key first. Keys above the limit are
-split along the ordering column; the window then runs per (key, segment) and
-only one summary row per segment is exchanged between segments.
+job. The functions here count rows per key first. Keys above the limit are cut
+by rank: their rows are range-partitioned by key and the whole ordering, so the
+sizes of the parts follow the number of rows, not the span of the values. The
+window then runs per (key, segment) and only one summary row per segment is
+exchanged between segments.
 """
 
 from __future__ import annotations
@@ -13,47 +15,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from clubflow.session import materialize, rows_per_segment
+from clubflow.session import rows_per_segment, stored
 
 #: Helper columns start with this prefix and are dropped again.
 SEGMENT = "_segment"
-_LO, _HI, _PARTS = "_segment_lo", "_segment_hi", "_segment_parts"
-
-
-def position(df: DataFrame, name: str) -> Column:
-    """The ordering column as a number that grows with it."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    return F.col(name).cast("double")
+_COUNT = "_segment_rows"
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], along: str, limit: int | None = None
+    df: DataFrame, keys: Sequence[str], along: str | None = None, limit: int | None = None
 ) -> DataFrame | None:
     """Keys with more rows than one task should hold, or None.
 
-    Runs one map-side combined count over two columns. At most
-    ``rows / limit`` keys can pass, so the collected table is small whatever
-    the input size. Call it on the base table: a count taken before filters is
-    an upper bound for every table derived from it.
+    Runs one map-side combined count over the key columns. The keys found are
+    written to the shared folder and never pass through the driver. Call it on
+    the base table: a count taken before filters is an upper bound for every
+    table derived from it.
     """
-    spark = df.sparkSession
-    limit = limit or rows_per_segment(spark)
-    counted = (
-        df.select(*keys, position(df, along).alias("_p"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_p").alias(_LO), F.max("_p").alias(_HI))
-        .where(F.col("_n") > limit)
-        # four parts per limit: keys are rarely spread evenly over their span
-        .select(*keys, _LO, _HI, F.ceil(F.lit(4.0) * F.col("_n") / limit).alias(_PARTS))
-    )
-    rows = counted.collect()
-    return spark.createDataFrame(rows, counted.schema) if rows else None
+    limit = limit or rows_per_segment(df.sparkSession)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > limit)
+    found = stored(counted.withColumn("_segment_limit", F.lit(limit).cast("long")), "hot")
+    return found if found.limit(1).count() else None
 
 
 def _is_hot(keys: Sequence[str]) -> Column:
@@ -66,23 +49,24 @@ def _is_hot(keys: Sequence[str]) -> Column:
 def without_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """Rows of the ordinary keys."""
     marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys])
-    return df.join(F.broadcast(marks), _is_hot(keys), "left_anti")
+    return df.join(marks, _is_hot(keys), "left_anti")
 
 
-def segmented(df: DataFrame, keys: Sequence[str], along: str, hot: DataFrame) -> DataFrame:
-    """Rows of the hot keys with ``_segment``: 0, 1, 2, … along the order.
+def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Rows of the hot keys with ``_segment``, a number that grows along the order inside each key.
 
-    They are read several times (rows and summaries), so they are written once.
+    The bounds are quantiles of (keys, whole ordering), so outliers, bursts, ties of the first
+    ordering column and NULLs do not make a part larger. Four parts are planned per limit, as the
+    quantiles come from a sample; the sample decides sizes only, never rows. The rows are read
+    several times (rows and summaries), so they are written once.
     """
-    marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys], _LO, _HI, _PARTS)
-    at = position(df, along)
-    part = F.floor((at - F.col(_LO)) / (F.col(_HI) - F.col(_LO) + 1) * F.col(_PARTS))
-    # NULLs come last; values beyond the counted span join the nearest segment
-    segment = F.when(at.isNull(), F.col(_PARTS)).otherwise(
-        F.least(F.greatest(part, F.lit(0)), F.col(_PARTS) - 1)
+    total = hot.agg(F.sum(F.ceil(F.lit(4.0) * F.col(_COUNT) / F.col("_segment_limit")))).first()[0]
+    marks = hot.select(*[F.col(k).alias(f"_segment_hot_{k}") for k in keys])
+    rows = df.join(marks, _is_hot(keys), "left_semi")
+    laid_out = rows.repartitionByRange(
+        max(int(total), 1), *[F.col(k) for k in keys], *[F.col(c).asc_nulls_last() for c in order]
     )
-    cut = df.join(F.broadcast(marks), _is_hot(keys)).withColumn(SEGMENT, segment.cast("long"))
-    return materialize(cut.drop(*[f"_segment_hot_{k}" for k in keys], _LO, _HI, _PARTS))
+    return stored(laid_out.withColumn(SEGMENT, F.spark_partition_id().cast("long")), "segments")
 
 
 def attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:

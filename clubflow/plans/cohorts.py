@@ -51,7 +51,7 @@ def cohorts(history: DataFrame, discount_id: int | None = None) -> DataFrame:
     chained = in_order(
         kept.select("id", "club_id", "status", "cancel_reason", "pay_date", "updated_at", *_ORDER),
         ["id"],
-        _ORDER[0],
+        _ORDER,
         chain,
         hot_keys(kept, ["id"], _ORDER[0]),
     )

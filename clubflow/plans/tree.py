@@ -301,13 +301,12 @@ def club_profile(clubs: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def metrics_year(
-    month: DataFrame, clubs: DataFrame, start: dt.date, as_of: dt.date, same_club: bool = False
+    month: DataFrame, clubs: DataFrame, start: dt.date, as_of: dt.date, same_club: bool = True
 ) -> DataFrame:
-    """Every month row next to every row of the same month of the year.
+    """Every month row of a club next to its rows of the same month of each year.
 
-    Rows pair across years and clubs, so the result has (clubs x years) squared
-    rows per month of the year; it depends on the grid only, never on the size
-    of the fact tables. ``same_club`` pairs a club with itself only.
+    ``same_club=False`` pairs across clubs as well: (clubs x years) squared rows
+    per month of the year, for small grids only.
     """
     grid = month_grid(clubs.select(F.col("name").alias("club_name")), start, as_of)
     one = (

@@ -230,7 +230,7 @@ def swipe_gapfill(swipes: DataFrame, clubs: DataFrame, above: int = 0, tz_hours:
         near = neighbours_step(rows, keys, ["id"], {"_prev": "_known"}, {"_next": "_known"}, cut)
         return running_step(near, keys, ["id"], {"_first": ("first", "club_id")}, cut)
 
-    filled = in_order(scans, keys, "id", fill, hot)
+    filled = in_order(scans, keys, ["id"], fill, hot)
     picked = filled.withColumn("_club", F.coalesce("_prev", "_next", "_first"))
     return picked.join(known, "_club", "left").select(
         "id",
@@ -298,7 +298,7 @@ def class_attendance(
         allowMissingColumns=True,
     )
     keys = ["user_id", "_day"]
-    day_hot = hot_keys(marked, keys, "_at") if hot is not None else None
+    day_hot = hot_keys(marked, keys, "_at")
     seen = running(marked, keys, ["_at", "_kind", "booking_id"], {"_reach": ("max", "_out")}, hot=day_hot)
     # a booking with several visits that fit is still one booking
     visited = (

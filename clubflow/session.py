@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -47,9 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", "") or sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # one process: driver and executors see the same disk
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="clubflow-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
@@ -59,7 +63,14 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/clubflow/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write the rows once to the shared folder, as Parquet, and go on from there.
+
+    Unlike a checkpoint, later steps read only the columns they need and know the table's size.
+    """
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+materialize = stored

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clubflow.session import materialize
 from clubflow.sources.scan import latest
@@ -69,13 +70,15 @@ def append_computed(
 
 
 def replace_range(
-    df: DataFrame, path: str, column: str, lo, hi, partition: str, closed: bool = False
+    df: DataFrame, path: str, column: str, lo, hi, partition: str, closed: bool = False, partitions: tuple | None = None
 ) -> None:
     """Replace target rows with ``lo <= column < hi`` (``<= hi`` if closed) by ``df``.
 
     ``partition`` is the target's partition column, a function of ``column``
     that ``df`` carries. Only partitions that hold rows of the range are
-    rewritten; rows of theirs outside the range are kept.
+    rewritten; rows of theirs outside the range are kept. ``partitions`` names the
+    first and last partition value the range can touch, so that a reload opens no
+    other partition of the target.
     """
     spark = df.sparkSession
     value = F.col(column)
@@ -84,6 +87,8 @@ def replace_range(
     if target is None:
         overwrite_partitions(df.where(inside), path, partition)
         return
+    if partitions is not None:
+        target = target.where(F.col(partition).between(F.lit(partitions[0]), F.lit(partitions[1])))
     new = materialize(df.where(inside))
     touched = target.where(inside).select(partition).union(new.select(partition)).distinct()
     outside = target.where(~F.coalesce(inside, F.lit(False)))
@@ -113,13 +118,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 
 def _drop_partitions(spark: SparkSession, path: str, partition: str, gone: DataFrame) -> None:
-    values = [row[0] for row in gone.collect()]
-    if not values:
-        return
-    jvm = spark._jvm
-    for value in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Leave no row in the partitions named: each gets an empty file in place of its rows."""
+    columns = [f for f in spark.read.parquet(path).schema.fields if f.name != partition]
+    empty = spark.createDataFrame([], StructType(columns))
+    for row in gone.collect():  # partitions of one load
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path}/{partition_folder(partition, row[0])}"
+        )
+
+
+def partition_folder(partition: str, value) -> str:
+    """The folder of a partition value as Spark names it."""
+    if value is None or value == "":
+        return f"{partition}=__HIVE_DEFAULT_PARTITION__"
+    # fixed values: the characters that partition folders escape
+    special = set("\"#%'*/:=?\\{[]^") | {chr(i) for i in range(1, 32)} | {"\x7f"}
+    return f"{partition}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in str(value))
 
 
 def months_to_reload(as_of: dt.date, grace_days: int = 2) -> list[dt.date]:
@@ -136,7 +150,13 @@ def replace_months(
     for first in months_to_reload(as_of):
         following = (first + dt.timedelta(days=32)).replace(day=1)
         last = min(as_of, following - dt.timedelta(days=1))
-        overwrite_partitions(build(first, last), path, month)
+        rows = materialize(build(first, last))
+        overwrite_partitions(rows, path, month)
+        spark = rows.sparkSession
+        if not rows.limit(1).count() and read_target(spark, path) is not None:
+            # a month that the build leaves empty loses its old rows too
+            held = read_target(spark, path).where(F.col(month) == F.lit(first)).select(month).distinct()
+            _drop_partitions(spark, path, month, held)
 
 
 def compact(

@@ -38,6 +38,17 @@ def test_max_over_covering(spark, seed):
     assert got == want
 
 
+def test_days_far_from_the_epoch_do_not_meet(spark):
+    rng = random.Random(9)
+    points = [(i, "a", rng.randrange(-25_600, 120_600)) for i in range(80)] + [(80, "a", -719_162), (81, "a", 2_932_896)]
+    spans = [(lo, lo + rng.choice([0, 1, 700, 9_000]), i) for i, lo in enumerate(rng.randrange(-25_600, 120_000) for _ in range(60))]
+    spans += [(-3654, -2000, 60), (65_750, 69_500, 61), (2_932_800, 2_932_896, 62), (-719_162, -719_000, 63)]
+    p = spark.createDataFrame([(i, k, day(d)) for i, k, d in points], "id long, k string, d date")
+    s = spark.createDataFrame([("a", day(a), day(b), v) for a, b, v in spans], "k string, a date, b date, v long")
+    got = {r["id"]: r["w"] for r in max_over_covering(p, s, ["k"], "d", "a", "b", {"w": "v"}).collect()}
+    assert got == {i: max((v for a, b, v in spans if a <= d <= b), default=None) for i, _, d in points}
+
+
 @pytest.mark.parametrize("limit", [None, 4])
 def test_inside_any(spark, limit):
     rng = random.Random(5)

@@ -96,3 +96,19 @@ def test_compact_only_named_partitions(spark, path):
 def test_latest_takes_whole_rows(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (2, 1, "c")], "id long, version long, note string")
     assert sorted(tuple(r) for r in latest(df, ["id"], ["version"]).collect()) == [(1, 2, None), (2, 1, "c")]
+
+
+def test_an_emptied_month_loses_its_rows(spark, path):
+    rows = table(spark, [(1, dt.date(2024, 4, 3), "old"), (2, dt.date(2024, 5, 1), "old"), (3, dt.date(2024, 3, 9), "old")])
+    load.overwrite_partitions(rows, path, "month")
+    load.replace_months(lambda first, last: rows.where("id > 5"), path, dt.date(2024, 5, 2), "month")
+    assert content(spark, path) == [(3, "2024-03-09", "old")]
+
+
+def test_partition_folders_are_named_as_spark_names_them(spark, path):
+    import os
+
+    values = ["a b", "x:y", "50%", "p=q", "é", "", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, part string")
+    load.overwrite_partitions(df, path, "part")
+    assert {load.partition_folder("part", v) for v in values} == {f for f in os.listdir(path) if f.startswith("part=")}

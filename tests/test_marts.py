@@ -224,13 +224,14 @@ def test_metrics_year_pairs(spark):
     costs = spark.createDataFrame([], "date_month date, club_id long, acquisition_cost double, club_ebitda double")
     revenue = spark.createDataFrame([(D("2024-01-09"), "A", 5), (D("2024-01-10"), "A", 6)], "date date, club_name string, total_cost long")
     built = tree.metric_tree(flows, active, clubs, costs, revenue, D("2023-01-01"), D("2024-01-20"))
-    january = built.year.where("month(date) = 1")
-    assert january.count() == 4 * 4 and built.year.where("month(date) = 5").count() == 2 * 2
+    assert built.year.where("month(date) = 1").count() == 8 and built.year.where("club_name <> club_name_2").count() == 0
+    every = tree.metrics_year(built.month, clubs, D("2023-01-01"), D("2024-01-20"), same_club=False)
+    january = every.where("month(date) = 1")
+    assert january.count() == 4 * 4 and every.where("month(date) = 5").count() == 2 * 2
     mine = january.where("club_name = 'A' and date = DATE'2024-01-01'")
     assert mine.count() == 4
     one = mine.where("club_name_2 = 'B' and year_2 = '2023'").first()
     assert (one["revenue"], one["revenue_2"], one["tir"], one["tir_2"], one["age"], one["age_2"]) == (11, None, "1", "3", "молодые", "зрелые")
-    assert tree.metrics_year(built.month, clubs, D("2023-01-01"), D("2024-01-20"), same_club=True).where("month(date) = 1").count() == 8
 
 
 def _days(spark, counts, column, flag):

@@ -143,7 +143,7 @@ def test_large_key_is_spread_over_segments(spark):
     )
     hot = hot_keys(df, ["k"], "at", 100)
     assert [r["k"] for r in hot.collect()] == ["hot"]
-    cut = segmented(df, ["k"], "at", hot)
+    cut = segmented(df, ["k"], ["at"], hot)
     sizes = [r["count"] for r in cut.groupBy(SEGMENT).count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 100 and sum(sizes) == 1000
     assert without_hot(df, ["k"], hot).count() == 2000
@@ -152,6 +152,22 @@ def test_large_key_is_spread_over_segments(spark):
     assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("kind", ["outlier", "burst", "nulls"])
+def test_segments_are_small_whatever_the_values(spark, kind):
+    at = {
+        "outlier": "CASE WHEN id = 7 THEN DATE'1970-01-01' ELSE date_add(DATE'2024-01-01', int(id % 9)) END",
+        "burst": "CASE WHEN id % 50 = 0 THEN date_add(DATE'2024-01-01', int(id % 7)) ELSE DATE'2024-05-05' END",
+        "nulls": "CASE WHEN id % 3 = 0 THEN date_add(DATE'2024-01-01', int(id % 7)) END",
+    }[kind]
+    df = spark.range(20_000).selectExpr("'one' AS k", f"{at} AS at", "id")
+    cut = segmented(df, ["k"], ["at", "id"], hot_keys(df, ["k"], limit=1000))
+    sizes = [r["count"] for r in cut.groupBy(SEGMENT).count().collect()]
+    assert max(sizes) <= 1000 and sum(sizes) == 20_000
+    out = row_numbers(df, ["k"], ["at", "id"], "rn", hot=hot_keys(df, ["k"], limit=1000))
+    want = df.selectExpr("id", "row_number() OVER (PARTITION BY k ORDER BY at NULLS LAST, id) AS want")
+    assert out.join(want, "id").where("rn <> want").count() == 0
+
+
 def test_no_large_key_means_a_plain_window(spark):
     df, _ = make(spark, 7)
     assert hot_keys(df, ["k"], "at", 1000) is None
