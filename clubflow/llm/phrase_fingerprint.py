@@ -126,8 +126,9 @@ def compare_edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(-F.col("doc_id"), F.lit(2**63 - 1))  # ascending in this is descending in doc_id, null last
     # one bound per range: sizes decide how evenly the work is dealt out, never the result
-    bounds = rows.select(key.cast("double").alias("k")).approxQuantile("k", [i / count for i in range(1, count)], 0.0005)
-    bounds = sorted({int(b) for b in bounds})
+    known = rows.where("doc_id is not null").select(key.cast("double").alias("k"))
+    bounds = known.approxQuantile("k", [i / count for i in range(1, count)], 0.0005)
+    bounds = sorted({min(int(b), 2**63 - 1) for b in bounds})
     part = F.lit(0)
     if bounds:
         part = F.expr(f"aggregate(array({','.join(f'{b}L' for b in bounds)}), 0, (n, b) -> n + int(b < k))")
