@@ -2,7 +2,7 @@
 
 Distinct vectors are dealt to the nearest of some pivot vectors. A vector can only have partners in a cell whose
 border is near enough: with cosine at least ``t``, partners lie within ``sqrt(2 - 2 t)``, so it is a guest of every
-other cell whose separating plane is no farther. Cells are cut into tiles of bounded size. In a tile both sides are
+cell of a lower number whose separating plane is no farther. Cells are cut into tiles of bounded size. In a tile both sides are
 quantised to int8; the product of the codes and the two exact quantisation errors bound the true cosine from both
 sides. Pairs whose bounds lie on one side of the threshold are settled, the others are computed again in double
 precision. A tile gives counts and a spanning forest of its links, never its pairs.
@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from clubflow.llm.common import components, local_components, narrow, stored
 
 THRESHOLD = 0.9
-#: Vectors of one side of a tile, on average.
-TILE = 2048
-#: Pivots: one for so many vectors, within these limits; they are taken by hash, and only the speed depends on them.
-PER_PIVOT = 1500
+#: Bytes of the vectors of one side of a tile, on average, as doubles.
+TILE_BYTES = 16 << 20
+#: Pivots: one for so many tile sides, within these limits; they are taken by hash, and only the speed depends on
+#: them. A vector is copied into at most as many cells, so few large cells also bound the rows that are shuffled.
 PIVOTS = (8, 512)
+#: Rows of one side that are multiplied at a time.
+BLOCK = 1024
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,24 +49,33 @@ def code_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def tile_links(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """Pairs (row of x, row of y) of unit rows with product >= threshold, and how many needed full precision."""
-    (p, sp, ep), (q, sq, eq) = quantise(x), quantise(y)
-    rough = code_product(p, q)
-    rough *= sp[:, None].astype(np.float32)
-    rough *= sq[None, :].astype(np.float32)
+def block_links(p: tuple, q: tuple, x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pairs (row of x, row of y) of unit rows with product >= threshold, and how many needed full precision.
+
+    ``p`` and ``q`` are the quantised rows of x and y.
+    """
+    (cp, sp, ep), (cq, sq, eq) = p, q
+    if not len(cp) or not len(cq):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    rough = code_product(cp, cq)
     # |<u,v> - <u',v'>| <= |u - u'| |v| + |u'| |v - v'|, lengths 1 and at most 1 + error; a little for rounding
-    slack = ep + (1 + ep) * float(eq.max(initial=0)) + 1e-5
-    i, j = np.nonzero(rough >= (threshold - slack)[:, None].astype(np.float32))
-    value = rough[i, j].astype(float)
+    least = threshold - (ep + (1 + ep) * float(eq.max()) + 1e-5)
+    # the product of codes that a pair needs at the largest scale, or at the smallest one if it is below zero
+    floor = least / (sp * np.where(least > 0, sq.max(), sq.min()))
+    i, j = np.divmod(np.flatnonzero(rough >= (floor - np.abs(floor) * 1e-6)[:, None].astype(rough.dtype)), len(cq))
+    value = rough[i, j].astype(float) * sp[i] * sq[j]
     bound = ep[i] + (1 + ep[i]) * eq[j] + 1e-5
     sure = value - bound >= threshold
     maybe = np.flatnonzero(~sure & (value + bound >= threshold))
-    keep = sure.copy()
     for k in range(0, len(maybe), 1 << 18):
         m = maybe[k : k + (1 << 18)]
-        keep[m] = np.einsum("ij,ij->i", x[i[m]], y[j[m]]) >= threshold
-    return i[keep], j[keep], len(maybe)
+        sure[m] = np.einsum("ij,ij->i", x[i[m]], y[j[m]]) >= threshold
+    return i[sure], j[sure], len(maybe)
+
+
+def tile_links(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """The same for rows that are not quantised yet."""
+    return block_links(quantise(x), quantise(y), x, y, threshold)
 
 
 def _unit(values: pa.Array) -> np.ndarray:
@@ -73,7 +84,7 @@ def _unit(values: pa.Array) -> np.ndarray:
 
 
 def _deal(pivots: np.ndarray, reach: float):
-    """Each vector to its own cell, and as a guest to the cells it may have partners in."""
+    """Each vector to its own cell, and as a guest to the cells of lower numbers it may have partners in."""
     gap = np.sqrt(np.maximum(((pivots[:, None] - pivots[None]) ** 2).sum(axis=2), 0)) if len(pivots) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +97,8 @@ def _deal(pivots: np.ndarray, reach: float):
                 best = near[np.arange(len(x)), cell]
                 # distance to the plane between the two pivots
                 guest = best[:, None] - near <= reach * gap[cell] * (1 + 1e-9) + 1e-9
-                guest[np.arange(len(x)), cell] = False
+                # a pair of two cells meets once, in the cell of the lower number
+                guest &= np.arange(len(pivots)) < cell[:, None]
                 row, other = np.nonzero(guest)
                 rows = np.concatenate((np.arange(len(x)), row))
                 yield pa.RecordBatch.from_arrays(
@@ -102,25 +114,31 @@ def _deal(pivots: np.ndarray, reach: float):
 
 
 def _tile(threshold: float):
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, part, with_part, within = (k.as_py() for k in key)
+        alone = within and part == with_part  # a part of a cell with itself: each pair once
         table = table.combine_chunks()
         node, times = np.asarray(table["node"]), np.asarray(table["n_same"])
         home = ~np.asarray(table["probe"].cast(pa.int8())).astype(bool)
         x = _unit(table["v"].combine_chunks())
-        h, p = np.flatnonzero(home), np.flatnonzero(~home)
+        codes = quantise(x)
+        # rows of like scales together, so that the largest scale of a block says most
+        order = np.argsort(codes[1], kind="stable")
+        h, p = order[home[order]], order if alone else order[~home[order]]
         count, forest = np.zeros(len(node), np.int64), np.arange(len(node))
         full = 0
-        for a in range(0, len(h), 1024):
-            for b in range(0, len(p), 1024):
-                hh, pp = h[a : a + 1024], p[b : b + 1024]
-                i, j, again = tile_links(x[pp], x[hh], threshold)
+        for a in range(0, len(h), BLOCK):
+            hh = h[a : a + BLOCK]
+            for b in range(a if alone else 0, len(p), BLOCK):
+                pp = p[b : b + BLOCK]
+                i, j, again = block_links([c[pp] for c in codes], [c[hh] for c in codes], x[pp], x[hh], threshold)
                 full += again
-                i, j = pp[i], hh[j]
-                differ = node[i] != node[j]
-                i, j = i[differ], j[differ]
-                # in the tile that has them the other way round, or in the other one's cell, j counts i
-                np.add.at(count, i, times[j])
+                if alone and a == b:
+                    i, j = i[i > j], j[i > j]
                 if len(i):
+                    i, j = pp[i], hh[j]
+                    count += np.bincount(i, times[j], len(node)).astype(np.int64)
+                    count += np.bincount(j, times[i], len(node)).astype(np.int64)
                     forest = local_components(len(node), forest[i], forest[j])[forest]
         joined = np.flatnonzero((forest != np.arange(len(node))) | (count > 0))
         return pa.table({
@@ -131,8 +149,8 @@ def _tile(threshold: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """Rows (vec_id, n_links, component_id, kept) for a table (vec_id, embedding)."""
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int | None = None) -> DataFrame:
+    """Rows (vec_id, n_links, component_id, kept) for a table (vec_id, embedding); ``tile``: vectors of a tile's side."""
     spark = vectors.sparkSession
     rows = narrow(vectors, "vec_id", "embedding").withColumn("embedding", F.col("embedding").cast("array<double>"))
     good = F.coalesce(
@@ -152,7 +170,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
         "vectors",
     )
     sizes = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    parts = [_links(nodes.where(F.col("dim") == d), n, threshold, tile) for d, n in sorted(sizes.items())]
+    parts = [
+        _links(nodes.where(F.col("dim") == d), n, threshold, tile or max(256, TILE_BYTES // (8 * d)))
+        for d, n in sorted(sizes.items())
+    ]
     if not parts:
         return rows.select(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
@@ -185,7 +206,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
 def _links(nodes: DataFrame, n: int, threshold: float, tile: int) -> DataFrame:
     """(a, b, n): for vectors of one length, links to count and a spanning set of pairs."""
     spark = nodes.sparkSession
-    want = min(max(n // PER_PIVOT, PIVOTS[0]), PIVOTS[1])
+    want = min(max(n // tile, PIVOTS[0]), PIVOTS[1])
     chosen = nodes.orderBy(F.xxhash64("v"), "node").limit(want).select("v").collect()  # at most 512 vectors
     pivots = np.array([r["v"] for r in chosen], float)
     pivots /= np.sqrt((pivots**2).sum(axis=1))[:, None]
@@ -198,7 +219,7 @@ def _links(nodes: DataFrame, n: int, threshold: float, tile: int) -> DataFrame:
     )
     # sizes of the cells: two numbers a pivot
     cut = {
-        r["cell"]: (max(1, -(-r["homes"] // tile)), max(1, -(-r["guests"] // tile)))
+        r["cell"]: (max(1, -(-r["homes"] // tile)), -(-r["guests"] // tile))
         for r in dealt.groupBy("cell")
         .agg(F.count_if(~F.col("guest")).alias("homes"), F.count_if("guest").alias("guests"))
         .collect()
@@ -209,14 +230,19 @@ def _links(nodes: DataFrame, n: int, threshold: float, tile: int) -> DataFrame:
     own = sized.where(~F.col("guest")).withColumn("s", at % F.col("hs"))
     guests = sized.where("guest").withColumn("s", at % F.col("gs"))
     keep = ["node", "v", "n_same", "cell"]
-    # a tile is a part of the cell's own vectors (i) against another part (j), or against a part of the guests
-    fixed = [F.lit(False).alias("probe")]
+    # a tile is a part of the cell's own vectors (i) with itself, against a later part (j), or against a part of the guests
+    home, probe = F.lit(False).alias("probe"), F.lit(True).alias("probe")
+    within, across = F.lit(True).alias("self"), F.lit(False).alias("self")
+
+    def each(first, last):
+        return F.explode(F.sequence(first, last))
+
     tiles = [
-        own.select(*keep, F.col("s").alias("i"), F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("j"), F.lit(True).alias("self"), *fixed),
-        own.select(*keep, F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("i"), F.col("s").alias("j"), F.lit(True).alias("self"), F.lit(True).alias("probe")),
-        own.select(*keep, F.col("s").alias("i"), F.explode(F.sequence(F.lit(0), F.col("gs") - 1)).alias("j"), F.lit(False).alias("self"), *fixed),
-        guests.select(*keep, F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("i"), F.col("s").alias("j"), F.lit(False).alias("self"), F.lit(True).alias("probe")),
-    ]
+        own.select(*keep, F.col("s").alias("i"), each(F.col("s"), F.col("hs") - 1).alias("j"), within, home),
+        own.where("s > 0").select(*keep, each(F.lit(0), F.col("s") - 1).alias("i"), F.col("s").alias("j"), within, probe),
+        own.where("gs > 0").select(*keep, F.col("s").alias("i"), each(F.lit(0), F.col("gs") - 1).alias("j"), across, home),
+        guests.select(*keep, each(F.lit(0), F.col("hs") - 1).alias("i"), F.col("s").alias("j"), across, probe),
+    ]
     union = tiles[0].unionAll(tiles[1]).unionAll(tiles[2]).unionAll(tiles[3])
     found = union.groupBy("cell", "i", "j", "self").applyInArrow(_tile(threshold), "a long, b long, n long, again long")
     return found.select("a", "b", "n")
