@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from clubflow import config as c
 from clubflow.catalog.registry import Tables, query
+from clubflow.functions.dates import month_start
 from clubflow.plans import anomalies, campaign, cohorts, mobile, money, trainers, tree, visits
-from clubflow.session import materialize
+from clubflow.session import materialize, new_table_path
+from clubflow.sources import load
 
 START = dt.date(1995, 1, 1)
 AS_OF = dt.date(2001, 12, 1)
@@ -131,9 +135,26 @@ def _in_out_raw(t: Tables):
 
 
 @query(
-    "mart_swipe_gapfill",
-    tables=("swipes", "clubs"),
-    sql="""
+    "mart_in_out_entries",
+    tables=("visits_histories", "users", "clubs"),
+    dates=("birthday",),
+    sql=f"WITH {_IN_OUT} SELECT * FROM both_sides WHERE event_type = 'club_in'",
+)
+def _entries(t: Tables):
+    return visits.in_out_visits(_raw(t)).entries
+
+
+@query(
+    "mart_in_out_exits",
+    tables=("visits_histories", "users", "clubs"),
+    dates=("birthday",),
+    sql=f"WITH {_IN_OUT} SELECT * FROM both_sides WHERE event_type = 'club_out'",
+)
+def _exits(t: Tables):
+    return visits.in_out_visits(_raw(t)).exits
+
+
+_GAPFILL = """
     WITH s AS (
         SELECT s.*, k.id AS known FROM swipes s LEFT JOIN clubs k ON k.id = s.club_id WHERE event_type = 'qr_check'),
     w AS (
@@ -143,12 +164,32 @@ def _in_out_raw(t: Tables):
         FROM s WINDOW x AS (PARTITION BY user_id, CAST(event_date AS DATE) ORDER BY id))
     SELECT w.id, event_date + INTERVAL 3 HOUR AS event_date, event_type, sys_response, k.id AS club_id,
         k.name AS club_name, user_id, is_success
-    FROM w LEFT JOIN clubs k ON k.id = w.pick""",
-)
+    FROM w LEFT JOIN clubs k ON k.id = w.pick"""
+
+
+@query("mart_swipe_gapfill", tables=("swipes", "clubs"), sql=_GAPFILL)
 def _gapfill(t: Tables):
     return visits.swipe_gapfill(t.swipes, t.clubs, above=-1)
 
 
+@query("mart_swipe_gapfill_batches", tables=("swipes", "clubs"), sql=_GAPFILL)
+def _gapfill_batches(t: Tables):
+    path = new_table_path(t.spark, "swipes")
+    top = t.swipes.agg(F.max("id")).first()[0] or 0
+    above = -1
+    for batch, upto in enumerate((top // 3, top // 2, top)):
+        arrived = t.swipes.where(F.col("id") <= upto)
+        rows = visits.swipe_gapfill(arrived, t.clubs, above, reopen=True).withColumns(
+            {"batch": F.lit(batch), "month": month_start(F.col("event_date"))}
+        )
+        rows.write.mode("append").partitionBy("month").parquet(path)
+        above = upto
+    table = load.read_target(t.spark, path)
+    months = [row[0] for row in table.select("month").distinct().collect()]
+    load.compact(t.spark, path, ["id"], ["batch"], "month", months)
+    return load.read_target(t.spark, path).drop("batch", "month")
+
+
 @query(
     "mart_class_attendance",
     tables=("visits_histories", "users", "clubs", "plans", "bookings"),
@@ -183,12 +224,8 @@ def _attendance(t: Tables):
 # --------------------------------------------------------------------------- money
 
 
-@query(
-    "mart_revenue_monthly",
-    tables=("transactions", "plans", "club_moves", "legal_infos", "clubs", "payment_plans"),
-    dates=("date", "open_date"),
-    money=("total_cost",),
-    sql=f"""
+def _revenue_sql(until: str) -> str:
+    return f"""
     WITH own AS (SELECT * FROM plans WHERE payment_plan_id NOT IN (111, 1)),
     mv AS (
         SELECT m.user_payment_plan_id AS id, m.created_at + INTERVAL 3 HOUR AS at_, m.old_club_id
@@ -209,13 +246,21 @@ def _attendance(t: Tables):
         FROM transactions t LEFT JOIN plans p ON p.id = t.user_payment_plan_id
         LEFT JOIN legal_infos l ON l.id = t.club_legal_info_id
         LEFT JOIN second ON second.id = t.user_payment_plan_id
-        WHERE coalesce(p.payment_plan_id, 0) NOT IN (111, 1))
+        WHERE coalesce(p.payment_plan_id, 0) NOT IN (111, 1) AND t.updated_at < TIMESTAMP '{until}')
     SELECT tx.date, plan_id AS payment_plan_id, pp.name AS payment_name,
         CASE WHEN legal > 0 THEN legal ELSE first_club END AS club_id, k.name AS club_name, k.city_id, k.club_type,
         k.open_date, sum(revenue) AS total_cost
     FROM tx LEFT JOIN clubs k ON k.id = CASE WHEN legal > 0 THEN legal ELSE first_club END
     LEFT JOIN payment_plans pp ON pp.id = plan_id
-    GROUP BY ALL""",
+    GROUP BY ALL"""
+
+
+@query(
+    "mart_revenue_monthly",
+    tables=("transactions", "plans", "club_moves", "legal_infos", "clubs", "payment_plans"),
+    dates=("date", "open_date"),
+    money=("total_cost",),
+    sql=_revenue_sql("2003-01-01"),
 )
 def _revenue(t: Tables):
     return money.revenue_monthly(
@@ -223,6 +268,26 @@ def _revenue(t: Tables):
     )
 
 
+@query(
+    "mart_revenue_monthly_reload",
+    tables=("transactions", "plans", "club_moves", "legal_infos", "clubs", "payment_plans"),
+    dates=("date", "open_date"),
+    money=("total_cost",),
+    sql=_revenue_sql("2000-05-03"),
+)
+def _revenue_reload(t: Tables):
+    path = new_table_path(t.spark, "revenue")
+
+    def build(first: dt.date, last: dt.date, known=t.transactions):
+        return money.revenue_monthly(known, t.plans, t.club_moves, t.legal_infos, t.clubs, t.payment_plans, first, last)
+
+    # loaded when the last third of April was not there yet; the reload of 2 May completes it
+    early = t.transactions.where(F.col("updated_at") < F.lit("2000-04-20").cast("timestamp_ntz"))
+    load.overwrite_partitions(build(START, AS_OF, early), path, "date")
+    load.replace_months(build, path, dt.date(2000, 5, 2))
+    return load.read_target(t.spark, path)
+
+
 @query(
     "mart_accounting_ledger",
     tables=("accounting", "ledger_transactions", "receipts", "users", "legal_infos", "clubs"),
@@ -527,22 +592,33 @@ def _metrics_year(t: Tables):
 # --------------------------------------------------------------------------- anomalies
 
 
-@query(
-    "mart_inflow_anomaly",
-    tables=("flows",),
-    dates=("inflow_date",),
-    sql="""
+_INFLOW = """
     WITH d AS (SELECT start_date AS inflow_date, count(*) AS n FROM flows WHERE is_inflow = 1 GROUP BY ALL),
     w AS (SELECT inflow_date, n AS new_subscribers,
             avg(n) OVER (ORDER BY inflow_date ROWS BETWEEN 179 PRECEDING AND CURRENT ROW) AS avg_6_months,
             lag(n) OVER (ORDER BY inflow_date) AS previous_day_subscribers FROM d)
     SELECT *, CASE WHEN new_subscribers > avg_6_months * 1.8::DOUBLE THEN 1
-        WHEN new_subscribers > previous_day_subscribers * 2.5::DOUBLE THEN 1 ELSE 0 END AS is_anomaly FROM w""",
-)
+        WHEN new_subscribers > previous_day_subscribers * 2.5::DOUBLE THEN 1 ELSE 0 END AS is_anomaly FROM w"""
+
+
+@query("mart_inflow_anomaly", tables=("flows",), dates=("inflow_date",), sql=_INFLOW)
 def _inflow_anomaly(t: Tables):
     return anomalies.inflow_anomaly(t.flows)
 
 
+@query(
+    "mart_anomaly_count",
+    tables=("flows",),
+    sql=f"""
+    WITH f AS ({_INFLOW})
+    SELECT count(*) AS cnt FROM f WHERE is_anomaly = 1 AND inflow_date = (SELECT max(inflow_date) FROM f WHERE is_anomaly = 1)""",
+)
+def _anomaly_count(t: Tables):
+    flags = materialize(anomalies.inflow_anomaly(t.flows))
+    last = flags.where("is_anomaly = 1").agg(F.max("inflow_date")).first()[0]
+    return anomalies.anomaly_count(flags, "inflow_date", last)
+
+
 @query(
     "mart_outflow_anomaly",
     tables=_TREE_TABLES,

@@ -12,6 +12,7 @@ from clubflow.functions.dates import days_between, month_start, ntz, repair_birt
 from clubflow.functions.text import code_label, first_label, split_number
 from clubflow.operators.ordered import first_rows, neighbours
 from clubflow.operators.skew import hot_keys
+from clubflow.session import stored
 
 
 def revenue_monthly(
@@ -30,8 +31,26 @@ def revenue_monthly(
     The club is the legal entity's, else the first club of the plan: the one
     left by the earliest move on or after the start, else the plan's own.
     """
-    own = plans.where(~F.col("payment_plan_id").isin(*c.REVENUE_EXCLUDED_PLANS)).select(
-        "id", "user_id", "club_id", "start_date", "end_date"
+    signed = (
+        F.when(F.col("provider_id").isin(*c.REVENUE_PLUS), F.col("total_amount"))
+        .when(F.col("provider_id").isin(*c.REVENUE_MINUS), -F.col("total_amount"))
+        .otherwise(F.lit(0))
+    )
+    stop = dt.datetime.combine(last_day, dt.time(23, 59, 59))
+    paid = transactions.where(
+        F.col("updated_at").between(ntz(dt.datetime.combine(first_day, dt.time())), ntz(stop))
+    ).select(
+        "user_id",
+        "user_payment_plan_id",
+        "club_legal_info_id",
+        month_start(F.col("updated_at")).alias("date"),
+        signed.alias("revenue"),
+    )
+    # only plans paid in the range, and their moves, are looked at
+    own = (
+        plans.where(~F.col("payment_plan_id").isin(*c.REVENUE_EXCLUDED_PLANS))
+        .select("id", "user_id", "club_id", "start_date", "end_date")
+        .join(paid.select(F.col("user_payment_plan_id").alias("id")).distinct(), "id", "left_semi")
     )
     moved_at = shift_hours(F.col("created_at"), shift)
     first_move = (
@@ -53,21 +72,6 @@ def revenue_monthly(
             F.when(moved, F.col("_move.old_club_id")).otherwise(F.col("club_id")).alias("_first"),
         )
     )
-    signed = (
-        F.when(F.col("provider_id").isin(*c.REVENUE_PLUS), F.col("total_amount"))
-        .when(F.col("provider_id").isin(*c.REVENUE_MINUS), -F.col("total_amount"))
-        .otherwise(F.lit(0))
-    )
-    stop = dt.datetime.combine(last_day, dt.time(23, 59, 59))
-    paid = transactions.where(
-        F.col("updated_at").between(ntz(dt.datetime.combine(first_day, dt.time())), ntz(stop))
-    ).select(
-        "user_id",
-        "user_payment_plan_id",
-        "club_legal_info_id",
-        month_start(F.col("updated_at")).alias("date"),
-        signed.alias("revenue"),
-    )
     plan_of = plans.select(F.col("id").alias("user_payment_plan_id"), "payment_plan_id")
     legal = legal_infos.select(F.col("id").alias("club_legal_info_id"), F.col("club_id").alias("_legal"))
     by_club = (
@@ -100,13 +104,14 @@ def revenue_monthly(
     )
 
 
-def receipt_counts(receipts: DataFrame) -> DataFrame:
-    """Receipts per transaction id (parsed from the number) and fiscal status."""
-    return (
-        receipts.where(F.col("fiscal_status").isin(*c.COUNTED_FISCAL_STATUSES))
-        .groupBy(split_number(F.col("number"), "_", 2).alias("id_transaction"), "fiscal_status")
-        .agg(F.count(F.lit(1)).alias("cnt_receips"))
+def receipt_counts(receipts: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Receipts per transaction id (parsed from the number) and fiscal status; of the ids ``wanted`` only, if given."""
+    counted = receipts.where(F.col("fiscal_status").isin(*c.COUNTED_FISCAL_STATUSES)).select(
+        split_number(F.col("number"), "_", 2).alias("id_transaction"), "fiscal_status"
     )
+    if wanted is not None:
+        counted = counted.join(wanted, "id_transaction", "left_semi")
+    return counted.groupBy("id_transaction", "fiscal_status").agg(F.count(F.lit(1)).alias("cnt_receips"))
 
 
 def accounting_ledger(
@@ -122,7 +127,13 @@ def accounting_ledger(
 
     The parent transaction's receipt comes first, then the row's own.
     """
-    counts = receipt_counts(receipts).where(F.col("id_transaction").isNotNull())
+    fresh = accounting.where(~F.col("is_deleted") & (F.col("transaction_id") > above))
+    tx = transactions.where(F.col("id") > above).select(
+        F.col("id").alias("transaction_id"), "receipt_id", "parent_id", "club_legal_info_id"
+    )
+    # receipts of the new rows and of their parents, counted once for both lookups
+    wanted = fresh.select(F.col("transaction_id").alias("id_transaction")).union(tx.select("parent_id")).distinct()
+    counts = stored(receipt_counts(receipts, wanted), "receipts")
     own = counts.select(
         F.col("id_transaction").alias("transaction_id"),
         F.col("fiscal_status").alias("_own_status"),
@@ -131,17 +142,13 @@ def accounting_ledger(
     parent = counts.select(
         F.col("id_transaction").alias("parent_id"), F.col("fiscal_status").alias("_parent_status")
     )
-    tx = transactions.where(F.col("id") > above).select(
-        F.col("id").alias("transaction_id"), "receipt_id", "parent_id", "club_legal_info_id"
-    )
     legal = legal_infos.select(F.col("id").alias("club_legal_info_id"), F.col("club_id").alias("_club"))
     club = clubs.select(F.col("id").alias("_club"), F.col("name").alias("club_name"))
     who = users.select(
         F.col("id").alias("user_id"), F.concat("name", F.lit(" "), "last_name").alias("name")
     )
     return (
-        accounting.where(~F.col("is_deleted") & (F.col("transaction_id") > above))
-        .join(tx, "transaction_id", "left")
+        fresh.join(tx, "transaction_id", "left")
         .join(own, "transaction_id", "left")
         .join(parent, "parent_id", "left")
         .join(who, "user_id", "left")

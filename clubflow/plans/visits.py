@@ -184,40 +184,52 @@ def in_out_visits(raw: DataFrame, dedupe: bool = False) -> InOutVisits:
     person = ["id", "user_id", "user_name", "last_name", "email", "sex", "birthday", "club_id", "club_name"]
     span = F.expr(f"INTERVAL {c.VISIT_MINUTES} MINUTE")
 
-    def guessed(other: str, kind: str, gap) -> F.Column:
+    def guessed(other: str, kind: str, gap):
         return F.col(f"{other}_event_date").isNull() | (gap >= 1) | (F.col(f"{other}_event") == kind)
 
     to_next = days_between(F.col("event_date"), F.col("next_event_date"))
     from_prev = days_between(F.col("prev_event_date"), F.col("event_date"))
-    entries = raw.where(F.col("event_type") == c.EVENT_IN).select(
+    entry = F.col("event_type") == c.EVENT_IN
+    # a row is an entry or an exit, so one projection serves both sides
+    both = raw.where(F.col("event_type").isin(c.EVENT_IN, c.EVENT_OUT)).select(
         *person,
-        F.col("event_date").alias("in_date"),
-        "event_type",
-        F.when(guessed("next", c.EVENT_IN, to_next), F.col("event_date") + span)
-        .otherwise(F.col("next_event_date"))
-        .alias("out_date"),
-    )
-    exits = raw.where(F.col("event_type") == c.EVENT_OUT).select(
-        *person,
-        F.when(guessed("prev", c.EVENT_OUT, from_prev), F.col("event_date") - span)
+        F.when(entry, F.col("event_date"))
+        .when(guessed("prev", c.EVENT_OUT, from_prev), F.col("event_date") - span)
         .otherwise(F.col("prev_event_date"))
         .alias("in_date"),
         "event_type",
-        F.col("event_date").alias("out_date"),
+        F.when(~entry, F.col("event_date"))
+        .when(guessed("next", c.EVENT_IN, to_next), F.col("event_date") + span)
+        .otherwise(F.col("next_event_date"))
+        .alias("out_date"),
     )
-    both = entries.unionByName(exits)
+    entries, exits = both.where(entry), both.where(~entry)
     if dedupe:
         both = both.dropDuplicates(["user_id", "in_date", "out_date"])
     return InOutVisits(raw, entries, exits, both)
 
 
-def swipe_gapfill(swipes: DataFrame, clubs: DataFrame, above: int = 0, tz_hours: int = 3) -> DataFrame:
-    """Entry scans with a club taken from the previous, else next, else first swipe of the day."""
-    scans = (
-        swipes.where((F.col("event_type") == "qr_check") & (F.col("id") > above))
+def swipe_gapfill(
+    swipes: DataFrame, clubs: DataFrame, above: int = 0, tz_hours: int = 3, reopen: bool = False
+) -> DataFrame:
+    """Entry scans above a watermark with a club taken from the previous, else next, else first swipe of the day.
+
+    Older swipes of a user's day that got new ones are read along, so the first new swipe knows the one before it.
+    ``reopen`` returns them again: a new swipe can give its club to the one before, so a load that keeps the latest
+    version of an id ends with the same rows however it was cut into batches.
+    """
+    checks = (
+        swipes.where(F.col("event_type") == "qr_check")
         .select("id", "event_date", "event_type", "sys_response", "club_id", "user_id", "is_success")
         .withColumn("_day", F.to_date("event_date"))
     )
+    fresh = (
+        checks.where(F.col("id") > above)
+        .select(F.col("user_id").alias("_user"), F.col("_day").alias("_on"))
+        .distinct()
+    )
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_day").eqNullSafe(F.col("_on"))
+    scans = checks.join(fresh, same, "left_semi")
     known = clubs.select(F.col("id").alias("_club"), F.col("name").alias("club_name"))
     # neighbours count only when their club exists; the first swipe is taken as it is
     scans = scans.join(
@@ -231,6 +243,8 @@ def swipe_gapfill(swipes: DataFrame, clubs: DataFrame, above: int = 0, tz_hours:
         return running_step(near, keys, ["id"], {"_first": ("first", "club_id")}, cut)
 
     filled = in_order(scans, keys, ["id"], fill, hot)
+    if not reopen:
+        filled = filled.where(F.col("id") > above)
     picked = filled.withColumn("_club", F.coalesce("_prev", "_next", "_first"))
     return picked.join(known, "_club", "left").select(
         "id",

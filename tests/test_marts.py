@@ -103,6 +103,27 @@ def test_swipe_gapfill(spark, any_size):
     assert rows(out, "id", "club_id", "club_name") == [(1, 5, "C"), (2, 5, "C"), (3, 5, "C"), (4, 5, "C"), (5, 5, "C"), (6, None, None)]
     assert out.where("id = 1").first()["event_date"] == T("2024-01-01 13:00:00")
     assert rows(visits.swipe_gapfill(swipes, clubs, above=5), "id") == [(6,)]
+    # a day cut by the watermark: swipe 3 still sees swipe 2
+    assert rows(visits.swipe_gapfill(swipes, clubs, above=2), "id", "club_id") == [(3, 5), (4, 5), (5, 5), (6, None)]
+
+
+def test_swipe_gapfill_in_batches(spark, any_size):
+    data = [
+        (1, 1, None, T("2024-01-01 10:00:00")), (2, 1, 5, T("2024-01-01 10:01:00")), (3, None, None, T("2024-01-01 10:02:00")),
+        (4, None, 7, T("2024-01-01 10:03:00")), (5, 1, 7, T("2024-01-01 11:00:00")), (6, 1, None, T("2024-01-02 00:00:00")),
+    ]
+    swipes = spark.createDataFrame(data, "id long, user_id long, club_id long, event_date timestamp_ntz").selectExpr(
+        "*", "'qr_check' event_type", "'ok' sys_response", "true is_success"
+    )
+    clubs = spark.createDataFrame([(5, "C"), (7, "D")], "id long, name string")
+    whole = {r["id"]: r for r in visits.swipe_gapfill(swipes, clubs).collect()}
+    for cuts in ((1, 6), (3, 6), (1, 2, 4, 5, 6)):
+        table, above = {}, 0
+        for upto in cuts:
+            arrived = swipes.where(f"id <= {upto}")
+            table |= {r["id"]: r for r in visits.swipe_gapfill(arrived, clubs, above, reopen=True).collect()}
+            above = upto
+        assert table == whole
 
 
 def test_class_attendance(spark, any_size):
