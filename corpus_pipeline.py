@@ -21,8 +21,7 @@ LANGUAGE_SCORE = 0.4
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Only what the classifier scores 0.5 or more; learned from the labelled rows among these documents."""
-    good = quality.accepts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.where(good(F.col("text")))
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
