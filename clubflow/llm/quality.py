@@ -228,19 +228,6 @@ def rate(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1) -> D
     )
 
 
-def accepts(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1):
-    """A column function text -> boolean: whether the classifier takes a text as good."""
-    known = narrow(labels, "doc_id", "quality").where("quality is not null").select("doc_id").distinct()
-    some = narrow(docs, "doc_id", "text").join(known, "doc_id", "left_semi")
-    model = fit(labelled(stored(measured(some), "statistics"), labels, parts, part))
-
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(model.score(np.array([statistics(t)]))[0] >= 0.5) for t in texts])
-
-    return good
-
-
 def accepted(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1) -> DataFrame:
     """The rows of ``docs``, all columns, whose text the classifier takes as good.
 

@@ -188,3 +188,15 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("doc_id < 0"), str(tmp_path)).count() == 0
+
+
+def test_quality_stage_keeps_every_column_and_what_the_scores_say(spark):
+    rows = odd_texts() + [(3, "same id"), (None, "no id at all")]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(d, i % 2) for i, (d, _) in enumerate(odd_texts())], "doc_id long, quality int")
+    out = quality.accepted(docs, labels)
+    assert out.columns == docs.columns
+    said = sorted((str(r.doc_id) for r in quality.rate(docs, labels).where("predicted = 1").collect()))
+    assert sorted(str(r.doc_id) for r in out.collect()) == said
+    plan = out._jdf.queryExecution().toString()
+    assert "Exchange" not in plan  # stored rows are filtered where they are
