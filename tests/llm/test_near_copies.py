@@ -83,6 +83,50 @@ def test_wide_groups_find_similar_texts_only(spark):
     assert {p: r.component for p, r in got.items()} == group
 
 
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def groups_by_all_pairs(texts):
+    sets = [shingles(t) for t in texts]
+    near = lambda a, b: 10 * len(a & b) >= 8 * len(a | b)
+    return union(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if near(sets[i], sets[j])])
+
+
+def wide_groups(spark, texts, **how):
+    rows = spark.createDataFrame(list(enumerate(texts)), "place long, text string")
+    got = collected(simhash_dedup.similar_groups(rows, **how), "place")
+    return [got[i].component for i in range(len(texts))]
+
+
+def test_unlike_texts_with_one_shingle_repeated_stay_apart(spark):
+    rng = random.Random(12)
+    say = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    runs = [say(200) + " x" * times for times in (300, 320, 150, 300)]
+    rules = [say(300) + " " + "- | + = ; " * 400 for _ in range(3)]
+    base = say(150)
+    runs += [base + " x" * 40, base + " x" * 700]  # the same set of shingles
+    texts = runs + rules
+    want = groups_by_all_pairs(texts)
+    assert want == [0, 1, 2, 3, 4, 4, 6, 7, 8]
+    assert wide_groups(spark, texts) == want
+
+
+def test_large_groups_are_compared_in_parts(spark):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(2000)}" for _ in range(120)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for k in rng.sample(range(120), rng.choice((1, 2, 6))):
+            words[k] = f"v{i} {k}"
+        texts.append(" ".join(words))
+    want = groups_by_all_pairs(texts)
+    assert 1 < len(set(want)) < 60
+    assert wide_groups(spark, texts, part=500) == want == wide_groups(spark, texts)
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(8)
     chain = [(i, i + 1) for i in range(100, 160)]
