@@ -253,13 +253,18 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, blocks: int = BLOCKS, cou
 
 # Longer fingerprints, for texts that share most shingles but not nearly all. They only choose the pairs to look at.
 
-#: Five-word shingles, 512 bits; texts with a similarity of 0.8 differ in 78 bits, give or take 8.
-WIDE_SHINGLE, WIDE_WORDS, WIDE_BITS = 5, 8, 96
+#: Five-word shingles, 512 bits; texts with a similarity of 0.8 differ in 78 bits, give or take 8, so hardly any in more
+#: than 130.
+WIDE_SHINGLE, WIDE_WORDS, WIDE_BITS = 5, 8, 130
 #: Texts are near copies from this share of common shingles on (distinct ones, common of all in either text).
 SIMILAR = 0.8
 #: Cells a text enters: its least shingle under so many permutations. A pair of similarity 0.8 shares none with
 #: probability 0.2 ** LEAST.
 LEAST = 6
+#: Texts of so few shingles also enter the cells of their least shingles under one permutation, as many as not all can
+#: be missing from a similar text: no pair with a text of 25 or fewer is lost. Even counts tie more often, so their
+#: prints may differ in more bits (96, give or take 9, for 4 of 5 shingles).
+FEW, FEW_BITS = 31, 176
 #: Shingles of the texts of one group that one task holds at a time, twice.
 PART_SHINGLES = 2_000_000
 _STEPS = np.random.default_rng(17).integers(1, 2**63, max(LEAST, WIDE_WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -283,6 +288,13 @@ def _wide_print(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _majority(bits), np.unique(mix(least)).view(np.int64)
 
 
+def _few_cells(hashes: np.ndarray) -> np.ndarray:
+    n = len(hashes)
+    if n > FEW:
+        return np.zeros(0, np.int64)
+    return np.sort(mix(hashes + _STEPS[0]))[: n - (8 * n + 9) // 10 + 1].view(np.int64)
+
+
 def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 1):
         sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
@@ -292,8 +304,9 @@ def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()), _binary(np.stack([f for f, _ in both])),
                 pa.array([c for _, c in both], pa.list_(pa.int64())),
+                pa.array([_few_cells(s) for s in sets], pa.list_(pa.int64())),
             ],
-            names=["place", "same", "size", "print", "cells"],
+            names=["place", "same", "size", "print", "cells", "few"],
         )
 
 
@@ -375,14 +388,17 @@ def similar_groups(
     loose groups; in these the sets themselves decide each pair.
     """
     rows = narrow(rows, "place", "text")
-    prints = rows.mapInArrow(_wide, "place long, same binary, size long, print binary, cells array<long>")
+    prints = rows.mapInArrow(_wide, "place long, same binary, size long, print binary, cells array<long>, few array<long>")
     prints = stored(prints, "prints")
     nodes = prints.groupBy("same").agg(
-        F.min("place").alias("name"), F.first("size").alias("size"), F.first("print").alias("print"), F.first("cells").alias("cells")
-    )
+        F.min("place").alias("name"), *[F.first(c).alias(c) for c in ("size", "print", "cells", "few")]
+    )
     nodes = stored(nodes, "nodes")
-    cells = nodes.select(F.explode("cells").alias("cell"), "name", F.lit(False).alias("probe"), "print")
-    loose = components(_linked(cells, bits, count)).withColumnRenamed("node", "name")
+    near = [
+        _linked(nodes.select(F.explode(c).alias("cell"), "name", F.lit(False).alias("probe"), "print"), most, count)
+        for c, most in (("cells", bits), ("few", FEW_BITS))
+    ]
+    loose = components(near[0].unionAll(near[1])).withColumnRenamed("node", "name")
     loose = stored(tiles(loose.join(nodes.select("name", "size"), "name"), "component", F.col("size"), part), "loose")
     texts = loose.join(rows, loose["name"] == rows["place"]).select("tile", "name", "text")
     exact = texts.repartition(F.col("tile")).sortWithinPartitions("tile").mapInArrow(_similar, "a long, b long")

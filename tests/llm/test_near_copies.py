@@ -113,6 +113,25 @@ def test_unlike_texts_with_one_shingle_repeated_stay_apart(spark):
     assert wide_groups(spark, texts) == want
 
 
+def test_links_are_decided_at_the_required_similarity(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(9000)]
+    texts = []
+    for _ in range(40):  # pairs of long texts of similarities about 0.6 to 0.9, by a changed passage
+        base = rng.choices(words, k=300)
+        own = rng.randint(15, 70)
+        texts += [" ".join(base), " ".join(base[:-own] + rng.choices(words, k=own))]
+    for n in range(5, 32):  # short ones: the most shingles that a text of n can lose, and one more
+        for _ in range(6):
+            base = rng.choices(words, k=n + 4)
+            texts += [" ".join(base), " ".join(base[: n + 4 - n // 5]), " ".join(base[: n + 3 - n // 5])]
+    want = groups_by_all_pairs(texts)
+    sets = [shingles(t) for t in texts]
+    shares = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 80, 2)]
+    assert sum(0.65 < s < 0.8 for s in shares) > 9 and sum(s >= 0.8 for s in shares) > 9
+    assert wide_groups(spark, texts) == want
+
+
 def test_large_groups_are_compared_in_parts(spark):
     rng = random.Random(4)
     base = [f"w{rng.randrange(2000)}" for _ in range(120)]
