@@ -48,8 +48,13 @@ _CLOSES_P = frozenset(
     "hr main menu nav ol pre section table ul".split()
 )
 
+# What may stand in head; anything else ends it.
+_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title html head".split())
+# Blocks that end a hidden element without an end tag of its own (a rule may stand in a list of options).
+_BREAKS = (_CLOSES_P | frozenset("p li dt dd tr td th tbody thead tfoot caption center body".split())) - {"hr"}
+
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -61,11 +66,26 @@ _BLANK = re.compile(r"\s+")
 Block = tuple[str, tuple[str, ...], float]
 
 
+def _ended(page: str) -> set[int]:
+    """Where the hidden elements start that have an end tag of their own."""
+    opened: dict[str, list[int]] = {}
+    found = set()
+    for m in _TOKEN.finditer(page):
+        tag = (m["tag"] or "").lower()
+        if tag in HIDDEN_TAGS:
+            if not m["end"]:
+                opened.setdefault(tag, []).append(m.start())
+            elif opened.get(tag):
+                found.add(opened[tag].pop())
+    return found
+
+
 def blocks(page: str | None) -> list[Block]:
     """The visible blocks of a page in order: text with single blanks, path of open tags, share of linked text."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], int]] = []
+    ended: set[int] | None = None
     text: list[str] = []
     linked = 0
     path: tuple[str, ...] = ()
@@ -82,14 +102,37 @@ def blocks(page: str | None) -> list[Block]:
 
     def drop(at: int) -> None:
         nonlocal hidden, links, path
-        for tag, _ in stack[at:]:
+        for tag, _, _ in stack[at:]:
             hidden -= tag in HIDDEN_TAGS
             links -= tag == "a"
         del stack[at:]
-        path = tuple(part for _, parts in stack for part in parts)
+        path = tuple(part for _, parts, _ in stack for part in parts)
+
+    def reveal(tag: str) -> None:
+        """End the hidden elements that the tag cannot stand in and whose end tag is missing."""
+        nonlocal ended
+        if tag in _BREAKS:
+            if ended is None:
+                ended = _ended(page)
+            lost = len(stack)
+            for at in range(len(stack) - 1, -1, -1):
+                name, _, start = stack[at]
+                if name == "head":
+                    if tag == "body":
+                        lost = at
+                elif name in HIDDEN_TAGS:
+                    if start not in ended:
+                        lost = at
+                    elif tag != "body":
+                        break
+            drop(lost)
+        if stack and stack[-1][0] == "head" and tag not in _HEAD:
+            drop(len(stack) - 1)
 
     last = 0
     for m in _TOKEN.finditer(page):
+        if hidden and stack[-1][0] == "head" and page[last : m.start()].strip():
+            drop(len(stack) - 1)  # text cannot stand in head
         if m.start() > last and not hidden:
             piece = page[last : m.start()]
             text.append(piece)
@@ -110,6 +153,8 @@ def blocks(page: str | None) -> list[Block]:
                     drop(at)
                     break
             continue
+        if hidden:
+            reveal(tag)
         if tag == "br":
             text.append(" ")
         ends = ENDS.get(tag) or (("p",) if tag in _CLOSES_P else ())
@@ -127,10 +172,12 @@ def blocks(page: str | None) -> list[Block]:
             if rest and "=" in rest:
                 for found in _NAMES.findall(rest):
                     parts += [f".{w.lower()}" for w in _PART.findall("".join(found))]
-            stack.append((tag, tuple(parts)))
+            stack.append((tag, tuple(parts), m.start()))
             path += tuple(parts)
             hidden += tag in HIDDEN_TAGS
             links += tag == "a"
+    if hidden and stack[-1][0] == "head" and page[last:].strip():
+        drop(len(stack) - 1)
     if last < len(page) and not hidden:
         text.append(page[last:])
     close()

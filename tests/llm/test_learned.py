@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from helpers import collected, documents, odd_texts
 
 import corpus_pipeline
@@ -138,6 +139,32 @@ def test_pages(spark):
     assert np.mean([said[i] == "\n".join(m) for i, (_, m) in enumerate(made)]) > 0.85
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><meta charset=utf-8><title>T</title><body><p>One two.</p><p>Three.</p></body></html>",
+        "<head><link href=a><style>p{}</style><p>One two.</p><p>Three.</p>",
+        "<head><title>T</title>One two.<p>Three.",
+        "<p>One two.</p><head>Three.",
+        "<head><noscript><link href=a><body><noscript>no</noscript><p>One two.</p><p>Three.</p>",
+        "<title-bar>One two.</title-bar><p>Three.</p>",
+        "<script-list><p>One two.</p></script-list><p>Three.</p><style-guide></style-guide>",
+        "<body><p>One two.</p><noscript><img src=a><p>Three.</p>",
+        "<body><p>One two.</p><noscript><img src=a><div>Three.</div><noscript><p>no</p></noscript>",
+        "<body><p>One two.</p><select><option>a<option>b<hr><option>c<p>Three.</p>",
+        "<body><p>One two.</p><svg><path d=''><g><h2>Three.</h2>",
+        "<body><p>One two.</p><object><param name=a><p>Three.</p>",
+        "<body><p>One two.</p><iframe src=a><section>Three.</section>",
+        "<div><select><option>a</div><p>One two.</p><p>Three.</p>",
+        # with their end tags they hide blocks too
+        "<head></head><p>One two.</p><noscript><div><p>no</p></div></noscript><template><p>no<svg></template><p>Three.</p>",
+        "<p>One two.</p><svg><foreignObject><p>no</p></foreignObject></svg><select><option><div>no</div></select><p>Three.</p>",
+    ],
+)
+def test_hidden_elements_without_an_end_tag_do_not_hide_the_page(page):
+    assert [b[0] for b in html_extract.blocks(page)] == ["One two.", "Three."]
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     model = html_extract.Labeller(1, inputs=5, hidden=3)
