@@ -267,6 +267,8 @@ LEAST = 6
 FEW, FEW_BITS = 31, 176
 #: Shingles of the texts of one group that one task holds at a time, twice.
 PART_SHINGLES = 2_000_000
+#: Fingerprints of one cell that one task holds at a time, twice.
+PART_PRINTS = 20_000
 _STEPS = np.random.default_rng(17).integers(1, 2**63, max(LEAST, WIDE_WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -380,7 +382,7 @@ def tiles(rows: DataFrame, key: str, size: Column, bound: int) -> DataFrame:
 
 
 def similar_groups(
-    rows: DataFrame, bits: int = WIDE_BITS, count: int = 4, part: int = PART_SHINGLES
+    rows: DataFrame, bits: int = WIDE_BITS, count: int = 4, part: int = PART_SHINGLES, prints_held: int = PART_PRINTS
 ) -> DataFrame:
     """(place, component) for rows (place, text), place unique: texts of similarity ``SIMILAR`` or more, and chains.
 
@@ -394,10 +396,11 @@ def similar_groups(
         F.min("place").alias("name"), *[F.first(c).alias(c) for c in ("size", "print", "cells", "few")]
     )
     nodes = stored(nodes, "nodes")
-    near = [
-        _linked(nodes.select(F.explode(c).alias("cell"), "name", F.lit(False).alias("probe"), "print"), most, count)
-        for c, most in (("cells", bits), ("few", FEW_BITS))
-    ]
+    near = []
+    for column, most in (("cells", bits), ("few", FEW_BITS)):
+        cells = nodes.select(F.explode(column).alias("cell"), "name", "print")
+        cells = tiles(cells, "cell", F.lit(1), prints_held)
+        near.append(_linked(cells.select(F.col("tile").alias("cell"), "name", F.lit(False).alias("probe"), "print"), most, count))
     loose = components(near[0].unionAll(near[1])).withColumnRenamed("node", "name")
     loose = stored(tiles(loose.join(nodes.select("name", "size"), "name"), "component", F.col("size"), part), "loose")
     texts = loose.join(rows, loose["name"] == rows["place"]).select("tile", "name", "text")

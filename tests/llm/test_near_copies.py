@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 from helpers import collected, documents, odd_texts
+from pyspark.sql import functions as F
 
 from clubflow.llm import embedding_dedup, simhash_dedup
 from clubflow.llm.common import components
@@ -146,6 +147,21 @@ def test_large_groups_are_compared_in_parts(spark):
     assert wide_groups(spark, texts, part=500) == want == wide_groups(spark, texts)
 
 
+def test_large_cells_are_dealt_out_in_tiles(spark):
+    rows = [(1, i) for i in range(1000)] + [(2, 1000 + i) for i in range(90)] + [(3, 2000)]
+    table = spark.createDataFrame(rows, "cell long, name long")
+    held = {}
+    for r in simhash_dedup.tiles(table, "cell", F.lit(1), 100).collect():
+        held.setdefault(r.tile, []).append((r.cell, r.name))
+    assert max(map(len, held.values())) < 300
+    met = {(a, b) for t in held.values() for a in t for b in t}
+    assert met == {(a, b) for a in rows for b in rows if a[0] == b[0]}
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(2000)}" for _ in range(60)]
+    texts = [" ".join(base[: rng.randint(30, 60)] + [f"v{rng.randrange(9)}"] * rng.randint(0, 1)) for _ in range(60)]
+    assert wide_groups(spark, texts, prints_held=6) == groups_by_all_pairs(texts)
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(8)
     chain = [(i, i + 1) for i in range(100, 160)]
