@@ -125,7 +125,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternates large-star and small-star steps: every step is one grouped minimum and one join, so no task
     and no driver ever holds a component. Each round is written to the shared folder. Nodes without a link to
-    another node do not appear.
+    another node do not appear. Raises when the links still change after ``rounds``.
     """
     links = stored(
         edges.where("a <> b").select(*_edges(F.greatest("a", "b"), F.least("a", "b"))).distinct(), "links"
@@ -151,6 +151,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == seen:
             break
         seen = mark
+    else:
+        raise RuntimeError(f"components not found in {rounds} rounds")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 

@@ -173,6 +173,12 @@ def test_components_of_chains_and_stars(spark):
     assert got == want
 
 
+def test_components_do_not_return_unfinished(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(chain, rounds=1)
+
+
 def vectors():
     rng = np.random.default_rng(2)
     rows = []
