@@ -11,6 +11,7 @@ from clubflow.llm import (
     embedding_dedup,
     html_extract,
     language_id,
+    mixing,
     packing,
     phrase_fingerprint,
     quality,
@@ -65,6 +66,10 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.encode(documents(spark, sf_dir)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_embedding_near_dedup, op2_suffix_array_dedup, op3_language_id, op4_substring_dedup, op5_simhash_near_dedup,
-        op6_quality_classifier, op7_packing, op8_html_extraction, op9_phrase_fingerprint, op10_chunked_bpe, pipeline,
+        op6_quality_classifier, op7_packing, op8_html_extraction, op9_phrase_fingerprint, op10_chunked_bpe,
+        op13_source_mixing, pipeline,
     )
 }
 
@@ -123,5 +129,47 @@ WITH words AS (
 )
 SELECT w.doc_id, len(w.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+""",
+    "op13_source_mixing": r"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, source,
+           CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source
+), shared(round, n, w) AS (
+    SELECT 0, CAST(sum(source_size) AS HUGEINT), CAST(sum(w) AS HUGEINT) FROM sources
+    UNION ALL
+    SELECT * FROM (
+        SELECT s.round + 1,
+               (SELECT CAST(sum(source_size) AS HUGEINT) FROM sources)
+                   - CAST(coalesce(sum(CASE WHEN 3 * x.source_size * s.w < s.n * x.w THEN 3 * x.source_size END), 0) AS HUGEINT) AS n,
+               CAST(sum(CASE WHEN 3 * x.source_size * s.w < s.n * x.w THEN 0 ELSE x.w END) AS HUGEINT) AS left_w
+        FROM shared s, sources x WHERE s.round < 100 GROUP BY s.round, s.n, s.w
+        HAVING left_w <> s.w)
+), last_round AS (
+    SELECT n, w FROM shared ORDER BY round DESC LIMIT 1
+), aimed AS (
+    SELECT s.source, s.source_size,
+           CASE WHEN 3 * s.source_size * l.w < l.n * s.w THEN CAST(3 * s.source_size AS DOUBLE)
+                ELSE CAST(l.n * s.w AS DOUBLE) / CAST(l.w AS DOUBLE) END AS target
+    FROM sources s, last_round l
+), planned AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS times,
+           CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) % source_size ELSE 0 END AS need
+    FROM aimed
+), by_hash AS (
+    SELECT source, h, sum(size) AS amount,
+           sum(sum(size)) OVER (PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+    FROM sized GROUP BY source, h
+)
+SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, p.source_size, p.target,
+       CAST(p.times * d.size + CASE WHEN b.upto <= p.need THEN d.size
+                                    WHEN b.upto - b.amount < p.need THEN d.size * (p.need - b.upto + b.amount) // b.amount
+                                    ELSE 0 END AS BIGINT) AS taken
+FROM sized d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source
+JOIN by_hash b ON b.source IS NOT DISTINCT FROM d.source AND b.h = d.h
 """,
 }
