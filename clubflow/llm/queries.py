@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clubflow.llm import (
     chunked_bpe,
     embedding_dedup,
+    hard_negatives,
     html_extract,
     language_id,
     mixing,
@@ -66,6 +68,11 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.encode(documents(spark, sf_dir)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", "embedding")
+    return hard_negatives.mine(rows.withColumn("label", hard_negatives.mislabelled(F.col("vec_id"), F.col("label"))))
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -81,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_embedding_near_dedup, op2_suffix_array_dedup, op3_language_id, op4_substring_dedup, op5_simhash_near_dedup,
         op6_quality_classifier, op7_packing, op8_html_extraction, op9_phrase_fingerprint, op10_chunked_bpe,
-        op13_source_mixing, pipeline,
+        op12_hard_negatives, op13_source_mixing, pipeline,
     )
 }
 
@@ -129,6 +136,30 @@ WITH words AS (
 )
 SELECT w.doc_id, len(w.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+""",
+    "op12_hard_negatives": """
+WITH whole AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+           CAST(embedding AS DOUBLE[]) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), v AS (
+    SELECT vec_id, label, list_transform(e, lambda x: floor(256 * x)) AS v FROM whole
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
 """,
     "op13_source_mixing": r"""
 WITH RECURSIVE sized AS (
