@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clubflow.llm import (
     chunked_bpe,
+    conversation_repair,
     embedding_dedup,
     hard_negatives,
     html_extract,
@@ -68,6 +69,10 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.encode(documents(spark, sf_dir)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"), damage=True)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", "embedding")
     return hard_negatives.mine(rows.withColumn("label", hard_negatives.mislabelled(F.col("vec_id"), F.col("label"))))
@@ -88,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_embedding_near_dedup, op2_suffix_array_dedup, op3_language_id, op4_substring_dedup, op5_simhash_near_dedup,
         op6_quality_classifier, op7_packing, op8_html_extraction, op9_phrase_fingerprint, op10_chunked_bpe,
-        op12_hard_negatives, op13_source_mixing, pipeline,
+        op11_conversation_repair, op12_hard_negatives, op13_source_mixing, pipeline,
     )
 }
 
@@ -136,6 +141,81 @@ WITH words AS (
 )
 SELECT w.doc_id, len(w.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(list_reduce(
+               list_concat([4294967295::BIGINT], list_transform(string_split(
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: ascii(ch)::BIGINT)),
+               lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))
+           ), 4294967295) % 20 AS damage
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN damage = 1 THEN '' WHEN damage = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM keyed WHERE damage <> 0
+), numbered AS (
+    SELECT *, left(role, 1) AS initial, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text), copy) AS i
+    FROM damaged
+), faulty AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                   WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 0 ELSE 3 END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+    FROM numbered
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+           count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+    FROM faulty GROUP BY conv_id
+), inserted(p, r, cost, edits) AS (
+    VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'),
+           (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')
+), written(r, letter, q) AS (
+    VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)
+), moves AS (
+    SELECT f.conv_id, f.i, s.p, s.r AS q, s.cost + 4 AS cost, s.edits || 'D' AS edits FROM faulty f, inserted s
+    UNION ALL
+    SELECT f.conv_id, f.i, s.p, w.q, s.cost + f.fault, s.edits || 'K'
+    FROM faulty f, inserted s JOIN written w ON w.r = s.r WHERE f.fault IN (0, 3) AND w.letter = f.initial
+    UNION ALL
+    SELECT f.conv_id, f.i, s.p, w.q, s.cost + f.fault + 3, s.edits || 'R'
+    FROM faulty f, inserted s JOIN written w ON w.r = s.r WHERE f.fault IN (0, 3) AND w.letter IN ('u', 'a')
+), reached AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {'cost': CAST(0 AS BIGINT), 'audit': ''} AS best FROM counted
+    UNION ALL
+    SELECT m.conv_id, m.i, m.q, min({'cost': CAST(r.best.cost + m.cost AS BIGINT), 'audit': r.best.audit || m.edits}) AS best
+    FROM reached r JOIN moves m ON m.conv_id IS NOT DISTINCT FROM r.conv_id AND m.i = r.i + 1 AND m.p = r.q
+    GROUP BY m.conv_id, m.i, m.q
+), closed(q, cost, edits) AS (
+    VALUES (0, 0, ''), (3, 0, ''), (2, 3, 'I'), (1, 6, 'II')
+), chosen AS (
+    SELECT c.conv_id, min({'cost': CAST(r.best.cost + e.cost AS BIGINT), 'audit': r.best.audit || e.edits}) AS best
+    FROM counted c JOIN reached r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.i = c.n JOIN closed e ON e.q = r.q
+    GROUP BY c.conv_id
+), letters AS (
+    SELECT conv_id, pos, substr(best.audit, pos, 1) AS edit,
+           length(replace(left(best.audit, pos), 'I', '')) AS i, length(replace(left(best.audit, pos), 'D', '')) AS place
+    FROM (SELECT conv_id, best, unnest(range(1, length(best.audit) + 1)) AS pos FROM chosen)
+), spoken AS (
+    SELECT l.*, f.role, f.text, bool_or(l.place = 1 AND l.edit = 'K' AND f.initial = 's') OVER (PARTITION BY l.conv_id) AS system
+    FROM letters l LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND l.edit <> 'I'
+    WHERE l.edit <> 'D'
+), joined AS (
+    SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - CAST(system AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                               || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY place) AS t
+    FROM spoken GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(x.best.cost, 0) AS cost,
+       coalesce(x.best.audit, '') AS audit, sha256(coalesce(j.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN chosen x ON x.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM o.conv_id
 """,
     "op12_hard_negatives": """
 WITH whole AS (
