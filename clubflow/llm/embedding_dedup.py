@@ -78,9 +78,14 @@ def tile_links(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarr
     return block_links(quantise(x), quantise(y), x, y, threshold)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; the largest number goes first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _unit(values: pa.Array) -> np.ndarray:
-    x = np.asarray(values.flatten(), np.float64).reshape(len(values), -1)
-    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+    return unit(np.asarray(values.flatten(), np.float64).reshape(len(values), -1))
 
 
 def _deal(pivots: np.ndarray, reach: float):
@@ -208,8 +213,7 @@ def _links(nodes: DataFrame, n: int, threshold: float, tile: int) -> DataFrame:
     spark = nodes.sparkSession
     want = min(max(n // tile, PIVOTS[0]), PIVOTS[1])
     chosen = nodes.orderBy(F.xxhash64("v"), "node").limit(want).select("v").collect()  # at most 512 vectors
-    pivots = np.array([r["v"] for r in chosen], float)
-    pivots /= np.sqrt((pivots**2).sum(axis=1))[:, None]
+    pivots = unit(np.array([r["v"] for r in chosen], float))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     dealt = stored(
         nodes.select("node", "v", "n_same").mapInArrow(

@@ -240,3 +240,15 @@ def test_empty_tables(spark):
     assert simhash_dedup.near_duplicates(docs).count() == 0
     odd = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert [(r.n_links, r.kept) for r in embedding_dedup.near_duplicates(odd).collect()] == [(0, True)] * 2
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_vectors_whose_squares_overflow_or_vanish(spark, kind):
+    rows = [(1, [1e-200, 0.0]), (2, [2e-200, 0.0]), (3, [1e200, 1e200]), (4, [2e200, 2e200]), (5, [0.0, 1.0]), (6, [5e-324, 5e-324]), (7, [0.0, 0.0])]
+    if kind == "float":
+        rows = [(i, [x ** (0.18 if x else 1) for x in v]) for i, v in rows]  # within the range of single precision
+    table = spark.createDataFrame(rows, f"vec_id int, embedding array<{kind}>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect()}
+    # the least double is zero in single precision
+    n, own = (2, (2, 3)) if kind == "double" else (1, (0, 6))
+    assert got == {1: (1, 1), 2: (1, 1), 3: (n, 3), 4: (n, 3), 5: (0, 5), 6: own, 7: (0, 7)}
