@@ -53,9 +53,10 @@ _HEAD = frozenset("base basefont bgsound link meta noframes noscript script styl
 # Blocks that end a hidden element without an end tag of its own (a rule may stand in a list of options).
 _BREAKS = (_CLOSES_P | frozenset("p li dt dd tr td th tbody thead tfoot caption center body".split())) - {"hr"}
 
+# A quote opens a value only behind an equals sign; elsewhere it is a letter like others.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -358,7 +359,7 @@ def compose(rng: random.Random, long: list[str], short: list[str]) -> tuple[str,
     def body() -> str:
         parts = []
         if rng.random() < 0.8:
-            parts.append(block("h1", rng.choice(short + long)[:80].strip()))
+            parts.append(block("h1", rng.choice(short + long)))
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
             text = rng.choice(long)
@@ -393,11 +394,18 @@ def compose(rng: random.Random, long: list[str], short: list[str]) -> tuple[str,
 
 
 def labeller(pages: DataFrame, sample: int = SAMPLE, composed: int = COMPOSED, seed: int = 5) -> Labeller:
-    """Train on composed pages; at most ``sample`` pages, the first by page_id, reach the driver."""
-    rows = narrow(pages, "page_id", "html").where("html is not null").orderBy("page_id", "html").limit(sample).collect()
-    texts = sorted({b[0] for r in rows for b in blocks(r["html"][:200_000])})
+    """Train on composed pages of whole block texts; at most ``sample`` different pages, the first by page_id, reach the driver."""
+    rows = narrow(pages, "page_id", "html").where("html is not null").withColumn("hash", F.xxhash64("html"))
+    # ids and hashes first, then the html of the chosen ones
+    chosen = rows.select("page_id", "hash").distinct().orderBy(F.col("page_id").asc_nulls_first(), "hash").limit(sample).collect()
+    wanted = F.lit(False)
+    for page_id, h in chosen:
+        wanted = wanted | (F.col("page_id").eqNullSafe(F.lit(page_id).cast("long")) & (F.col("hash") == h))
+    ids = [page_id for page_id, _ in chosen if page_id is not None]
+    rows = rows.where(F.col("page_id").isNull() | F.col("page_id").isin(ids)).where(wanted).dropDuplicates(["page_id", "hash"]).collect()
+    texts = sorted({b[0] for r in rows for b in blocks(r["html"])})
     rng = random.Random(seed)
-    long = [t[:600] for t in texts if len(t) >= 40] or ["A sentence of some length that says nothing, for pages without text."]
+    long = [t for t in texts if len(t) >= 40] or ["A sentence of some length that says nothing, for pages without text."]
     short = [t for t in texts if len(t) < 40] or ["Home", "About", "News", "Contact us"]
     made = []
     for _ in range(composed):
