@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def narrow(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, whatever else the table has."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+    """Only the named columns, whatever else the table has; ids as long."""
+    return df.select(*[F.col(f"`{c}`").cast("long").alias(c) if c.endswith("_id") else F.col(f"`{c}`") for c in columns])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A name that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -37,9 +46,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for made in _scopes:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def work_tables() -> Iterator[list[str]]:
+    """The paths of the tables that are stored meanwhile."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not made]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        at = hadoop(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose text is about ``limit`` bytes (one longer text makes a batch of its own)."""
     for batch in batches:
@@ -124,12 +157,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable, for each node of the links (a, b) of type long.
 
     Alternates large-star and small-star steps: every step is one grouped minimum and one join, so no task
-    and no driver ever holds a component. Each round is written to the shared folder. Nodes without a link to
+    and no driver ever holds a component. Each round is written to the shared folder, and the one before it removed. Nodes without a link to
     another node do not appear. Raises when the links still change after ``rounds``.
     """
-    links = stored(
-        edges.where("a <> b").select(*_edges(F.greatest("a", "b"), F.least("a", "b"))).distinct(), "links"
-    )
+    spark = edges.sparkSession
+    with work_tables() as made:
+        links = stored(
+            edges.where("a <> b").select(*_edges(F.greatest("a", "b"), F.least("a", "b"))).distinct(), "links"
+        )
     seen = None
     for _ in range(rounds):
         both = links.unionAll(links.select(*_edges(F.col("b"), F.col("a"))))
@@ -146,7 +181,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                 )
             ).alias("e")
         )
-        links = stored(small.select("e.a", "e.b").where("a <> b").distinct(), "links")
+        before = made
+        with work_tables() as made:
+            links = stored(small.select("e.a", "e.b").where("a <> b").distinct(), "links")
+        remove(spark, before)
         mark = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

@@ -20,71 +20,99 @@ from clubflow.llm.common import mix, narrow, stored, window_minimum
 #: Buckets a partition of the exchange works through one after the other.
 BUCKETS_PER_PARTITION = 16
 #: Packed bytes a task gathers, and compares among themselves, before it sends them.
-HELD_BYTES = 24 << 20
+HELD_BYTES = 8 << 20
+#: Symbols whose hashes a task holds at a time; longer texts are worked on in blocks that overlap.
+BLOCK = 1 << 20
 _PLACE = 31
 
 _powers: dict[int, np.ndarray] = {}
 _FACTOR = 0x9E3779B97F4A7C15
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    if len(_powers.get(base, ())) < n:
+def _power(base: int) -> np.ndarray:
+    """Powers of a 64-bit number, for the places in a block and the one after it."""
+    if base not in _powers:
         with np.errstate(over="ignore"):
-            p = np.full(max(n, 1 << 20), base, np.uint64)
+            p = np.full(BLOCK + 1, base, np.uint64)
             p[0] = 1
             _powers[base] = np.cumprod(p)
-    return _powers[base][:n]
+    return _powers[base]
 
 
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each run values[start:end]: the same for the same values, wherever they stand."""
-    n = len(values)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power(_FACTOR, n), out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * _power(pow(_FACTOR, -1, 2**64), n + 1)[starts])
-
+    """Hash of each run values[start:end]: the same for the same values, wherever they stand.
 
-def super_kmers(values: np.ndarray, offsets: np.ndarray, width: int, gram: int):
+    ``starts`` and ``ends`` rise. Sums are formed block by block and kept for the places asked for only.
+    """
+    up, down = _power(_FACTOR), _power(pow(_FACTOR, -1, 2**64))
+    sums = [np.zeros(len(starts), np.uint64), np.zeros(len(ends), np.uint64)]
+    total = np.uint64(0)
+    with np.errstate(over="ignore"):
+        for at in range(0, max(len(values), 1), BLOCK):
+            part = values[at : at + BLOCK]
+            own = np.empty(len(part) + 1, np.uint64)
+            own[0] = 0
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=own[1:])
+            own *= np.uint64(pow(_FACTOR, at, 2**64))
+            own += total
+            for points, out in zip((starts, ends), sums):
+                i, j = np.searchsorted(points, (at, at + len(part) + 1))
+                out[i:j] = own[points[i:j] - at]
+            total = own[-1]
+        inverse = down[starts % BLOCK]
+        if len(values) > BLOCK:
+            far = np.array([pow(_FACTOR, -at, 2**64) for at in range(0, len(values) + 1, BLOCK)], np.uint64)
+            inverse *= far[starts // BLOCK]
+        return mix((sums[1] - sums[0]) * inverse)
+
+
+def super_kmers(values: np.ndarray, offsets: np.ndarray, width: int, gram: int, block: int = BLOCK):
     """(text, first window, last window, minimiser) of each run of windows, window numbers counted over all texts.
 
-    ``values`` holds the symbols of all texts, ``offsets`` where each begins (one more: the end).
+    ``values`` holds the symbols of all texts, ``offsets`` where each begins (one more: the end). Blocks overlap by
+    ``width - 1`` symbols, so each window lies in one; a run ends where its block does.
     """
     none = np.zeros(0, np.int64)
-    if len(values) < width:
-        return none, none, none, none.astype(np.uint64)
+    found = [(none, none, none, none.astype(np.uint64))]
+    for at in range(0, len(values), block):
+        end = min(len(values), at + block + width - 1)
+        if end - at < width:
+            break
+        doc, edge = int(np.searchsorted(offsets, at, side="right")) - 1, int(np.searchsorted(offsets, end))
+        own = np.clip(offsets[doc : edge + 1], at, end) - at
+        text, first, last, least = _block_kmers(values[at:end], own, width, gram)
+        found.append((text + doc, first + at, last + at, least))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _block_kmers(values: np.ndarray, offsets: np.ndarray, width: int, gram: int):
     at = np.arange(len(values) - gram + 1)
     low = np.uint64((1 << _PLACE) - 1)
     keyed = (run_hashes(values, at, at + gram) & ~low) | (at.astype(np.uint64) & low)
     least = window_minimum(keyed, width - gram + 1)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
     inside = np.flatnonzero(np.arange(len(least)) + width <= offsets[doc + 1])
-    if not len(inside):
-        return none, none, none, none.astype(np.uint64)
     value, doc = least[inside], doc[inside]
-    first = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])])
-    last = np.r_[first[1:], len(inside)] - 1
+    first = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])][: len(value)])
+    last = np.r_[first[1:], len(inside)][: len(first)] - 1
     return doc[first], inside[first], inside[last], value[first] >> np.uint64(_PLACE)
 
 
-PLACE = "__place"
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """All columns and ``PLACE``, one number a row, ordered as doc_id: the doc_id itself where each is there once.
+def numbered(docs: DataFrame, place: str) -> DataFrame:
+    """All columns and ``place``, one number a row, ordered as doc_id: the doc_id itself where each is there once.
 
     Otherwise rows are numbered by (doc_id, text), null ids first, and stored, so the numbers stay.
     """
     twice = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
     if not twice:
-        return docs.withColumn(PLACE, F.col("doc_id"))
+        return docs.withColumn(place, F.col("doc_id").cast("long"))
     ordered = docs.orderBy(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    return stored(ordered.withColumn(PLACE, F.monotonically_increasing_id()), "placed")
+    return stored(ordered.withColumn(place, F.monotonically_increasing_id()), "placed")
 
 
 def placed(docs: DataFrame) -> DataFrame:
     """(place, doc_id, text) with one place a row."""
-    return numbered(narrow(docs, "doc_id", "text")).select(F.col(PLACE).alias("place"), "doc_id", "text")
+    return numbered(narrow(docs, "doc_id", "text"), "place").select("place", "doc_id", "text")
 
 
 class Parcels:
@@ -184,8 +212,13 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def covered(length: int, spans) -> np.ndarray:
     """Which of ``length`` symbols lie in a span."""
-    change = np.zeros(length + 1, np.int64)
-    for s in () if spans is None else spans:
-        change[min(s["b"], length)] += 1
-        change[min(s["e"], length)] -= 1
-    return np.cumsum(change[:-1]) > 0
+    gone = np.zeros(length, bool)
+    if spans is None or not len(spans):
+        return gone
+    edges = np.array([(s["b"], s["e"]) for s in spans], np.int64)
+    edges = edges[np.argsort(edges[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(edges[:, 1])
+    new = np.flatnonzero(np.r_[True, edges[1:, 0] > reach[:-1]])
+    for b, e in zip(edges[new, 0].tolist(), reach[np.r_[new[1:], len(edges)] - 1].tolist()):
+        gone[b:e] = True
+    return gone

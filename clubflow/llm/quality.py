@@ -23,14 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clubflow.llm.common import held_out, narrow, slices, stored
+from clubflow.llm.common import held_out, narrow, slices, stored, unused
 
 WIDTH = 192
 GAMMA = 0.05
 RIDGE = 1e-3
 BINS = 400
-#: Column of the statistics beside a table's own columns.
-STATISTICS = "__quality_statistics"
 #: Statistics are cut at so many standard deviations, so no odd document leaves the kernel's range.
 REACH = 6.0
 
@@ -239,11 +237,12 @@ def accepted(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1)
     def measure(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts], dtype=object)
 
-    rows = stored(docs.withColumn(STATISTICS, measure(F.col("text"))), "statistics")
-    model = fit(labelled(rows.select("doc_id", F.col(STATISTICS).alias("x")), labels, parts, part))
+    held = unused(docs, "row_statistics")
+    rows = stored(docs.withColumn(held, measure(F.col("text"))), "statistics")
+    model = fit(labelled(rows.select("doc_id", F.col(held).alias("x")), labels, parts, part))
 
     @F.pandas_udf("boolean")
     def good(x: pd.Series) -> pd.Series:
         return pd.Series(model.score(np.array(x.tolist(), float).reshape(len(x), -1)) >= 0.5)
 
-    return rows.where(good(F.col(STATISTICS))).drop(STATISTICS)
+    return rows.where(good(F.col(held))).drop(held)

@@ -52,6 +52,18 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     return start, end, np.searchsorted(start, offsets)
 
 
+def _tidy(data: np.ndarray, start: np.ndarray, at: np.ndarray) -> bytes:
+    """The words of ``data``, each with one blank behind it; ``at``: where each begins in the result (one more: the end)."""
+    out = bytearray()
+    for i in range(0, len(start), 1 << 17):
+        own, to = start[i : i + (1 << 17)], at[i : i + (1 << 17) + 1]
+        piece = np.append(data[own[0] : own[-1] + to[-1] - to[-2] - 1], np.uint8(32))
+        piece = piece[ragged(own - own[0], np.diff(to))]
+        piece[to[1:] - to[0] - 1] = 32
+        out += piece.tobytes()
+    return bytes(out)
+
+
 def _send(buckets: int, width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parcels = Parcels(buckets)
@@ -70,11 +82,8 @@ def _send(buckets: int, width: int, gram: int):
             if not len(start):
                 continue
             # all words, each with one blank behind it
-            lengths = end - start
-            tidy = np.append(data, np.uint8(32))[ragged(start, lengths + 1)]
-            tidy[np.cumsum(lengths + 1) - 1] = 32
-            at = np.r_[0, np.cumsum(lengths + 1)].tolist()
-            text = tidy.tobytes()
+            at = np.r_[0, np.cumsum(end - start + 1)]
+            text = _tidy(data, start, at)
             doc, a, b, least = super_kmers(run_hashes(data, start, end), first_word, width, gram)
             where = np.asarray(batch.column(0))[doc] if len(doc) else doc
             bucket = (mix(least) % np.uint64(buckets)).astype(np.int64)

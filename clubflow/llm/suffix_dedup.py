@@ -29,10 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clubflow.llm.common import mix, ragged, raw_bytes, slices
+from clubflow.llm.common import mix, ragged, raw_bytes, slices, unused
 from clubflow.llm.minimiser import (
     HELD_BYTES,
-    PLACE,
     Parcels,
     bucket_count,
     by_bucket,
@@ -247,7 +246,7 @@ def _send(buckets: int, width: int, gram: int):
 def _decide(width: int, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[bytes] = []
-        origin: list[tuple[int, int]] = []
+        origin: list[tuple[int, int, bool]] = []
         symbols = 0
         for parcels in by_bucket(batches):
             marks, place, start, strings, spans = opened(parcels)
@@ -275,7 +274,7 @@ def _decide(width: int, memory: int):
             for i, x, y in zip(group[text].tolist(), begin.tolist(), end.tolist()):
                 waiting.append(texts[i][x:y])
                 # rows of a whole repeat are decided; its text only serves the others
-                origin.append((-1, 0) if times[i] > 1 else (int(place[row[i]]), int(start[row[i]]) + x))
+                origin.append((int(place[row[i]]), int(start[row[i]]) + x, bool(times[i] == 1)))
                 symbols += y - x
             if symbols > TOGETHER:
                 parts.append(_found(waiting, origin, width, memory))
@@ -310,13 +309,13 @@ def pieces(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(spans_of(owner, at[hit] - begins[owner], width).T)
 
 
-def _found(texts: list[bytes], origin: list[tuple[int, int]], width: int, memory: int) -> np.ndarray:
-    """Spans (place, begin, end) of the repeats in the collection of these texts."""
+def _found(texts: list[bytes], origin: list[tuple[int, int, bool]], width: int, memory: int) -> np.ndarray:
+    """Spans (place, begin, end) of the repeats in the collection of these texts, of those still to be decided."""
     at = repeated(texts, width, memory)
     begins = np.cumsum([0] + [len(t) for t in texts])
     text = np.searchsorted(begins, at, side="right") - 1
-    place, start = np.array(origin, np.int64).reshape(-1, 2).T
-    own = place[text] >= 0
+    place, start, undecided = np.array(origin, np.int64).reshape(-1, 3).T
+    own = undecided[text] > 0
     text, at = text[own], at[own]
     return spans_of(place[text], start[text] + at - begins[text], width)
 
@@ -373,10 +372,11 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """All columns of the documents, ``text`` without its repeats (and ``n_chars``, if there, counted anew)."""
-    rows = numbered(docs)
-    spans = repeat_spans(rows.select(F.col(PLACE).alias("place"), "text"), width, gram)
-    grouped = spans.groupBy(F.col("place").alias(PLACE)).agg(F.collect_list(F.struct("b", "e")).alias("__spans"))
-    joined = rows.join(grouped, PLACE, "left").withColumn("text", F.pandas_udf(_without, "string")("text", "__spans"))
+    place, own = unused(docs, "row_place"), unused(docs, "row_spans")
+    rows = numbered(docs, place)
+    spans = repeat_spans(rows.select(F.col(place).alias("place"), "text"), width, gram)
+    grouped = spans.groupBy(F.col("place").alias(place)).agg(F.collect_list(F.struct("b", "e")).alias(own))
+    joined = rows.join(grouped, place, "left").withColumn("text", F.pandas_udf(_without, "string")("text", own))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        joined = joined.withColumn("n_chars", F.when(F.col(own).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,15 +1,17 @@
 """Language, quality, phrases, pages and the pipeline: plain versions and held-out accuracy."""
 
 import hashlib
+import os
 import random
 import zlib
 
 import numpy as np
 import pytest
 from helpers import collected, documents, odd_texts
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clubflow.llm import html_extract, language_id, phrase_fingerprint, quality
+from clubflow.llm import common, html_extract, language_id, phrase_fingerprint, quality
 from clubflow.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -165,6 +167,29 @@ def test_hidden_elements_without_an_end_tag_do_not_hide_the_page(page):
     assert [b[0] for b in html_extract.blocks(page)] == ["One two.", "Three."]
 
 
+def test_quotes_open_values_behind_equals_signs_only():
+    pages = ["<p title=it's>First.</p><p>It's second.</p>", "<p it's>First.</p><p>It's second.</p>", "<p a=b'c d=\"x>y\" e = 'q>'>First.<p>It's second."]
+    for page in pages:
+        assert [b[0] for b in html_extract.blocks(page)] == ["First.", "It's second."]
+    assert [b[0] for b in html_extract.blocks("<p title=it's>First.</p>")] == ["First."]
+
+
+def test_very_long_paragraphs_are_main_text(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    model = html_extract.labeller(pages)
+    story = " ".join(f"Sentence number {i} goes on with the story, at some length." for i in range(2000))
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>A title</h1><p>{story}</p><p>A short end of it all, in one line.</p></article><footer>&copy; us</footer>"
+    got = html_extract.extract(spark.createDataFrame([(1, "u", page)], "page_id int, url string, html string"), model).first()
+    assert got.text == f"A title\n{story}\nA short end of it all, in one line."
+
+
+def test_the_sample_is_bounded_when_one_id_has_many_pages(spark):
+    page = "<article><p>A sentence that is long enough for the sample of texts.</p></article>"
+    rows = [(None, page)] * 30 + [(1, page)] * 30 + [(1, page.replace("long", f"long {i}")) for i in range(30)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    assert html_extract.labeller(pages, sample=5, composed=10).w
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     model = html_extract.Labeller(1, inputs=5, hidden=3)
@@ -217,6 +242,32 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
         assert stage(spark, docs.where("doc_id < 0"), str(tmp_path)).count() == 0
 
 
+def test_pipeline_keeps_columns_with_the_names_of_helpers(spark, tmp_path):
+    names = ["row_place", "row_spans", "row_statistics", "__place", "__spans", "__quality_statistics"]
+    docs = documents(spark, odd_texts()).select("doc_id", "text", "lang", *[F.lit(n).alias(n) for n in names])
+    spark.createDataFrame([(d, i % 2) for i, (d, _) in enumerate(odd_texts())], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert all(r[n] == n for r in out.collect() for n in names)
+
+
+def test_work_tables_go_when_the_next_stage_starts(spark, tmp_path):
+    folder = common.work_dir(spark) + "/llm"
+    docs = documents(spark, odd_texts())
+    spark.createDataFrame([(d, i % 2) for i, (d, _) in enumerate(odd_texts())], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    # the first stage's copy of the documents is gone, and nothing that a result still needs
+    assert not [d for d in set(os.listdir(folder)) - before if d.startswith("statistics")]
+    lazy = corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path))
+    again = corpus_pipeline.STAGES[1][1](spark, lazy, str(tmp_path))
+    assert again.count() >= 0
+
+
 def test_quality_stage_keeps_every_column_and_what_the_scores_say(spark):
     rows = odd_texts() + [(3, "same id"), (None, "no id at all")]
     docs = documents(spark, rows)
