@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from clubflow import config as c
 from clubflow.catalog.registry import Tables, query
 from clubflow.functions.dates import month_start
+from clubflow.functions.text import split_number
 from clubflow.plans import anomalies, campaign, cohorts, mobile, money, trainers, tree, visits
 from clubflow.session import materialize, new_table_path
-from clubflow.sources import load
+from clubflow.sources import load, receipts
 
 START = dt.date(1995, 1, 1)
 AS_OF = dt.date(2001, 12, 1)
@@ -71,7 +72,7 @@ def _birthday(column: str) -> str:
     SELECT check_time, club_id, club_name, 'total', CAST(sum(people_in_club) AS BIGINT) FROM q GROUP BY ALL""",
 )
 def _occupancy(t: Tables):
-    return visits.occupancy_hourly(t.visit_history, t.users, t.clubs, t.employees, EVENTS_FROM, EVENTS_TO)
+    return visits.occupancy_hourly(t.visit_history, t.users, t.clubs, t.employees, EVENTS_FROM, EVENTS_TO, large=t.large("visit_history"))
 
 
 @query(
@@ -110,7 +111,9 @@ _IN_OUT = f"""
 
 
 def _raw(t: Tables):
-    return visits.in_out_raw(t.visits_histories, t.users, t.clubs, dt.date(2024, 1, 1), dt.date(2024, 3, 1))
+    return visits.in_out_raw(
+        t.visits_histories, t.users, t.clubs, dt.date(2024, 1, 1), dt.date(2024, 3, 1), large=t.large("visits_histories")
+    )
 
 
 @query(
@@ -169,7 +172,7 @@ _GAPFILL = """
 
 @query("mart_swipe_gapfill", tables=("swipes", "clubs"), sql=_GAPFILL)
 def _gapfill(t: Tables):
-    return visits.swipe_gapfill(t.swipes, t.clubs, above=-1)
+    return visits.swipe_gapfill(t.swipes, t.clubs, above=-1, large=t.large("swipes"))
 
 
 @query("mart_swipe_gapfill_batches", tables=("swipes", "clubs"), sql=_GAPFILL)
@@ -179,10 +182,10 @@ def _gapfill_batches(t: Tables):
     above = -1
     for batch, upto in enumerate((top // 3, top // 2, top)):
         arrived = t.swipes.where(F.col("id") <= upto)
-        rows = visits.swipe_gapfill(arrived, t.clubs, above, reopen=True).withColumns(
-            {"batch": F.lit(batch), "month": month_start(F.col("event_date"))}
-        )
-        rows.write.mode("append").partitionBy("month").parquet(path)
+        rows = visits.swipe_gapfill(
+            arrived, t.clubs, above, reopen=True, since=visits.first_day_above(arrived, above), large=t.large("swipes")
+        ).withColumns({"batch": F.lit(batch), "month": month_start(F.col("event_date"))})
+        load.append(rows, path, "month")
         above = upto
     table = load.read_target(t.spark, path)
     months = [row[0] for row in table.select("month").distinct().collect()]
@@ -218,7 +221,9 @@ def _gapfill_batches(t: Tables):
     FROM bookings b LEFT JOIN came ON came.booking_id = b.booking_id""",
 )
 def _attendance(t: Tables):
-    return visits.class_attendance(visits.in_out_visits(_raw(t)).visits, t.plans, t.bookings)
+    return visits.class_attendance(
+        visits.in_out_visits(_raw(t)).visits, t.plans, t.bookings, large=t.large("visits_histories", "plans", "bookings")
+    )
 
 
 # --------------------------------------------------------------------------- money
@@ -288,14 +293,11 @@ def _revenue_reload(t: Tables):
     return load.read_target(t.spark, path)
 
 
-@query(
-    "mart_accounting_ledger",
-    tables=("accounting", "ledger_transactions", "receipts", "users", "legal_infos", "clubs"),
-    money=(
-        "join_fee", "join_fee_net", "membership_fee", "membership_fee_net", "product_price",
-        "total_amount", "total_net", "balance",
-    ),
-    sql=f"""
+_LEDGER_TABLES = ("accounting", "ledger_transactions", "receipts", "users", "legal_infos", "clubs")
+_LEDGER_MONEY = (
+    "join_fee", "join_fee_net", "membership_fee", "membership_fee_net", "product_price", "total_amount", "total_net", "balance",
+)
+_LEDGER = f"""
     WITH rc AS (
         SELECT TRY_CAST(split_part(number, '_', 2) AS BIGINT) AS tid, fiscal_status, count(*) AS n FROM receipts
         WHERE fiscal_status IN {_in(c.COUNTED_FISCAL_STATUSES)} GROUP BY ALL)
@@ -312,14 +314,36 @@ def _revenue_reload(t: Tables):
     LEFT JOIN ledger_transactions tr ON tr.id = a.transaction_id AND tr.id > 25
     LEFT JOIN legal_infos l ON l.id = tr.club_legal_info_id LEFT JOIN clubs k ON k.id = l.club_id
     LEFT JOIN rc re ON re.tid = a.transaction_id LEFT JOIN rc ss ON ss.tid = tr.parent_id
-    WHERE NOT a.is_deleted AND a.transaction_id > 25""",
-)
+    WHERE NOT a.is_deleted AND a.transaction_id > 25"""
+
+
+@query("mart_accounting_ledger", tables=_LEDGER_TABLES, money=_LEDGER_MONEY, sql=_LEDGER)
 def _ledger(t: Tables):
     return money.accounting_ledger(
-        t.accounting, t.ledger_transactions, t.receipts, t.users, t.legal_infos, t.clubs, above=25
+        t.accounting, t.ledger_transactions, money.receipt_counts(t.receipts), t.users, t.legal_infos, t.clubs, above=25
     )
 
 
+@query("mart_accounting_ledger_batches", tables=_LEDGER_TABLES, money=_LEDGER_MONEY, sql=_LEDGER)
+def _ledger_batches(t: Tables):
+    """Three hourly appends, each with the receipts that have arrived since the one before."""
+    index, path = new_table_path(t.spark, "receipts"), new_table_path(t.spark, "ledger")
+    width = 1 + (t.accounting.agg(F.max("transaction_id")).first()[0] or 0) // 6
+    number = split_number(F.col("number"), "_", 2)
+    for hour in range(3):
+        arrived = (F.col("transaction_id") < 2 * width * (hour + 1)), number.between(2 * width * hour, 2 * width * (hour + 1) - 1)
+        receipts.add_receipts(t.spark, index, t.receipts.where(arrived[1]), width)
+
+        def build(above: int, rows=t.accounting.where(arrived[0])):
+            above = max(above, 25)
+            tx = t.ledger_transactions.where(F.col("id") < 2 * width * (hour + 1))
+            counts = receipts.receipts_of(t.spark, index, money.ledger_receipts(rows, tx, above), width)
+            return money.accounting_ledger(rows, tx, counts, t.users, t.legal_infos, t.clubs, above)
+
+        load.append_computed(t.spark, path, "transaction_id", build)
+    return load.read_target(t.spark, path)
+
+
 @query(
     "mart_left_completed",
     tables=("transaction_history",),
@@ -330,7 +354,7 @@ def _ledger(t: Tables):
     WHERE status = 'completed' AND ns NOT IN ('completed', '')""",
 )
 def _left_completed(t: Tables):
-    return money.left_completed(t.transaction_history, above=-1)
+    return money.left_completed(t.transaction_history, above=-1, large=t.large("transaction_history"))
 
 
 _SALES = f"""
@@ -379,7 +403,7 @@ _SALES_TABLES = (
 
 
 def _sales(t: Tables):
-    return money.subscription_sales(*[getattr(t, n) for n in _SALES_TABLES], as_of=NOW)
+    return money.subscription_sales(*[getattr(t, n) for n in _SALES_TABLES], as_of=NOW, large=t.large("plans"))
 
 
 @query(
@@ -431,7 +455,8 @@ def _subscription_sales(t: Tables):
 )
 def _marketing(t: Tables):
     return money.inflow_outflow_marketing(
-        t.flows, t.users, _sales(t), t.plans, t.payment_plans, t.clubs, t.inflow_plan_ids, t.discount_codes, AS_OF
+        t.flows, t.users, _sales(t), t.plans, t.payment_plans, t.clubs, t.inflow_plan_ids, t.discount_codes, AS_OF,
+        large=t.large("flows"),
     )
 
 
@@ -519,12 +544,12 @@ _TREE_TABLES = ("flows", "active", "clubs", "expenses", "revenue")
 def _month_tree(t: Tables):
     load = tree.load_factor(t.flows, t.active, t.clubs, AS_OF, START)
     value = tree.ltv_cac(t.flows, t.active, t.clubs, t.expenses, START, AS_OF)
-    return tree.metrics_month(t.clubs, tree.lifetime(t.flows), load, value, t.revenue, START, AS_OF)
+    return tree.metrics_month(t.clubs, tree.lifetime(t.flows, t.large("flows")), load, value, t.revenue, START, AS_OF)
 
 
 @query("mart_lifetime", tables=("flows",), dates=("date",), sql=f"WITH {_LIFE} SELECT * FROM life")
 def _lifetime(t: Tables):
-    return tree.lifetime(t.flows)
+    return tree.lifetime(t.flows, t.large("flows"))
 
 
 @query(
@@ -678,7 +703,7 @@ def _cohorts(extra: str = "") -> str:
     sql=f"WITH {_cohorts('AND discount_id = 11538')} SELECT * FROM co",
 )
 def _cohort_detail(t: Tables):
-    return cohorts.debt_cohort_detail(t.plan_history)
+    return cohorts.debt_cohort_detail(t.plan_history, large=t.large("plan_history"))
 
 
 def _ladder_sql() -> str:
@@ -711,7 +736,7 @@ def _ladder_sql() -> str:
 
 @query("mart_debt_cohort_ladder", tables=("plan_history", "clubs"), dates=("cohort",), sql=_ladder_sql())
 def _cohort_ladder(t: Tables):
-    return cohorts.debt_cohort_ladder(t.plan_history, t.clubs)
+    return cohorts.debt_cohort_ladder(t.plan_history, t.clubs, large=t.large("plan_history"))
 
 
 # --------------------------------------------------------------------------- mobile
@@ -861,9 +886,11 @@ _CAMPAIGN_TABLES = (
 
 
 def _purchases(t: Tables):
+    payments = materialize(campaign.campaign_payments(t.transactions))
     return campaign.campaign_purchases(
-        t.transactions, t.plans, t.clubs, t.payment_plans, t.gates, t.users, t.employees, t.discounts,
+        payments, t.plans, t.clubs, t.payment_plans, t.gates, t.users, t.employees, t.discounts,
         t.inflow_plan_ids, t.app_events, t.video_progress, t.videos, _tracker(t), start=CAMPAIGN_FROM,
+        large=t.large("transactions"),
     )
 
 
@@ -917,8 +944,9 @@ _COVER = ("payment_plan", "gate_name", "if_employee", "discount_name", "discount
         nn.duration_by_qty_rows, nn.max_duration, nn.is_completed, nn.stars, nn.difficulty, nn.comment, vid.max_rewatch, vid.more""",
 )
 def _video_rewatch(t: Tables):
-    # purchases are a stored table to this mart, as in production
-    return campaign.video_rewatch(t.video_history, t.videos, materialize(_purchases(t)))
+    # purchases and sessions are stored tables to this mart, as in production
+    watched = materialize(campaign.watch_sessions(t.video_history, large=t.large("video_history")))
+    return campaign.video_rewatch(watched, t.videos, materialize(_purchases(t)))
 
 
 # --------------------------------------------------------------------------- trainers

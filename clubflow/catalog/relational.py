@@ -14,7 +14,6 @@ from clubflow.functions.text import code_label, like_any
 from clubflow.operators.flows import full_join, month_grid, monthly_sum, zero
 from clubflow.operators.intervals import inside_any, max_over_covering
 from clubflow.operators.ordered import first_rows, neighbours, row_numbers
-from clubflow.operators.skew import hot_keys
 from clubflow.plans.campaign import staff_users
 
 MONEY = "decimal(18,2)"
@@ -359,7 +358,7 @@ def _scalar(t: Tables):
 )
 def _self_next(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "event_type")
-    hot = hot_keys(rows, ["user_id"], "ts")
+    hot = t.large("events").of("events.user")
     out = neighbours(rows, ["user_id"], ["ts", "event_id"], lead={"next_id": "event_id", "next_type": "event_type"}, hot=hot)
     return out.select("event_id", "user_id", "next_id", "next_type")
 
@@ -381,11 +380,7 @@ def _range_interval(t: Tables):
         (F.col("signed_date") + F.expr("INTERVAL 9400 DAY")).alias("_a"),
         (F.col("end_date") + F.expr("INTERVAL 9400 DAY")).alias("_b"),
     )
-    hot = hot_keys(
-        points.select("user_id", F.col("ts").alias("_at")).unionByName(spans.select("user_id", F.col("_a").alias("_at"))),
-        ["user_id"],
-        "_at",
-    )
+    hot = t.large("events", "plans").of("events.user", "plans.user")
     return inside_any(points, spans, ["user_id"], "ts", "_a", "_b", "event_id", hot=hot)
 
 

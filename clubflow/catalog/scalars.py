@@ -237,11 +237,11 @@ def _phones(t: Tables):
             nullif(json_extract_string(EventParameters, '$.user_id'), '')) AS BIGINT), 0) AS user_id FROM app_events""",
 )
 def _json(t: Tables):
-    p = F.col("EventParameters")
-    return t.app_events.select(
+    p = F.col("_parsed")
+    return t.app_events.withColumn("_parsed", x.parsed_json(F.col("EventParameters"))).select(
         F.col("DeviceID").alias("device_id"),
         F.col("EventDateTime").alias("at"),
-        x.json_text(p, "$.story_id").alias("story_id"),
+        x.field_text(p, "$.story_id").alias("story_id"),
         event_user(p).alias("user_id"),
     )
 

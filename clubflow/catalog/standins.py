@@ -12,7 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clubflow.session import prepare
+from clubflow.operators.skew import NO_STATISTICS, KeyStatistics, add_sketches, read_statistics
+from clubflow.session import new_table_path, prepare, rows_per_segment
 from clubflow.sources.scan import scan_table
 
 BASE = (
@@ -77,7 +78,13 @@ TABLES: dict[str, str] = {
             CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 160 END AS discount_id,
             CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 150 END AS discount_code_id,
             CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS card_token_id
-        FROM {orders}""",
+        FROM {orders}
+        UNION ALL
+        SELECT o_orderkey + 1000000000, o_custkey, o_orderkey % 80 * 3, o_orderkey * 7 % 25, 'Current', o_orderdate,
+            o_orderdate + INTERVAL '1' DAY, CASE WHEN o_orderkey < 0 THEN o_orderdate END,
+            CASE WHEN o_orderkey < 0 THEN o_orderdate END, CAST(NULL AS STRING),
+            o_orderkey * 7 % 13, CAST(NULL AS BIGINT), o_orderkey
+        FROM {orders} WHERE o_orderkey % 250 IN (205, 206, 208) AND o_orderkey % 4 <> 1""",
     "transactions": """
         SELECT o_orderkey * 4 AS id, o_custkey AS user_id, o_orderkey AS user_payment_plan_id,
             o_orderkey % 6 AS gate_id, o_orderkey % 12 AS employee_id,
@@ -102,7 +109,13 @@ TABLES: dict[str, str] = {
             o_orderkey % 150, CAST(NULL AS BIGINT), o_orderkey * 4, 8, 'refund',
             CAST(o_totalprice AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)),
             CAST(0 AS DECIMAL(18,2)), o_orderdate + INTERVAL '40' DAY, o_orderdate + INTERVAL '40' DAY
-        FROM {orders} WHERE o_orderkey % 5 = 2""",
+        FROM {orders} WHERE o_orderkey % 7 = 2
+        UNION ALL
+        SELECT o_orderkey * 4 + 3, o_custkey, o_orderkey + 1000000000, o_orderkey % 6, o_orderkey % 12, o_orderkey % 160,
+            o_orderkey % 150, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 6, 'payment',
+            CAST(o_totalprice AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)),
+            CAST(0 AS DECIMAL(18,2)), o_orderdate, o_orderdate + INTERVAL '10' MINUTE * (o_orderkey % 100)
+        FROM {orders} WHERE o_orderkey % 250 IN (205, 206, 208) AND o_orderkey % 4 <> 1""",
     "club_moves": """
         SELECT o_orderkey AS user_payment_plan_id, o_custkey AS user_id, o_orderkey * 3 % 25 AS old_club_id,
             o_orderdate + INTERVAL '1' DAY * (o_orderkey % 60 - 10) AS created_at
@@ -269,7 +282,7 @@ TABLES: dict[str, str] = {
         FROM {part}""",
     "video_progress": """
         SELECT event_id AS id, event_id % 20 AS video_id, user_id, CAST(event_id * 7 % 200 AS INT) AS duration,
-            ts - INTERVAL '8000' DAY AS created_at
+            ts - INTERVAL '9400' DAY AS created_at
         FROM {events}""",
     "video_history": """
         SELECT event_id AS id, user_id % 7 AS video_id, user_id, CAST(event_id % 300 AS INT) AS duration,
@@ -305,6 +318,29 @@ TABLES: dict[str, str] = {
 }
 
 
+#: Sets of keys that large keys are looked for in, by table: name -> expressions.
+KEY_SETS: dict[str, dict[str, list[str]]] = {
+    "events": {"events.user": ["user_id"]},
+    "orders": {"orders.group": ["o_custkey % 50"]},
+    "visit_history": {"visits.user_club": ["user_id", "club_id"]},
+    "visits_histories": {
+        "visits.user": ["user_id"],
+        "visits.user_day": ["user_id", "to_date(club_event_date)"],
+        "visits.user_day_before": ["user_id", "date_sub(to_date(club_event_date), 1)"],
+    },
+    "swipes": {"swipes.user_day": ["user_id", "to_date(event_date)"]},
+    "bookings": {"bookings.user_day": ["user_id", "to_date(start_time)"]},
+    "plans": {"plans.user": ["user_id"]},
+    "flows": {"flows.user": ["user_id"]},
+    "transactions": {"payments.user": ["user_id"]},
+    "transaction_history": {"history.id": ["id"]},
+    "plan_history": {"plan_history.id": ["id"]},
+    "video_history": {"progress.user_video": ["user_id", "video_id"]},
+}
+_sketches: dict[tuple[str, str, str], str] = {}
+_known: dict[tuple[str, str, str, int], KeyStatistics] = {}
+
+
 def _base_names(text: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}", text)))
 
@@ -330,6 +366,21 @@ class Tables:
         self.__dict__[name] = found
         return found
 
+    def large(self, *tables: str) -> KeyStatistics:
+        """Statistics of the keys of some tables; each table is measured once and its sketch kept."""
+        out = NO_STATISTICS
+        for table in tables:
+            of = (self.spark.sparkContext.applicationId, self.sf_dir, table)
+            known = (*of, rows_per_segment(self.spark))
+            if of not in _sketches:
+                path = new_table_path(self.spark, f"statistics-{table}")
+                add_sketches(getattr(self, table), KEY_SETS[table], path)
+                _sketches[of] = path
+            if known not in _known:
+                _known[known] = read_statistics(self.spark, _sketches[of])
+            out = out | _known[known]
+        return out
+
 
 def with_tables(sql: str, *names: str) -> str:
     """The oracle text with the stand-ins it needs in front."""

@@ -18,7 +18,6 @@ from clubflow.operators.ordered import (
     running,
     sessions,
 )
-from clubflow.operators.skew import hot_keys
 
 USER, ORDER = ["user_id"], ["ts", "event_id"]
 _W = "(PARTITION BY user_id ORDER BY ts, event_id)"
@@ -26,7 +25,7 @@ _W = "(PARTITION BY user_id ORDER BY ts, event_id)"
 
 def _events(t: Tables, *more: str):
     rows = t.events.select("event_id", "user_id", "ts", *more)
-    return rows, hot_keys(rows, USER, "ts")
+    return rows, t.large("events").of("events.user")
 
 
 @query("win_row_number", sql=f"SELECT event_id, user_id, row_number() OVER {_W} AS rn FROM events")
@@ -50,7 +49,7 @@ def _first_row(t: Tables):
 )
 def _dense_rank(t: Tables):
     rows = t.events.select("event_id", "user_id", F.to_date("ts").alias("day"))
-    return distinct_ranks(rows, USER, "day", "rnk", hot=hot_keys(rows, USER, "day"))
+    return distinct_ranks(rows, USER, "day", "rnk", hot=t.large("events").of("events.user"))
 
 
 @query(
@@ -85,7 +84,7 @@ def _in_frame(t: Tables):
     rows = t.orders.select("o_orderkey", (F.col("o_custkey") % 50).alias("_g"), "o_orderdate")
     out = lead_in_frame(
         rows, ["_g"], ["o_orderdate"], {"next_peer": "o_orderkey"}, tie=["o_orderkey"],
-        hot=hot_keys(rows, ["_g"], "o_orderdate"),
+        hot=t.large("orders").of("orders.group"),
     )
     return out.select("o_orderkey", "next_peer")
 

@@ -32,9 +32,14 @@ def code_label(c: Column, labels: Mapping[int, str]) -> Column:
     return F.lit(None).cast("string") if out is None else out
 
 
-def json_text(c: Column, path: str) -> Column:
-    """JSON field as text, '' when missing or malformed."""
-    return F.coalesce(F.get_json_object(c, path), F.lit(""))
+def parsed_json(c: Column) -> Column:
+    """JSON text parsed once, for any number of fields; NULL when malformed."""
+    return F.try_parse_json(c)
+
+
+def field_text(parsed: Column, path: str) -> Column:
+    """Field of parsed JSON as text, '' when missing or malformed."""
+    return F.coalesce(F.try_variant_get(parsed, path, "string"), F.lit(""))
 
 
 def split_number(c: Column, separator: str, part: int) -> Column:

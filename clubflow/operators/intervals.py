@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clubflow.operators.ordered import running
+from clubflow.operators.skew import LargeKeys
 
 #: The days of the years 1 to 9999 form a binary tree of this height.
 LEVELS = 22
@@ -23,7 +24,7 @@ def inside_any(
     lo: str,
     hi: str,
     tie: str,
-    hot: DataFrame | None = None,
+    hot: LargeKeys | None = None,
 ) -> DataFrame:
     """Keep points that lie in at least one closed interval ``[lo, hi]`` of their key.
 

@@ -2,7 +2,7 @@
 
 Every function takes the key columns and a list of ascending ordering columns
 (NULLs last) that is unique within a key. With ``hot=None`` it is one plain
-window: one shuffle on the key. With a table from :func:`skew.hot_keys` the
+window: one shuffle on the key. With ``skew.LargeKeys`` the
 large keys are cut into segments and the segments exchange summaries only.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from clubflow.functions.dates import seconds_between
-from clubflow.operators.skew import SEGMENT, attach, segmented, without_hot
+from clubflow.operators.skew import SEGMENT, LargeKeys, attach, segmented, without_hot
 from clubflow.session import stored
 
 
@@ -37,7 +37,7 @@ def in_order(
     keys: Sequence[str],
     order: Sequence[str],
     build: Callable[[DataFrame, bool], DataFrame],
-    hot: DataFrame | None,
+    hot: LargeKeys | None,
 ) -> DataFrame:
     """Run ordered steps with large keys taken apart once for all of them.
 
@@ -104,7 +104,7 @@ def neighbours(
     order: Sequence[str],
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
-    hot: DataFrame | None = None,
+    hot: LargeKeys | None = None,
 ) -> DataFrame:
     """Add values of the previous (``lag``) and next (``lead``) row: ``{new: source}``."""
     step = lambda rows, cut: neighbours_step(rows, keys, order, lag, lead, cut)
@@ -116,7 +116,7 @@ def row_numbers(
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "rn",
-    hot: DataFrame | None = None,
+    hot: LargeKeys | None = None,
 ) -> DataFrame:
     """Number the rows of each key 1, 2, 3, …"""
 
@@ -197,7 +197,7 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     values: Mapping[str, tuple[str, str]],
-    hot: DataFrame | None = None,
+    hot: LargeKeys | None = None,
 ) -> DataFrame:
     """Add values over all rows up to the current one: ``{new: (kind, source)}``.
 
@@ -246,7 +246,7 @@ def first_rows(
 
 def lead_in_frame(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str],
-    tie: Sequence[str] = (), hot: DataFrame | None = None,
+    tie: Sequence[str] = (), hot: LargeKeys | None = None,
 ) -> DataFrame:
     """A lead whose frame ends at the current row's peers.
 
@@ -268,7 +268,7 @@ def sessions(
     tie: Sequence[str],
     gap_seconds: int,
     name: str = "session_number",
-    hot: DataFrame | None = None,
+    hot: LargeKeys | None = None,
 ) -> DataFrame:
     """Number the sessions of each key; a gap of ``gap_seconds`` or more opens a new one.
 
@@ -286,7 +286,7 @@ def sessions(
 
 
 def distinct_ranks(
-    df: DataFrame, keys: Sequence[str], by: str, name: str, hot: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], by: str, name: str, hot: LargeKeys | None = None
 ) -> DataFrame:
     """Dense rank of ``by`` inside each key, through its distinct values."""
     ranks = row_numbers(df.select(*keys, by).distinct(), keys, [by], name, hot=hot)

@@ -11,8 +11,7 @@ from clubflow import config as c
 from clubflow.functions.dates import days_between, repair_birthday, shift_hours
 from clubflow.operators.intervals import max_over_covering
 from clubflow.operators.ordered import first_rows, running, sessions
-from clubflow.operators.skew import hot_keys
-from clubflow.session import materialize
+from clubflow.operators.skew import NO_STATISTICS, KeyStatistics
 
 
 def staff_users(plans: DataFrame, employees: DataFrame) -> DataFrame:
@@ -22,16 +21,36 @@ def staff_users(plans: DataFrame, employees: DataFrame) -> DataFrame:
     return on_plan.select("user_id").union(listed.select("user_id")).distinct()
 
 
+def campaign_payments(transactions: DataFrame) -> DataFrame:
+    """The transactions that the campaign mart looks at, in one pass, with the roles they play.
+
+    Far fewer than all transactions: store them once and give them to ``campaign_purchases``, which reads them for each role.
+    """
+    roles = {
+        "is_campaign": F.col("provider_id").isin(*c.CAMPAIGN_PROVIDERS),
+        "is_main": F.col("provider_id").isin(*c.FIRST_PAYMENT_PROVIDERS),
+        "is_refund": F.col("type") == "refund",
+    }
+    return (
+        transactions.select(
+            "id", "user_id", "user_payment_plan_id", "payment_transaction_id", "provider_id", "type", "total_amount",
+            "discount_id", "gate_id", "created_at", "updated_at",
+            *[F.coalesce(is_so, F.lit(False)).alias(role) for role, is_so in roles.items()],
+        )
+        .where(" OR ".join(roles))
+    )
+
+
 def main_plan_by_day(
     plans: DataFrame,
-    transactions: DataFrame,
+    payments: DataFrame,
     inflow_plan_ids: DataFrame,
     payment_plans: DataFrame,
     discounts: DataFrame,
     buyers: DataFrame,
 ) -> DataFrame:
     """The main plan each of the ``buyers`` paid for on a day."""
-    paid = transactions.where(F.col("provider_id").isin(*c.FIRST_PAYMENT_PROVIDERS)).select(
+    paid = payments.where("is_main").select(
         F.col("user_payment_plan_id").alias("id"), F.to_date("updated_at").alias("main_pp_date")
     )
     wanted = inflow_plan_ids.select(F.col("id").alias("payment_plan_id"))
@@ -67,7 +86,7 @@ def main_plan_by_day(
 
 
 def campaign_purchases(
-    transactions: DataFrame,
+    payments: DataFrame,
     plans: DataFrame,
     clubs: DataFrame,
     payment_plans: DataFrame,
@@ -82,8 +101,12 @@ def campaign_purchases(
     tracker: DataFrame,
     start: dt.date = c.CAMPAIGN_START,
     shift: int = 3,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
-    """Purchases of campaign plans with everything known about the buyer."""
+    """Purchases of campaign plans with everything known about the buyer.
+
+    ``payments`` are the rows of ``campaign_payments``. Large keys: ``payments.user``.
+    """
     plan = payment_plans.select(
         F.col("id").alias("payment_plan_id"), F.col("name").alias("payment_plan"), "payment_plan_type"
     )
@@ -107,7 +130,7 @@ def campaign_purchases(
     )
     gate = gates.select(F.col("id").alias("gate_id"), F.col("name").alias("gate_name"))
     paid = (
-        transactions.where(F.col("provider_id").isin(*c.CAMPAIGN_PROVIDERS))
+        payments.where("is_campaign")
         .select(
             F.col("id").alias("transaction_id"),
             F.col("updated_at").alias("transaction_date"),
@@ -135,7 +158,7 @@ def campaign_purchases(
         )
     )
     discount = discounts.select(F.col("id").alias("discount_id"), F.col("name").alias("_discount"))
-    main = main_plan_by_day(plans, transactions, inflow_plan_ids, payment_plans, discounts, first)
+    main = main_plan_by_day(plans, payments, inflow_plan_ids, payment_plans, discounts, first)
     counted = F.col("main_pp_date") >= F.lit(start)
     of_plan = (
         first.join(main, ["user_id", "main_pp_date"], "left")
@@ -160,12 +183,11 @@ def campaign_purchases(
             F.when(F.col("transaction_id") == F.col("_first_of_plan"), "new").otherwise("repeat"),
         )
     )
-    by_user = hot_keys(transactions, ["user_id"], "id")
     bought = running(
-        dated, ["user_id"], ["transaction_id"], {"min_transaction_date": ("min", "transaction_date")}, hot=by_user
+        dated, ["user_id"], ["transaction_id"], {"min_transaction_date": ("min", "transaction_date")}, hot=large.of("payments.user")
     )
     staff = staff_users(plans, employees).select(F.col("user_id").alias("_owner"), F.lit(True).alias("_staff"))
-    refund = transactions.where(F.col("type") == "refund").select(
+    refund = payments.where("is_refund").select(
         F.col("payment_transaction_id").alias("transaction_id"),
         F.col("id").alias("return_transaction"),
         shift_hours(F.col("updated_at"), shift).alias("return_transaction_date"),
@@ -221,15 +243,18 @@ def campaign_purchases(
     )
 
 
-def watch_sessions(history: DataFrame, shift: int = 3) -> DataFrame:
-    """Sessions of each user and video with at least three progress rows, numbered 1, 2, …"""
+def watch_sessions(history: DataFrame, shift: int = 3, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
+    """Sessions of each user and video with at least three progress rows, numbered 1, 2, …
+
+    Large keys: ``progress.user_video``.
+    """
     facts = ["id", "video_id", "user_id", "duration", "is_completed", "stars", "difficulty", "comment"]
     clean = (
         history.groupBy(*facts, shift_hours(F.col("updated_at"), shift).alias("updated_at"))
         .agg(F.min("version_updated_at").alias("version_updated_at"), F.max("version").alias("version"))
     )
     keys = ["user_id", "video_id"]
-    hot = hot_keys(history, keys, "updated_at")
+    hot = large.of("progress.user_video")
     steps = sessions(clean, keys, "updated_at", ["version", "id"], c.SESSION_GAP_SECONDS, hot=hot)
     rated = lambda name: F.max(F.when(F.col(name) != 0, F.col(name))).alias(name)
     # the same second twice in a row is not watching time
@@ -260,16 +285,12 @@ def watch_sessions(history: DataFrame, shift: int = 3) -> DataFrame:
     )
 
 
-def video_rewatch(
-    history: DataFrame, videos: DataFrame, purchases: DataFrame, shift: int = 3
-) -> DataFrame:
-    """Watch sessions with rewatch counts and the campaign plan that covered each."""
-    # read three times below; far smaller than the history
-    watched = materialize(
-        watch_sessions(history, shift).withColumn(
-            "if_rewatch", F.when(F.col("session_number") > 1, 1).otherwise(0)
-        )
-    )
+def video_rewatch(watched: DataFrame, videos: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Watch sessions with rewatch counts and the campaign plan that covered each.
+
+    ``watched`` are the rows of ``watch_sessions``, far fewer than the history; they are read three times, so store them.
+    """
+    watched = watched.withColumn("if_rewatch", F.when(F.col("session_number") > 1, 1).otherwise(0))
     per_user = watched.groupBy("user_id", "video_id").agg(F.sum("if_rewatch").alias("_again"))
     per_video = per_user.groupBy("video_id").agg(
         F.max("_again").alias("max_rewatch"),

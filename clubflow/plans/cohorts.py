@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clubflow import config as c
 from clubflow.functions.dates import minutes_between, ntz
 from clubflow.operators.ordered import in_order, neighbours_step
-from clubflow.operators.skew import hot_keys
+from clubflow.operators.skew import NO_STATISTICS, KeyStatistics
 
 _ORDER = ["version_updated_at", "version"]
 
@@ -19,11 +19,11 @@ def _same_day(a: Column, b: Column) -> Column:
     return F.to_date(a).eqNullSafe(F.to_date(b))
 
 
-def cohorts(history: DataFrame, discount_id: int | None = None) -> DataFrame:
+def cohorts(history: DataFrame, discount_id: int | None = None, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
     """Cohort start, end, closing status and end type of every debt period.
 
     A period opens when a plan enters payment debt and closes at the next kept
-    status row; a plan that pays on while current is a 'Continue' row.
+    status row; a plan that pays on while current is a 'Continue' row. Large keys: ``plan_history.id``.
     """
     kept = history.where(
         F.col("payment_plan_id").isin(*c.DEBT_PLAN_IDS)
@@ -53,7 +53,7 @@ def cohorts(history: DataFrame, discount_id: int | None = None) -> DataFrame:
         ["id"],
         _ORDER,
         chain,
-        hot_keys(kept, ["id"], _ORDER[0]),
+        large.of("plan_history.id"),
     )
     goes_on = F.col("_kind") == "continue"
     closing = (
@@ -78,9 +78,11 @@ def cohorts(history: DataFrame, discount_id: int | None = None) -> DataFrame:
     )
 
 
-def debt_cohort_detail(history: DataFrame, discount_id: int = c.DEBT_TRIAL_DISCOUNT) -> DataFrame:
+def debt_cohort_detail(
+    history: DataFrame, discount_id: int = c.DEBT_TRIAL_DISCOUNT, large: KeyStatistics = NO_STATISTICS
+) -> DataFrame:
     """Debt periods of one discount."""
-    return cohorts(history, discount_id)
+    return cohorts(history, discount_id, large)
 
 
 def with_ladder(detail: DataFrame, days: int = c.DEBT_DAYS) -> DataFrame:
@@ -118,9 +120,11 @@ def with_ladder(detail: DataFrame, days: int = c.DEBT_DAYS) -> DataFrame:
     )
 
 
-def debt_cohort_ladder(history: DataFrame, clubs: DataFrame, days: int = c.DEBT_DAYS) -> DataFrame:
+def debt_cohort_ladder(
+    history: DataFrame, clubs: DataFrame, days: int = c.DEBT_DAYS, large: KeyStatistics = NO_STATISTICS
+) -> DataFrame:
     """Counts per cohort date and club over the day ladder."""
-    ladder = with_ladder(cohorts(history), days)
+    ladder = with_ladder(cohorts(history, large=large), days)
     counts = [F.count(F.lit(1)).alias("all_subs_due")]
     counts += [F.count_if(f"open{k}").alias(f"day{k}") for k in range(1, days + 1)]
     for k in range(1, days + 1):

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from clubflow import config as c
 from clubflow.functions.dates import ntz
-from clubflow.functions.text import json_text
+from clubflow.functions.text import field_text, parsed_json
 from clubflow.operators.ordered import group_values
 
 
 def event_user(parameters: Column) -> Column:
-    """User id of an app event: the nested one, else the plain one, else 0."""
-    nested = json_text(F.get_json_object(parameters, "$.user"), "$.id")
-    plain = json_text(parameters, "$.user_id")
-    text = F.when(nested != "", nested).when(plain != "", plain).otherwise("0")
+    """User id of an app event from its parsed parameters: the nested one, else the plain one, else 0."""
+    nested = field_text(parameters, "$.user.id")
+    # some apps write the nested object as a text of its own
+    wrapped = F.schema_of_variant(F.try_variant_get(parameters, "$.user", "variant")) == "STRING"
+    inner = F.when(wrapped, field_text(parsed_json(field_text(parameters, "$.user")), "$.id")).otherwise("")
+    plain = field_text(parameters, "$.user_id")
+    text = F.when(nested != "", nested).when(inner != "", inner).when(plain != "", plain).otherwise("0")
     return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
@@ -58,7 +61,7 @@ def mobile_events(
     """
     ranged = events.where(
         (F.col("ReceiveDate") >= F.lit(date_from)) & (F.col("ReceiveDate") < F.lit(date_to))
-    ).select(
+    ).withColumn("_parsed", parsed_json(F.col("EventParameters"))).select(
         F.col("DeviceID").alias("device_id"),
         F.col("EventDate").alias("event_date"),
         F.col("EventDateTime").alias("event_datetime"),
@@ -66,7 +69,7 @@ def mobile_events(
         F.col("OSName").alias("os_name"),
         F.col("EventName").alias("event_name"),
         F.col("EventParameters").alias("event_params"),
-        event_user(F.col("EventParameters")).alias("_seen"),
+        event_user(F.col("_parsed")).alias("_seen"),
     )
     known = group_values(ranged, ["device_id"], {"user_id": ("max", "_seen")}).drop("_seen")
     # dimensions are assembled per user first, so events meet one table
@@ -102,13 +105,8 @@ def mobile_stories(
             & (F.col("receive_date") >= F.lit(date_from))
             & (F.col("receive_date") < F.lit(date_to))
         )
-        .withColumns(
-            {
-                "story_id": json_text(F.col("event_params"), "$.story_id"),
-                "slide_id": json_text(F.col("event_params"), "$.slide_id"),
-                "showtime": json_text(F.col("event_params"), "$.showtime"),
-            }
-        )
+        .withColumn("_parsed", parsed_json(F.col("event_params")))
+        .withColumns({n: field_text(F.col("_parsed"), f"$.{n}") for n in ("story_id", "slide_id", "showtime")})
         .join(header, "slide_id", "left")
         .select(
             "device_id", "event_date", "event_datetime", "receive_date", "os_name", "event_name",

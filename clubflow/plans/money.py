@@ -11,8 +11,7 @@ from clubflow import config as c
 from clubflow.functions.dates import days_between, month_start, ntz, repair_birthday, shift_hours
 from clubflow.functions.text import code_label, first_label, split_number
 from clubflow.operators.ordered import first_rows, neighbours
-from clubflow.operators.skew import hot_keys
-from clubflow.session import stored
+from clubflow.operators.skew import NO_STATISTICS, KeyStatistics
 
 
 def revenue_monthly(
@@ -104,20 +103,24 @@ def revenue_monthly(
     )
 
 
-def receipt_counts(receipts: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """Receipts per transaction id (parsed from the number) and fiscal status; of the ids ``wanted`` only, if given."""
+def receipt_counts(receipts: DataFrame) -> DataFrame:
+    """Receipts per transaction id (parsed from the number) and fiscal status."""
     counted = receipts.where(F.col("fiscal_status").isin(*c.COUNTED_FISCAL_STATUSES)).select(
         split_number(F.col("number"), "_", 2).alias("id_transaction"), "fiscal_status"
     )
-    if wanted is not None:
-        counted = counted.join(wanted, "id_transaction", "left_semi")
     return counted.groupBy("id_transaction", "fiscal_status").agg(F.count(F.lit(1)).alias("cnt_receips"))
 
 
+def ledger_receipts(accounting: DataFrame, transactions: DataFrame, above: int = 0) -> DataFrame:
+    """Transaction ids whose receipts the ledger rows above a watermark look up: their own and their parents'."""
+    own = accounting.where(~F.col("is_deleted") & (F.col("transaction_id") > above)).select("transaction_id")
+    return own.unionAll(transactions.where(F.col("id") > above).select("parent_id"))
+
+
 def accounting_ledger(
     accounting: DataFrame,
     transactions: DataFrame,
-    receipts: DataFrame,
+    counts: DataFrame,
     users: DataFrame,
     legal_infos: DataFrame,
     clubs: DataFrame,
@@ -125,15 +128,13 @@ def accounting_ledger(
 ) -> DataFrame:
     """Accounting rows above a watermark with labels and receipt status.
 
-    The parent transaction's receipt comes first, then the row's own.
+    The parent transaction's receipt comes first, then the row's own. ``counts`` are the rows of ``receipt_counts``, or
+    those of an index of receipts (``sources.receipts``).
     """
     fresh = accounting.where(~F.col("is_deleted") & (F.col("transaction_id") > above))
     tx = transactions.where(F.col("id") > above).select(
         F.col("id").alias("transaction_id"), "receipt_id", "parent_id", "club_legal_info_id"
     )
-    # receipts of the new rows and of their parents, counted once for both lookups
-    wanted = fresh.select(F.col("transaction_id").alias("id_transaction")).union(tx.select("parent_id")).distinct()
-    counts = stored(receipt_counts(receipts, wanted), "receipts")
     own = counts.select(
         F.col("id_transaction").alias("transaction_id"),
         F.col("fiscal_status").alias("_own_status"),
@@ -187,10 +188,10 @@ def accounting_ledger(
     )
 
 
-def left_completed(history: DataFrame, above: int = 0) -> DataFrame:
-    """Transactions whose status moved away from 'completed'."""
+def left_completed(history: DataFrame, above: int = 0, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
+    """Transactions whose status moved away from 'completed'. Large keys: ``history.id``."""
     recent = history.where(F.col("id") > above).select("id", "status", "version_updated_at", "version")
-    hot = hot_keys(recent, ["id"], "version_updated_at")
+    hot = large.of("history.id")
     return (
         neighbours(
             recent,
@@ -228,8 +229,9 @@ def subscription_sales(
     cities: DataFrame,
     as_of: dt.datetime,
     shift: int = 6,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
-    """One row per subscription with its first payment, previous plan and client class."""
+    """One row per subscription with its first payment, previous plan and client class. Large keys: ``plans.user``."""
     plan_name = F.lower("_plan_name")
     subs = (
         plans.where(
@@ -265,7 +267,7 @@ def subscription_sales(
     ranked_only = subs.where(F.col("subscription_type").isin(*c.RANKED_TYPES)).select(
         "user_id", "sub_id", "payment_plan_id", "signed_date", "end_date"
     )
-    hot = hot_keys(plans, ["user_id"], "id")
+    hot = large.of("plans.user")
     chain = neighbours(
         ranked_only,
         ["user_id"],
@@ -395,8 +397,9 @@ def inflow_outflow_marketing(
     inflow_plan_ids: DataFrame,
     discount_codes: DataFrame,
     as_of: dt.date,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
-    """Flow rows with the user's latest open or ended plan, client class and campaign label."""
+    """Flow rows with the user's latest open or ended plan, client class and campaign label. Large keys: ``flows.user``."""
     main = plans.join(
         inflow_plan_ids.select(F.col("id").alias("payment_plan_id")), "payment_plan_id", "left_semi"
     ).select("user_id", "id", "payment_plan_id", "club_id", "status")
@@ -430,7 +433,7 @@ def inflow_outflow_marketing(
         .join(discount_codes.select(F.col("id").alias("discount_code_id"), "code"), "discount_code_id", "left")
         .select("first_id", "code")
     )
-    hot = hot_keys(flows, ["user_id"], "start_date")
+    hot = large.of("flows.user")
     running_on = F.col("last_id") == -1
     gone = F.col("_open_id").isNull() & F.col("end_date").isNull()
     joined = (

@@ -13,16 +13,16 @@ from clubflow.functions.dates import days_between, month_start, months_between
 from clubflow.functions.numbers import exact_mean, ratio, round_even
 from clubflow.operators.flows import full_join, month_grid, monthly_sum, zero
 from clubflow.operators.ordered import neighbours, running
-from clubflow.operators.skew import hot_keys
+from clubflow.operators.skew import NO_STATISTICS, KeyStatistics
 
 
-def lifetime(flows: DataFrame) -> DataFrame:
+def lifetime(flows: DataFrame, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
     """Mean membership length by month of the last end and the user's main club.
 
     Only ended memberships count. A gap above 90 days (or no next membership)
-    ends a life; memberships closer together share one.
+    ends a life; memberships closer together share one. Large keys: ``flows.user``.
     """
-    hot = hot_keys(flows, ["user_id"], "start_date")
+    hot = large.of("flows.user")
     spans = (
         neighbours(
             flows.select("user_id", "first_id", "inflow_club", "inflow_club_name", "start_date", "end_date"),
@@ -349,9 +349,10 @@ def metric_tree(
     revenue: DataFrame,
     start: dt.date,
     as_of: dt.date,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> MetricTree:
     """The whole dependency chain for one date."""
-    life = lifetime(flows)
+    life = lifetime(flows, large)
     load = load_factor(flows, active, clubs, as_of)
     value = ltv_cac(flows, active, clubs, expenses, start, as_of)
     month = metrics_month(clubs, life, load, value, revenue, start, as_of)

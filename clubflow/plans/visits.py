@@ -13,7 +13,7 @@ from clubflow.functions.dates import days_between, ntz, repair_birthday, shift_h
 from clubflow.operators.flows import explode_hours
 from clubflow.operators.intervals import inside_any
 from clubflow.operators.ordered import in_order, neighbours, neighbours_step, running, running_step
-from clubflow.operators.skew import hot_keys
+from clubflow.operators.skew import NO_STATISTICS, KeyStatistics
 
 
 def occupancy_hourly(
@@ -24,13 +24,14 @@ def occupancy_hourly(
     date_from: dt.datetime,
     date_to: dt.datetime,
     buffer_hours: int = c.OCCUPANCY_BUFFER_HOURS,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
     """People per round-the-clock club, hour and sex, with a 'total' row per hour.
 
     A session runs from an entry to the next event of the user in the club: an
     exit closes it, another entry closes it one second earlier, no event after
     two hours. Events ``buffer_hours`` around the range are read so sessions
-    that cross its edges count.
+    that cross its edges count. Large keys: ``visits.user_club``.
     """
     pad = dt.timedelta(hours=buffer_hours)
     staff = employees.where((F.col("is_deleted") == 0) & (F.col("is_active") == 1)).select("user_id")
@@ -43,7 +44,7 @@ def occupancy_hourly(
         & (F.col("event_date") < ntz(date_to + pad))
     )
     keys = ["user_id", "club_id"]
-    hot = hot_keys(ranged, keys, "event_date")
+    hot = large.of("visits.user_club")
     kept = (
         ranged.join(staff, "user_id", "left_anti")
         .join(round_clock, "club_id", "left_semi")
@@ -133,11 +134,12 @@ def in_out_raw(
     day_from: dt.date,
     day_to: dt.date,
     buffer_days: int = 1,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
     """Entry and exit events of a day range with the user's previous and next event.
 
     ``buffer_days`` more days are read on both sides, so rows at the edges keep
-    their neighbours; only the range itself is returned.
+    their neighbours; only the range itself is returned. Large keys: ``visits.user``.
     """
     pad = dt.timedelta(days=buffer_days)
     day = F.to_date("club_event_date")
@@ -145,7 +147,7 @@ def in_out_raw(
         F.col("event_type").isin(c.EVENT_IN, c.EVENT_OUT)
         & day.between(F.lit(day_from - pad), F.lit(day_to + pad))
     ).select("id", "user_id", "club_id", "event_type", F.col("club_event_date").alias("event_date"))
-    hot = hot_keys(kept, ["user_id"], "event_date")
+    hot = large.of("visits.user")
     paired = neighbours(
         kept,
         ["user_id"],
@@ -209,15 +211,34 @@ def in_out_visits(raw: DataFrame, dedupe: bool = False) -> InOutVisits:
     return InOutVisits(raw, entries, exits, both)
 
 
+def first_day_above(swipes: DataFrame, above: int) -> dt.date | None:
+    """The earliest day of the scans above a watermark; reads two columns of the files with such ids."""
+    fresh = swipes.where((F.col("id") > above) & (F.col("event_type") == "qr_check"))
+    return fresh.agg(F.to_date(F.min("event_date"))).first()[0]
+
+
 def swipe_gapfill(
-    swipes: DataFrame, clubs: DataFrame, above: int = 0, tz_hours: int = 3, reopen: bool = False
+    swipes: DataFrame,
+    clubs: DataFrame,
+    above: int = 0,
+    tz_hours: int = 3,
+    reopen: bool = False,
+    since: dt.date | None = None,
+    day: str | None = None,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
     """Entry scans above a watermark with a club taken from the previous, else next, else first swipe of the day.
 
     Older swipes of a user's day that got new ones are read along, so the first new swipe knows the one before it.
     ``reopen`` returns them again: a new swipe can give its club to the one before, so a load that keeps the latest
-    version of an id ends with the same rows however it was cut into batches.
+    version of an id ends with the same rows however it was cut into batches. ``since`` is the earliest day of the
+    swipes above the watermark (``first_day_above``): nothing older is read. ``day`` names a column with the day of a
+    swipe, if the table is partitioned by one, so that older files are not opened. Large keys: ``swipes.user_day``.
     """
+    if since is not None:  # literals, which reach the scan; swipes without a time stay with the user's others
+        swipes = swipes.where((F.col("event_date") >= ntz(dt.datetime.combine(since, dt.time()))) | F.col("event_date").isNull())
+        if day is not None:
+            swipes = swipes.where((F.col(day) >= F.lit(since)) | F.col(day).isNull())
     checks = (
         swipes.where(F.col("event_type") == "qr_check")
         .select("id", "event_date", "event_type", "sys_response", "club_id", "user_id", "is_success")
@@ -236,7 +257,7 @@ def swipe_gapfill(
         known.select(F.col("_club").alias("_known")), F.col("club_id") == F.col("_known"), "left"
     )
     keys = ["user_id", "_day"]
-    hot = hot_keys(scans, keys, "id")
+    hot = large.of("swipes.user_day")
 
     def fill(rows: DataFrame, cut: bool) -> DataFrame:
         near = neighbours_step(rows, keys, ["id"], {"_prev": "_known"}, {"_next": "_known"}, cut)
@@ -264,8 +285,13 @@ def class_attendance(
     bookings: DataFrame,
     shift: int = 6,
     local_hours: int = 3,
+    large: KeyStatistics = NO_STATISTICS,
 ) -> DataFrame:
-    """Bookings with the outcome found from visits inside a live plan period."""
+    """Bookings with the outcome found from visits inside a live plan period.
+
+    Large keys: ``visits.user``, ``plans.user``, and ``visits.user_day``, ``visits.user_day_before``, ``bookings.user_day``
+    (a visit can begin on the day before the event it comes from).
+    """
     open_ended = F.col("end_date").isNull() & F.col("status").isin(*c.LIVE_STATUSES)
     periods = plans.where(
         ~F.col("payment_plan_id").isin(*c.NO_ATTENDANCE_PLAN_IDS) & (F.col("status") != "Deleted")
@@ -283,13 +309,7 @@ def class_attendance(
             & (F.to_date("in_date") == F.to_date(shift_hours(F.col("out_date"), -local_hours)))
         )
     )
-    hot = hot_keys(
-        same_day.select("user_id", F.col("in_date").alias("_at")).unionByName(
-            periods.select("user_id", F.col("_from").alias("_at"))
-        ),
-        ["user_id"],
-        "_at",
-    )
+    hot = large.of("visits.user", "plans.user")
     live = inside_any(same_day, periods, ["user_id"], "in_date", "_from", "_to", "id", hot=hot)
     minute = F.expr("INTERVAL 1 MINUTE")
     # A booking needs one visit of its day that starts early enough and ends late
@@ -312,7 +332,7 @@ def class_attendance(
         allowMissingColumns=True,
     )
     keys = ["user_id", "_day"]
-    day_hot = hot_keys(marked, keys, "_at")
+    day_hot = large.of("visits.user_day", "visits.user_day_before", "bookings.user_day")
     seen = running(marked, keys, ["_at", "_kind", "booking_id"], {"_reach": ("max", "_out")}, hot=day_hot)
     # a booking with several visits that fit is still one booking
     visited = (

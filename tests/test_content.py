@@ -12,7 +12,8 @@ ALWAYS_NULL = {("fn_cast", "nothing")}
 @pytest.mark.parametrize("name", ["join_range_interval", "join_as_attribution", "join_full_outer_chain", "write_compact",
                                   "write_replace_range", "write_replace_month", "join_full_outer", "fn_cast", "mart_metrics_year",
                                   "mart_in_out_entries", "mart_in_out_exits", "mart_swipe_gapfill_batches",
-                                  "mart_revenue_monthly_reload", "mart_anomaly_count"])
+                                  "mart_revenue_monthly_reload", "mart_anomaly_count", "mart_accounting_ledger_batches",
+                                  "mart_campaign_purchases", "mart_video_rewatch"])
 def test_query_has_rows_and_values(spark, name):
     from pyspark.sql import functions as F
 

@@ -8,6 +8,7 @@ from clubflow import config as c
 from clubflow.functions import dates as d
 from clubflow.functions import text as x
 from clubflow.functions.numbers import exact_quantile, ratio, round_even
+from clubflow.catalog import QUERIES
 from clubflow.plans.mobile import event_user
 from clubflow.plans.tree import rolling_year
 from clubflow.plans.trainers import club_city, fold_city
@@ -82,10 +83,25 @@ def test_phone_forms(spark):
 
 def test_event_user_from_json(spark):
     texts = ['{"user_id": 5}', '{"user_id": "6"}', '{"user": {"id": 7}, "user_id": 5}', '{"user": "{\\"id\\": \\"8\\"}"}', "{}", "{broken", None]
-    out = [event_user(F.lit(v)) for v in texts]
+    out = [event_user(x.parsed_json(F.lit(v))) for v in texts]
     assert one(spark, **{f"u{i}": u for i, u in enumerate(out)}) == (5, 6, 7, 8, 0, 0, 0)
 
 
+def test_json_fields_as_text(spark):
+    parsed = x.parsed_json(F.lit('{"a": 3.5, "b": "t\\u00e9", "c": null, "d": {"e": [1]}, "f": true, "g": 7}'))
+    out = {f"f{i}": x.field_text(parsed, p) for i, p in enumerate(("$.a", "$.b", "$.c", "$.d.e[0]", "$.f", "$.g", "$.none"))}
+    assert one(spark, **out) == ("3.5", "té", "", "1", "true", "7", "")
+
+
+def test_app_events_are_parsed_once(spark):
+    for name in ("mart_mobile_events", "fn_json_path"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(") AS _parsed#") == 1, name
+    plan = QUERIES["mart_mobile_stories"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # once for the user of every event, once for the fields of the stories kept
+    assert plan.count(") AS _parsed#") == 2
+
+
 def test_labels(spark):
     label = lambda v: x.first_label(F.lit(v), c.CAMPAIGN_RULES)
     assert one(spark, a=label("x MEGABD y"), b=label("plain"), n=label(None)) == ("MEGABD 12.2024", "plain", None)

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from clubflow.operators.intervals import inside_any, max_over_covering
-from clubflow.operators.skew import hot_keys
+from clubflow.operators.skew import measure
 
 EPOCH = dt.date(1970, 1, 1)
 
@@ -63,7 +63,6 @@ def test_inside_any(spark, limit):
     )
     hot = None
     if limit:
-        both = p.select("k", p["t"].alias("_at")).unionByName(s.select("k", s["lo"].alias("_at")))
-        hot = hot_keys(both, ["k"], "_at", limit)
+        hot = (measure(p, {"points": ["k"]}, limit) | measure(s, {"spans": ["k"]}, limit)).of("points", "spans")
     got = {r["id"] for r in inside_any(p, s, ["k"], "t", "lo", "hi", "id", hot=hot).collect()}
     assert got == {i for i, k, m in points if any(kk == k and a <= m <= b for kk, a, b in spans)}

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from clubflow.sources import load
+from clubflow.sources import load, published
 from clubflow.sources.scan import latest
 
 
@@ -112,3 +112,125 @@ def test_partition_folders_are_named_as_spark_names_them(spark, path):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, part string")
     load.overwrite_partitions(df, path, "part")
     assert {load.partition_folder("part", v) for v in values} == {f for f in os.listdir(path) if f.startswith("part=")}
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.fixture
+def stop_before_publishing(monkeypatch):
+    """A job that dies after its files are written."""
+
+    def run(work):
+        def die(*_):
+            raise Stopped
+
+        with monkeypatch.context() as m:
+            m.setattr(load, "publish", die)
+            with pytest.raises(Stopped):
+                work()
+
+    return run
+
+
+def test_a_load_that_dies_leaves_the_old_table(spark, path, stop_before_publishing):
+    rows = table(spark, [(i, dt.date(2024, 1 + i % 4, 1 + i), "old") for i in range(1, 12)])
+    load.overwrite_partitions(rows, path, "month")
+    before = content(spark, path)
+    held = load.read_target(spark, path)
+    new = rows.withColumn("note", F.lit("new"))
+    jobs = [
+        lambda: load.replace_range(new, path, "day", dt.date(2024, 1, 1), dt.date(2024, 3, 1), "month"),
+        lambda: load.overwrite_partitions(new, path, "month"),
+        lambda: load.replace_months(lambda a, b: new.where(F.col("day").between(F.lit(a), F.lit(b))), path, dt.date(2024, 4, 1), "month"),
+        lambda: load.full_replace(new, path),
+        lambda: load.compact(spark, path, ["note"], ["id"], "month", [dt.date(2024, 2, 1)]),
+        lambda: load.append_above(new, path, "id"),
+    ]
+    for job in jobs:
+        stop_before_publishing(job)
+        assert content(spark, path) == before
+    jobs[0]()
+    assert {n for _, d, n in content(spark, path) if d < "2024-03-01"} == {"new"}
+    assert len(content(spark, path)) == len(before)
+    # who read the table before still can
+    assert sorted((r["id"], r["day"].isoformat(), r["note"]) for r in held.collect()) == before
+
+
+def test_a_manifest_cut_short_is_not_read_and_its_number_not_used_again(spark, path, tmp_path):
+    rows = table(spark, [(1, dt.date(2024, 1, 1), "a")])
+    load.append_above(rows, path, "id")
+    (tmp_path / "target" / "_manifests" / "0000000002.json").write_text('{"schema": {"fie')
+    assert content(spark, path) == [(1, "2024-01-01", "a")]
+    load.append_above(rows.withColumn("id", F.col("id") + 1), path, "id")
+    assert [i for i, _, _ in content(spark, path)] == [1, 2]
+    assert published.current(spark, path).number == 3
+
+
+def test_two_jobs_from_one_manifest_do_not_both_publish(spark, path):
+    rows = table(spark, [(1, dt.date(2024, 1, 1), "a")])
+    load.append_above(rows, path, "id")
+    base = published.current(spark, path)
+    made = published.write_load(rows, path, base)
+    load.append_above(rows.withColumn("id", F.col("id") + 1), path, "id")
+    with pytest.raises(published.ConcurrentLoad):
+        published.publish(spark, path, published.described(base, rows, None).with_replaced({"": [made.name]}))
+    assert len(content(spark, path)) == 2
+
+
+def test_the_watermark_needs_no_scan(spark, path, tmp_path):
+    rows = table(spark, [(i, dt.date(2024, 1, 1), "a") for i in range(1, 30)])
+    load.append_above(rows.where("id < 20"), path, "id")
+    for file in (tmp_path / "target").glob("_load=*/*.parquet"):
+        file.write_bytes(b"")  # unreadable: nothing opens it
+    assert load.watermark(spark, path, "id") == 19
+    assert load.append_above(rows, path, "id") == 19
+    assert load.watermark(spark, path, "id") == 29
+    # a load that finds nothing keeps it
+    assert load.append_above(rows, path, "id") == 29 and load.watermark(spark, path, "id") == 29
+
+
+def test_vacuum_removes_what_no_kept_manifest_names(spark, path, stop_before_publishing):
+    rows = table(spark, [(i, dt.date(2024, 1 + i % 3, 1), "x") for i in range(9)])
+    for n in range(4):
+        load.overwrite_partitions(rows.withColumn("note", F.lit(f"load {n}")), path, "month")
+    stop_before_publishing(lambda: load.overwrite_partitions(rows, path, "month"))
+    before = content(spark, path)
+    gone = published.vacuum(spark, path)
+    assert [g.split("-")[0] for g in gone] == ["0000000001", "0000000002"]
+    assert content(spark, path) == before and published.vacuum(spark, path) == []
+    load.overwrite_partitions(rows, path, "month")
+    # now the load that died is older than the newest manifest
+    assert "0000000005" in {g.split("-")[0] for g in published.vacuum(spark, path, keep=1)}
+    assert len(content(spark, path)) == 9
+
+
+def test_an_emptied_partition_is_gone_and_the_last_one_leaves_an_empty_table(spark, path):
+    rows = table(spark, [(1, dt.date(2024, 1, 5), "a"), (2, dt.date(2024, 2, 5), "b")])
+    load.overwrite_partitions(rows, path, "month")
+    load.replace_range(rows.where("false"), path, "day", dt.date(2024, 1, 1), dt.date(2024, 2, 1), "month")
+    assert list(published.current(spark, path).loads) == ["month=2024-02-01"]
+    load.replace_range(rows.where("id > 9"), path, "day", dt.date(2024, 2, 1), dt.date(2024, 3, 1), "month")
+    empty = load.read_target(spark, path)
+    assert empty.count() == 0 and empty.columns == ["id", "day", "note", "month"]
+
+
+def test_partitions_outside_the_range_are_not_written_again(spark, path, tmp_path):
+    rows = table(spark, [(i, dt.date(2024, m, 10), "old") for i, m in enumerate(range(1, 7))])
+    load.overwrite_partitions(rows, path, "month")
+    new = table(spark, [(90, dt.date(2024, 2, 20), "new"), (91, dt.date(2024, 3, 1), "new")])
+    load.replace_range(new, path, "day", dt.date(2024, 2, 15), dt.date(2024, 3, 5), "month")
+    # no old row lay in the range: both partitions gain a load and keep the one they had
+    assert {f: len(x) for f, x in published.current(spark, path).loads.items()} == {f"month=2024-0{m}-01": 1 + (m in (2, 3)) for m in range(1, 7)}
+    assert len(content(spark, path)) == 8
+
+
+def test_null_and_odd_partition_values(spark, path):
+    values = ["a b", "x:y", "50%", "p=q", "é", "[x]*?{y}", None]
+    df = spark.createDataFrame([(i, v, i) for i, v in enumerate(values)], "id long, part string, at int")
+    load.overwrite_partitions(df, path, "part")
+    assert {r["part"] for r in load.read_target(spark, path).collect()} == set(values)
+    load.replace_range(df.withColumn("id", F.col("id") + 100), path, "at", 2, 99, "part")
+    got = {r["id"]: r["part"] for r in load.read_target(spark, path).collect()}
+    assert got == {i + 100 * (i >= 2): v for i, v in enumerate(values)}

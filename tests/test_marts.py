@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from clubflow.catalog.standins import KEY_SETS
+from clubflow.operators.skew import measure
 from clubflow.plans import anomalies, cohorts, mobile, money, tree, visits
 
 
@@ -47,7 +49,7 @@ def test_occupancy(spark, any_size):
     users = spark.createDataFrame([(1, "male"), (2, None)], "id long, sex string")
     clubs = spark.createDataFrame([(10, '{"is_open_all_day":true}'), (11, '{"is_open_all_day":false}')], "id long, open_hours string")
     staff = spark.createDataFrame([(3, 0, 1), (1, 1, 1), (None, 0, 1)], "user_id long, is_deleted int, is_active int")
-    out = visits.occupancy_hourly(visits_, users, clubs, staff, T("2024-01-01 10:00:00"), T("2024-01-01 13:00:00"))
+    out = visits.occupancy_hourly(visits_, users, clubs, staff, T("2024-01-01 10:00:00"), T("2024-01-01 13:00:00"), large=measure(visits_, KEY_SETS["visit_history"]))
     got = {(r["check_time"].hour, r["sex"]): r["people_in_club"] for r in out.collect()}
     assert got == {
         (10, "male"): 1, (10, "unknown"): 2, (10, "total"): 3,
@@ -72,7 +74,7 @@ def test_in_out_visits(spark, any_size):
     )
     users = spark.createDataFrame([(1, "N", None, "e", None, None)], "id long, name string, last_name string, email string, sex string, birthday date")
     clubs = spark.createDataFrame([(5, "C")], "id long, name string")
-    raw = visits.in_out_raw(events, users, clubs, D("2024-01-01"), D("2024-01-02"))
+    raw = visits.in_out_raw(events, users, clubs, D("2024-01-01"), D("2024-01-02"), large=measure(events, KEY_SETS["visits_histories"]))
     out = visits.in_out_visits(raw)
     assert rows(out.visits, "id", "in_date", "out_date") == [
         (1, T("2024-01-01 23:30:00"), T("2024-01-02 01:00:00")),
@@ -99,12 +101,13 @@ def test_swipe_gapfill(spark, any_size):
         "id long, user_id long, club_id long, event_date timestamp_ntz",
     ).selectExpr("*", "'qr_check' event_type", "'ok' sys_response", "true is_success")
     clubs = spark.createDataFrame([(5, "C")], "id long, name string")
-    out = visits.swipe_gapfill(swipes, clubs)
+    large = measure(swipes, KEY_SETS["swipes"])
+    out = visits.swipe_gapfill(swipes, clubs, large=large)
     assert rows(out, "id", "club_id", "club_name") == [(1, 5, "C"), (2, 5, "C"), (3, 5, "C"), (4, 5, "C"), (5, 5, "C"), (6, None, None)]
     assert out.where("id = 1").first()["event_date"] == T("2024-01-01 13:00:00")
-    assert rows(visits.swipe_gapfill(swipes, clubs, above=5), "id") == [(6,)]
+    assert rows(visits.swipe_gapfill(swipes, clubs, above=5, large=large), "id") == [(6,)]
     # a day cut by the watermark: swipe 3 still sees swipe 2
-    assert rows(visits.swipe_gapfill(swipes, clubs, above=2), "id", "club_id") == [(3, 5), (4, 5), (5, 5), (6, None)]
+    assert rows(visits.swipe_gapfill(swipes, clubs, above=2, large=large), "id", "club_id") == [(3, 5), (4, 5), (5, 5), (6, None)]
 
 
 def test_swipe_gapfill_in_batches(spark, any_size):
@@ -121,7 +124,10 @@ def test_swipe_gapfill_in_batches(spark, any_size):
         table, above = {}, 0
         for upto in cuts:
             arrived = swipes.where(f"id <= {upto}")
-            table |= {r["id"]: r for r in visits.swipe_gapfill(arrived, clubs, above, reopen=True).collect()}
+            since = visits.first_day_above(arrived, above)
+            large = measure(arrived, KEY_SETS["swipes"])
+            filled = visits.swipe_gapfill(arrived, clubs, above, reopen=True, since=since, large=large)
+            table |= {r["id"]: r for r in filled.collect()}
             above = upto
         assert table == whole
 
@@ -158,7 +164,9 @@ def test_class_attendance(spark, any_size):
         ],
         "booking_id long, user_id long, start_time timestamp_ntz, end_time timestamp_ntz, booking_status string",
     )
-    out = visits.class_attendance(visits_, plans, bookings)
+    days = {"visits.user": ["user_id"], "visits.user_day": ["user_id", "to_date(in_date)"]}
+    large = measure(visits_, days) | measure(plans, KEY_SETS["plans"]) | measure(bookings, KEY_SETS["bookings"])
+    out = visits.class_attendance(visits_, plans, bookings, large=large)
     assert rows(out, "booking_id", "is_visit", "is_visit_no", "is_visit_waiting", "is_visit_cancel", "is_visit_yes", "is_visit_calc") == [
         (1, "Yes", 0, 0, 0, 1, "Yes"),
         (2, None, 1, 0, 0, 0, "No"),
@@ -180,7 +188,7 @@ def test_left_completed(spark, any_size):
         ],
         "id long, status string, version_updated_at timestamp_ntz, version long",
     )
-    assert rows(money.left_completed(history), "id", "ns") == [(1, "refunded")]
+    assert rows(money.left_completed(history, large=measure(history, KEY_SETS["transaction_history"])), "id", "ns") == [(1, "refunded")]
     assert rows(money.left_completed(history, above=1), "id") == []
 
 
@@ -200,7 +208,7 @@ def test_lifetime(spark, any_size):
     )
     # 1: 50 days in two lives (a gap of 90 and the last gap) -> 25; 2: 50 days in two lives -> 25;
     # 3: 30 days -> 30. Club 1 is the main club of all three: the mean 26.67 rounds to 27.
-    assert rows(tree.lifetime(flows), "date", "club_id", "club_name", "alt") == [(D("2023-05-01"), 1, "C1", 27.0)]
+    assert rows(tree.lifetime(flows, measure(flows, KEY_SETS["flows"])), "date", "club_id", "club_name", "alt") == [(D("2023-05-01"), 1, "C1", 27.0)]
 
 
 def test_load_factor_and_ltv(spark):
@@ -313,11 +321,11 @@ def test_debt_cohorts(spark, any_size):
             (6, "PaymentPending", 1, pay, "ExcludeFromReport"),
         ],
     )
-    detail = {r["id"]: (r["cohort_close_status"], r["end_type"]) for r in cohorts.debt_cohort_detail(history).collect()}
+    detail = {r["id"]: (r["cohort_close_status"], r["end_type"]) for r in cohorts.debt_cohort_detail(history, large=measure(history, KEY_SETS["plan_history"])).collect()}
     # 5: one row whose next payment lies on another day, one last row with no next payment
     assert {k: v for k, v in detail.items() if k != 5} == {1: ("Current", None), 2: ("Ended", "auto"), 3: (None, None), 4: ("Ended", "self")}
     assert detail[5] == ("Continue", None)
-    ladder = {r["id"]: r for r in cohorts.with_ladder(cohorts.cohorts(history)).where("id <> 5").collect()}
+    ladder = {r["id"]: r for r in cohorts.with_ladder(cohorts.cohorts(history, large=measure(history, KEY_SETS["plan_history"]))).where("id <> 5").collect()}
     states = {i: [r[f"status{k}"] for k in range(1, 12)] for i, r in ladder.items()}
     assert states[1] == ["Current"] + [None] * 10
     assert states[2] == ["Pending"] * 10 + ["Ended"]
@@ -368,6 +376,7 @@ def test_sales_classes(spark, any_size):
         names((1, "club")).selectExpr("*", "1L city_id"),
         names((1, "city")),
         T("2024-06-01 00:00:00"),
+        large=measure(plans, KEY_SETS["plans"]),
     )
     assert rows(out, "sub_id", "subscription_type", "is_new", "is_resubbed", "prev_sub_id", "total_amount", "is_inflow") == [
         (1, "main", "НЧК", 0, None, 9.0, 1),  # first payment is the lowest id, legacy fee added

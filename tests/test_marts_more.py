@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 
 from clubflow import config as c
+from clubflow.catalog.standins import KEY_SETS
+from clubflow.operators.skew import measure
 from clubflow.plans import campaign, mobile, money, trainers, visits
 
 
@@ -37,7 +39,7 @@ def test_accounting_ledger(spark):
     users = spark.createDataFrame([(1, "A", "B")], "id long, name string, last_name string")
     legal = spark.createDataFrame([(7, 3)], "id long, club_id long")
     clubs = spark.createDataFrame([(3, "C")], "id long, name string")
-    build = lambda above: money.accounting_ledger(accounting, tx, receipts, users, legal, clubs, above)
+    build = lambda above: money.accounting_ledger(accounting, tx, money.receipt_counts(receipts), users, legal, clubs, above)
     out = build(0)
     assert rows(out, "transaction_id", "operation_name", "vat", "vat_num", "name", "club_name", "receipt", "cnt_receips", "fiscal_status") == [
         (1, "Регистрация подписки", "ставка НДС 20%", "0", "A B", "C", 10, 2, "Commit"),
@@ -123,7 +125,7 @@ def test_watch_sessions_and_rewatch(spark, limit):
         "id long, video_id long, user_id long, duration int, is_completed int, stars int, difficulty int, comment string, "
         "updated_at timestamp_ntz, version_updated_at timestamp_ntz, version long",
     )
-    out = campaign.watch_sessions(history, shift=0)
+    watched = out = campaign.watch_sessions(history, shift=0, large=measure(history, KEY_SETS["video_history"]))
     assert rows(out, "user_id", "video_id", "session_number", "id", "qty_rows", "duration_by_qty_rows", "stars") == [
         (1, 1, 1, 9, 3, 17 * 2 + 30, None),
         (1, 1, 2, 9, 4, 17 * 4 + 30, None),
@@ -139,7 +141,7 @@ def test_watch_sessions_and_rewatch(spark, limit):
     ).selectExpr("*", "'g' gate_name", "'i' if_employee", "'d' discount_name", "'m' discount_name_main", "'b' is_banner_user",
         "'s' current_status", "'t' is_trial_user", "'k' is_tracker_user")
     videos = spark.createDataFrame([(1, "title", "type", 1, 600)], "id long, title string, type string, is_free int, duration int")
-    out = campaign.video_rewatch(history, videos, purchases, shift=0)
+    out = campaign.video_rewatch(watched, videos, purchases)
     assert rows(out, "session_number", "if_rewatch", "max_rewatch", "qty_rewatch_more_1", "user_payment_plan_id", "payment_plan", "start_date", "end_date") == [
         (1, 0, 1, None, 11, "q", D("2024-01-01"), D("2049-01-01")),
         (2, 1, 1, None, 11, "q", D("2024-01-01"), D("2049-01-01")),

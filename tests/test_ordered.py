@@ -16,7 +16,14 @@ from clubflow.operators.ordered import (
     running,
     sessions,
 )
-from clubflow.operators.skew import SEGMENT, hot_keys, segmented, without_hot
+from clubflow.operators.skew import (
+    SEGMENT,
+    add_sketches,
+    measure,
+    read_statistics,
+    segmented,
+    without_hot,
+)
 
 
 def make(spark, seed=1, n=120):
@@ -51,7 +58,7 @@ def limit(request):
 
 
 def hot_of(df, limit):
-    return None if limit is None else hot_keys(df, ["k"], "at", limit)
+    return None if limit is None else measure(df, {"k": ["k"]}, limit).of("k")
 
 
 def test_neighbours(spark, limit):
@@ -132,7 +139,7 @@ def test_session_gap_boundary(spark, hot_limit):
     df = spark.createDataFrame(
         [(i, "u", start + dt.timedelta(seconds=s)) for i, s in enumerate(seconds)], "id long, k string, t timestamp_ntz"
     )
-    hot = None if hot_limit is None else hot_keys(df, ["k"], "t", hot_limit)
+    hot = hot_of(df, hot_limit)
     out = sessions(df, ["k"], "t", ["id"], 10_800, hot=hot)
     assert [r["session_number"] for r in out.orderBy("id").collect()] == [1, 1, 1, 2, 2, 3]
 
@@ -141,8 +148,8 @@ def test_large_key_is_spread_over_segments(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("at")
     )
-    hot = hot_keys(df, ["k"], "at", 100)
-    assert [r["k"] for r in hot.collect()] == ["hot"]
+    hot = hot_of(df, 100)
+    assert list(hot.rows.values()) == [1000] and [r["k"] for r in df.where(hot.has(["k"])).select("k").distinct().collect()] == ["hot"]
     cut = segmented(df, ["k"], ["at"], hot)
     sizes = [r["count"] for r in cut.groupBy(SEGMENT).count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 100 and sum(sizes) == 1000
@@ -160,14 +167,40 @@ def test_segments_are_small_whatever_the_values(spark, kind):
         "nulls": "CASE WHEN id % 3 = 0 THEN date_add(DATE'2024-01-01', int(id % 7)) END",
     }[kind]
     df = spark.range(20_000).selectExpr("'one' AS k", f"{at} AS at", "id")
-    cut = segmented(df, ["k"], ["at", "id"], hot_keys(df, ["k"], limit=1000))
+    cut = segmented(df, ["k"], ["at", "id"], hot_of(df, 1000))
     sizes = [r["count"] for r in cut.groupBy(SEGMENT).count().collect()]
     assert max(sizes) <= 1000 and sum(sizes) == 20_000
-    out = row_numbers(df, ["k"], ["at", "id"], "rn", hot=hot_keys(df, ["k"], limit=1000))
+    out = row_numbers(df, ["k"], ["at", "id"], "rn", hot=hot_of(df, 1000))
     want = df.selectExpr("id", "row_number() OVER (PARTITION BY k ORDER BY at NULLS LAST, id) AS want")
     assert out.join(want, "id").where("rn <> want").count() == 0
 
 
 def test_no_large_key_means_a_plain_window(spark):
     df, _ = make(spark, 7)
-    assert hot_keys(df, ["k"], "at", 1000) is None
+    assert hot_of(df, 1000) is None
+
+
+def test_statistics_of_loads_add_up(spark, tmp_path):
+    """Sketches are kept per load; a key that is large in their sum only is found, whatever its sets and types."""
+    path = str(tmp_path / "statistics")
+    sets = {"t.user": ["user"], "t.user_day": ["user", "to_date(at)"]}
+    for load in range(3):
+        rows = spark.range(400).selectExpr(
+            "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN 7L ELSE id END AS user",
+            f"TIMESTAMP_NTZ'2024-01-0{load + 1} 10:00:00' + INTERVAL 1 MINUTE * id AS at",
+        )
+        add_sketches(rows, sets, path)
+    known = read_statistics(spark, path, 250)
+    # NULL is a key like others
+    assert sorted(known.of("t.user").rows.values()) == [300, 303] and known.of("t.user_day") is None
+    assert len(read_statistics(spark, path, 90).of("t.user_day").rows) == 6
+    # a union of two tables has the rows of both
+    both = known | measure(rows, {"other.user": ["user"]}, 250)
+    assert sorted(both.of("t.user", "other.user").rows.values()) == [400, 404] and both.of("other.user") is None
+    assert known.of("never.measured") is None
+    large = known.of("t.user")
+    assert rows.where(large.has(["user"])).count() == 201 and without_hot(rows, ["user"], large).count() == 199
+
+
+def test_an_empty_table_has_no_large_keys(spark):
+    assert measure(spark.range(0), {"k": ["id"]}, 5).of("k") is None
