@@ -403,7 +403,12 @@ _SALES_TABLES = (
 
 
 def _sales(t: Tables):
-    return money.subscription_sales(*[getattr(t, n) for n in _SALES_TABLES], as_of=NOW, large=t.large("plans"))
+    """The stored sales mart, which the flow marketing mart reads too."""
+
+    def build():
+        return money.subscription_sales(*[getattr(t, n) for n in _SALES_TABLES], as_of=NOW, large=t.large("plans"))
+
+    return t.derived("subscription_sales", _SALES_TABLES, build)
 
 
 @query(
@@ -542,9 +547,14 @@ _TREE_TABLES = ("flows", "active", "clubs", "expenses", "revenue")
 
 
 def _month_tree(t: Tables):
-    load = tree.load_factor(t.flows, t.active, t.clubs, AS_OF, START)
-    value = tree.ltv_cac(t.flows, t.active, t.clubs, t.expenses, START, AS_OF)
-    return tree.metrics_month(t.clubs, tree.lifetime(t.flows, t.large("flows")), load, value, t.revenue, START, AS_OF)
+    """The stored month table, which the year table and the outflow anomalies read too."""
+
+    def build():
+        factor = tree.load_factor(t.flows, t.active, t.clubs, AS_OF, START)
+        value = tree.ltv_cac(t.flows, t.active, t.clubs, t.expenses, START, AS_OF)
+        return tree.metrics_month(t.clubs, tree.lifetime(t.flows, t.large("flows")), factor, value, t.revenue, START, AS_OF)
+
+    return t.derived("metrics_month", _TREE_TABLES, build)
 
 
 @query("mart_lifetime", tables=("flows",), dates=("date",), sql=f"WITH {_LIFE} SELECT * FROM life")
@@ -611,7 +621,7 @@ _PAIRED = ", ".join(f'b."{n}" AS "{n}_2"' for n in ("year", "club_id", "club_nam
     SELECT a.*, {_PAIRED} FROM one a LEFT JOIN one b ON month(a.date) = month(b.date) AND a.club_name = b.club_name""",
 )
 def _metrics_year(t: Tables):
-    return tree.metrics_year(materialize(_month_tree(t)), t.clubs, START, AS_OF)
+    return tree.metrics_year(_month_tree(t), t.clubs, START, AS_OF)
 
 
 # --------------------------------------------------------------------------- anomalies

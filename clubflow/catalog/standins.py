@@ -9,11 +9,14 @@ names that are numbers.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from clubflow.operators.skew import NO_STATISTICS, KeyStatistics, add_sketches, read_statistics
 from clubflow.session import new_table_path, prepare, rows_per_segment
+from clubflow.sources import load
+from clubflow.sources.published import version_of
 from clubflow.sources.scan import scan_table
 
 BASE = (
@@ -338,6 +341,7 @@ KEY_SETS: dict[str, dict[str, list[str]]] = {
     "video_history": {"progress.user_video": ["user_id", "video_id"]},
 }
 _sketches: dict[tuple[str, str, str], str] = {}
+_derived: dict[tuple[str, str, str], str] = {}
 _known: dict[tuple[str, str, str, int], KeyStatistics] = {}
 
 
@@ -366,6 +370,21 @@ class Tables:
         self.__dict__[name] = found
         return found
 
+    def derived(self, name: str, tables: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+        """A mart that other marts read, built again only when a given table under it has changed."""
+        base, open_names = set(), list(tables)
+        while open_names:
+            table = open_names.pop()
+            if table in BASE:
+                base.add(table)
+            else:
+                open_names += _base_names(TABLES[table])
+        inputs = {b: version_of(self.spark, f"{self.sf_dir}/{b}.parquet") for b in sorted(base)}
+        of = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if of not in _derived:
+            _derived[of] = new_table_path(self.spark, name)
+        return load.derived(self.spark, _derived[of], inputs, build)
+
     def large(self, *tables: str) -> KeyStatistics:
         """Statistics of the keys of some tables; each table is measured once and its sketch kept."""
         out = NO_STATISTICS

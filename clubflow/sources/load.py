@@ -7,7 +7,8 @@ by a date or month column where a mode replaces part of the table. Rows are alwa
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,24 @@ def full_replace(df: DataFrame, path: str) -> None:
     _replace_all(df, path)
 
 
+def derived(
+    spark: SparkSession, path: str, inputs: Mapping[str, str], build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A mart that others read: the stored one if it was built from the inputs as they are, else built and stored.
+
+    ``inputs`` gives the version of each table it is built from (``published.version_of``), and of the rules if they
+    change. Versions are taken before the build, so an input that changes meanwhile makes the next call build again.
+    """
+    manifest = current(spark, path)
+    if manifest is None or manifest.schema is None or manifest.inputs != dict(inputs):
+        rows = build()
+        made = write_load(rows, path, manifest)
+        new = described(manifest, rows, None)
+        new = new.with_replaced({f: [] for f in new.loads} | {f: [made.name] for f in made.folders})
+        publish(spark, path, replace(new, inputs=dict(inputs)))
+    return read_target(spark, path)
+
+
 def create_as(df: DataFrame, path: str, sort: Sequence[str]) -> None:
     """Recreate the table with files range-sorted by its sort key.
 

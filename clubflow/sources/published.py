@@ -9,6 +9,7 @@ removes loads that no kept manifest names.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping
@@ -41,11 +42,13 @@ class Manifest:
     loads: Mapping[str, list[str]] = field(default_factory=dict)
     #: Highest id per column, for targets that were only appended to.
     marks: Mapping[str, int] = field(default_factory=dict)
+    #: For a table that was computed from others: their names and versions at that time.
+    inputs: Mapping[str, str] = field(default_factory=dict)
 
     def with_replaced(self, parts: Mapping[str, list[str]], marks: Mapping[str, int] | None = None) -> Manifest:
         """Some partitions with other loads; those without loads are gone."""
         loads = {k: v for k, v in {**self.loads, **parts}.items() if v}
-        return replace(self, loads=loads, marks=marks or {})
+        return replace(self, loads=loads, marks=marks or {}, inputs={})
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,8 @@ def _file(path: str, number: int) -> str:
 def publish(spark: SparkSession, path: str, new: Manifest) -> None:
     """Make the manifest the current one, if nobody else has published since it was read."""
     fs, at = _fs(spark, _file(path, new.taken + 1))
-    text = json.dumps({"schema": new.schema, "partition": new.partition, "loads": dict(new.loads), "marks": dict(new.marks)})
+    parts = {"loads": dict(new.loads), "marks": dict(new.marks), "inputs": dict(new.inputs)}
+    text = json.dumps({"schema": new.schema, "partition": new.partition} | parts)
     try:
         out = fs.create(at, False)
     except Py4JJavaError as error:
@@ -103,6 +107,19 @@ def publish(spark: SparkSession, path: str, new: Manifest) -> None:
     out.close()
 
 
+def version_of(spark: SparkSession, path: str) -> str:
+    """What a table is at present: the number of its manifest, or a hash of the names, sizes and times of plain files."""
+    manifest = current(spark, path)
+    if manifest is not None:
+        return str(manifest.number)
+    fs, at = _fs(spark, path)
+    seen, files = [], fs.listFiles(at, True)
+    while files.hasNext():
+        status = files.next()
+        seen.append(f"{status.getPath().getName()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def described(base: Manifest | None, df: DataFrame, partition: str | None) -> Manifest:
     """The manifest to go on from, with the columns of ``df``."""
     fields = [f for f in df.schema.fields if f.name != partition] + [f for f in df.schema.fields if f.name == partition]

@@ -234,3 +234,37 @@ def test_null_and_odd_partition_values(spark, path):
     load.replace_range(df.withColumn("id", F.col("id") + 100), path, "at", 2, 99, "part")
     got = {r["id"]: r["part"] for r in load.read_target(spark, path).collect()}
     assert got == {i + 100 * (i >= 2): v for i, v in enumerate(values)}
+
+
+def test_a_derived_table_is_built_again_only_when_an_input_changed(spark, path, tmp_path):
+    plain, target = str(tmp_path / "plain"), str(tmp_path / "published")
+    rows = table(spark, [(1, dt.date(2024, 1, 1), "a")])
+    rows.write.parquet(plain)
+    load.append(rows, target)
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(plain).union(load.read_target(spark, target))
+
+    def now(**more):
+        inputs = {p: published.version_of(spark, p) for p in (plain, target)} | more
+        return load.derived(spark, path, inputs, build).count()
+
+    assert (now(), now(), len(built)) == (2, 2, 1)
+    rows.write.mode("append").parquet(plain)
+    assert (now(), now(), len(built)) == (3, 3, 2)
+    load.append(rows, target)
+    assert (now(), len(built)) == (4, 3)
+    assert (now(rules="2"), now(rules="2"), len(built)) == (4, 4, 4)
+
+
+def test_an_input_that_changes_during_the_build_makes_the_next_call_build_again(spark, path, tmp_path):
+    plain = str(tmp_path / "plain")
+    rows = table(spark, [(1, dt.date(2024, 1, 1), "a")])
+    rows.write.parquet(plain)
+    inputs = {"plain": published.version_of(spark, plain)}
+    load.derived(spark, path, inputs, lambda: spark.read.parquet(plain))
+    rows.write.mode("append").parquet(plain)
+    again = {"plain": published.version_of(spark, plain)}
+    assert again != inputs and load.derived(spark, path, again, lambda: spark.read.parquet(plain)).count() == 2
