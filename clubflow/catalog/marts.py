@@ -12,7 +12,7 @@ from clubflow.functions.dates import month_start
 from clubflow.functions.text import split_number
 from clubflow.plans import anomalies, campaign, cohorts, mobile, money, trainers, tree, visits
 from clubflow.session import materialize, new_table_path
-from clubflow.sources import load, receipts
+from clubflow.sources import load, receipts, watching
 
 START = dt.date(1995, 1, 1)
 AS_OF = dt.date(2001, 12, 1)
@@ -918,11 +918,8 @@ def _campaign_purchases(t: Tables):
 _COVER = ("payment_plan", "gate_name", "if_employee", "discount_name", "discount_name_main", "is_banner_user", "current_status", "is_trial_user")
 
 
-@query(
-    "mart_video_rewatch",
-    tables=(*_CAMPAIGN_TABLES, "video_history"),
-    dates=("updated_at", "start_date", "end_date"),
-    sql=f"""
+_REWATCH_TABLES = (*_CAMPAIGN_TABLES, "video_history")
+_REWATCH = f"""
     WITH {_MOBILE}, {_DEVICES}, {_TRACKER}, {_CAMPAIGN},
     cl AS (SELECT id, video_id, user_id, duration, is_completed, stars, difficulty, comment, updated_at + INTERVAL 3 HOUR AS u,
             max(version) AS version FROM video_history GROUP BY ALL),
@@ -951,14 +948,32 @@ _COVER = ("payment_plan", "gate_name", "if_employee", "discount_name", "discount
     FROM nn LEFT JOIN videos v ON v.id = nn.video_id LEFT JOIN vid ON vid.video_id = nn.video_id
     LEFT JOIN pl ON pl.user_id = nn.user_id
     GROUP BY nn.session_number, nn.id, v.title, v.type, v.is_free, v.duration, nn.video_id, nn.user_id, nn.qty_rows, nn.updated_at,
-        nn.duration_by_qty_rows, nn.max_duration, nn.is_completed, nn.stars, nn.difficulty, nn.comment, vid.max_rewatch, vid.more""",
-)
+        nn.duration_by_qty_rows, nn.max_duration, nn.is_completed, nn.stars, nn.difficulty, nn.comment, vid.max_rewatch, vid.more"""
+
+
+@query("mart_video_rewatch", tables=_REWATCH_TABLES, dates=("updated_at", "start_date", "end_date"), sql=_REWATCH)
 def _video_rewatch(t: Tables):
     # purchases and sessions are stored tables to this mart, as in production
     watched = materialize(campaign.watch_sessions(t.video_history, large=t.large("video_history")))
     return campaign.video_rewatch(watched, t.videos, materialize(_purchases(t)))
 
 
+@query("mart_video_rewatch_batches", tables=_REWATCH_TABLES, dates=("updated_at", "start_date", "end_date"), sql=_REWATCH)
+def _video_rewatch_batches(t: Tables):
+    """Sessions grown in three appends; the last one brings some rows late."""
+    path = new_table_path(t.spark, "sessions")
+    at, late = F.col("updated_at"), F.col("user_id") % 5 == 0
+    cuts = ["2024-01-11", "2024-01-21"]
+    first, second = (at < F.lit(c).cast("timestamp_ntz") for c in cuts)
+    batches = [first & ~late, (~first & second) | (first & late & (F.col("video_id") % 2 == 0)), ~second | (first & late & (F.col("video_id") % 2 == 1))]
+    arrived = F.lit(False)
+    for batch in batches:
+        arrived = arrived | batch
+        watching.add_progress(t.spark, path, t.video_history.where(batch), t.video_history.where(arrived), large=t.large("video_history"))
+    watched = materialize(campaign.kept_sessions(watching.read_sessions(t.spark, path)))
+    return campaign.video_rewatch(watched, t.videos, materialize(_purchases(t)))
+
+
 # --------------------------------------------------------------------------- trainers
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clubflow import config as c
-from clubflow.functions.dates import days_between, repair_birthday, shift_hours
+from clubflow.functions.dates import days_between, repair_birthday, seconds_between, shift_hours
 from clubflow.operators.intervals import max_over_covering
-from clubflow.operators.ordered import first_rows, running, sessions
+from clubflow.operators.ordered import first_rows, in_order, neighbours_step, running, running_step
 from clubflow.operators.skew import NO_STATISTICS, KeyStatistics
 
 
@@ -243,48 +243,97 @@ def campaign_purchases(
     )
 
 
-def watch_sessions(history: DataFrame, shift: int = 3, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
-    """Sessions of each user and video with at least three progress rows, numbered 1, 2, …
+_KEYS = ["user_id", "video_id"]
+_ORDER = ["updated_at", "version", "id"]
 
-    Large keys: ``progress.user_video``.
-    """
+
+def _progress(history: DataFrame, shift: int) -> DataFrame:
+    """Progress rows with local times, versions of one row collapsed."""
     facts = ["id", "video_id", "user_id", "duration", "is_completed", "stars", "difficulty", "comment"]
-    clean = (
-        history.groupBy(*facts, shift_hours(F.col("updated_at"), shift).alias("updated_at"))
-        .agg(F.min("version_updated_at").alias("version_updated_at"), F.max("version").alias("version"))
+    return history.groupBy(*facts, shift_hours(F.col("updated_at"), shift).alias("updated_at")).agg(F.max("version").alias("version"))
+
+
+def session_spans(
+    history: DataFrame, shift: int = 3, tails: DataFrame | None = None, large: KeyStatistics = NO_STATISTICS
+) -> DataFrame:
+    """All sessions of each user and video, numbered 1, 2, …, with what it takes to go on from them.
+
+    ``tails`` are the last sessions of users and videos so far. With them, ``history`` need only hold the progress rows
+    that have come since (each after its tail), and the result is those last sessions, continued, and the ones after
+    them. A tail takes part as one row that stands for its session. Large keys: ``progress.user_video``.
+    """
+    clean = _progress(history, shift)
+    rated = lambda name: F.when(F.col(name) != 0, F.col(name)).alias(name)
+    rows = clean.select(
+        *_KEYS, *_ORDER, F.lit(1).cast("long").alias("rows"), F.col("id").alias("top_id"), F.lit(1).cast("long").alias("seconds"),
+        F.to_date("updated_at").alias("day"), "duration", "is_completed", rated("stars"), rated("difficulty"), "comment",
+        F.lit(None).cast("long").alias("number"),
     )
-    keys = ["user_id", "video_id"]
-    hot = large.of("progress.user_video")
-    steps = sessions(clean, keys, "updated_at", ["version", "id"], c.SESSION_GAP_SECONDS, hot=hot)
-    rated = lambda name: F.max(F.when(F.col(name) != 0, F.col(name))).alias(name)
-    # the same second twice in a row is not watching time
-    counts = F.when(F.date_trunc("second", "next_time") == F.date_trunc("second", "updated_at"), 0).otherwise(1)
-    spans = (
-        steps.groupBy(*keys, "session_number")
-        .agg(
-            F.count("id").alias("qty_rows"),
-            F.max("id").alias("_id"),
-            F.max(F.coalesce(F.to_date("updated_at"), F.lit(c.OPEN_END))).alias("updated_at"),
-            (F.sum(counts) * c.SECONDS_PER_ROW + c.SECONDS_BASE).alias("duration_by_qty_rows"),
-            F.max(F.when(F.col("is_new_session") != 1, F.col("duration"))).alias("max_duration"),
-            F.max("is_completed").alias("is_completed"),
-            rated("stars"),
-            rated("difficulty"),
-            F.max("comment").alias("comment"),
+    if tails is not None:
+        rows = rows.unionByName(
+            tails.join(clean.select(*_KEYS).distinct(), _KEYS, "left_semi").select(
+                *_KEYS, F.col("last_at").alias("updated_at"), F.col("last_version").alias("version"), F.col("last_id").alias("id"),
+                F.col("qty_rows").alias("rows"), "top_id", "seconds", "day", F.col("max_duration").alias("duration"),
+                "is_completed", "stars", "difficulty", "comment", F.col("session_number").alias("number"),
+            )
         )
+    gap = seconds_between(F.col("_before"), F.col("updated_at"))
+
+    def steps(rows: DataFrame, cut: bool) -> DataFrame:
+        near = neighbours_step(rows, _KEYS, _ORDER, {"_before": "updated_at"}, {"_after": "updated_at"}, cut)
+        opens = F.when(gap < c.SESSION_GAP_SECONDS, 0).otherwise(1)
+        flagged = near.withColumn("_step", F.coalesce("number", opens.cast("long")))
+        return running_step(flagged, _KEYS, _ORDER, {"session_number": ("sum", "_step")}, cut)
+
+    numbered = in_order(rows, _KEYS, _ORDER, steps, large.of("progress.user_video"))
+    # the same second twice in a row is not watching time
+    repeated = F.date_trunc("second", "_after") == F.date_trunc("second", "updated_at")
+    last = lambda name: F.max_by(name, F.struct(*_ORDER))
+    # the first row of a session does not tell how long it was watched; a tail carries that of its session
+    watched = F.when(F.col("number").isNotNull() | (F.col("_step") != 1), F.col("duration"))
+    return numbered.groupBy(*_KEYS, "session_number").agg(
+        F.sum("rows").alias("qty_rows"),
+        F.max("top_id").alias("top_id"),
+        F.sum(F.when(repeated, F.col("seconds") - 1).otherwise(F.col("seconds"))).alias("seconds"),
+        F.max(F.coalesce("day", F.lit(c.OPEN_END))).alias("day"),
+        F.max(watched).alias("max_duration"),
+        F.max("is_completed").alias("is_completed"),
+        F.max("stars").alias("stars"),
+        F.max("difficulty").alias("difficulty"),
+        F.max("comment").alias("comment"),
+        last("updated_at").alias("last_at"),
+        last("version").alias("last_version"),
+        last("id").alias("last_id"),
     )
-    # The id of the newest progress row stands for the user's progress of the
-    # video. Sessions lie three hours apart, so a key has at most eight a day and
-    # these windows stay small.
-    whole = Window.partitionBy(*keys)
+
+
+def kept_sessions(spans: DataFrame) -> DataFrame:
+    """Sessions with at least three progress rows, numbered 1, 2, … anew.
+
+    The id of the newest progress row stands for the user's progress of the video. Sessions lie three hours apart, so a
+    key has at most eight a day and these windows stay small.
+    """
+    whole = Window.partitionBy(*_KEYS)
     return (
-        spans.withColumn("id", F.max("_id").over(whole))
+        spans.withColumn("id", F.max("top_id").over(whole))
         .where(F.col("qty_rows") >= c.MIN_SESSION_ROWS)
         .withColumn("session_number", F.row_number().over(whole.orderBy("session_number")))
-        .drop("_id")
+        .select(
+            *_KEYS, "session_number", "qty_rows", F.col("day").alias("updated_at"),
+            (F.col("seconds") * c.SECONDS_PER_ROW + c.SECONDS_BASE).alias("duration_by_qty_rows"),
+            "max_duration", "is_completed", "stars", "difficulty", "comment", "id",
+        )
     )
 
 
+def watch_sessions(history: DataFrame, shift: int = 3, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
+    """Sessions of each user and video with at least three progress rows, numbered 1, 2, …
+
+    Large keys: ``progress.user_video``.
+    """
+    return kept_sessions(session_spans(history, shift, large=large))
+
+
 def video_rewatch(watched: DataFrame, videos: DataFrame, purchases: DataFrame) -> DataFrame:
     """Watch sessions with rewatch counts and the campaign plan that covered each.
 

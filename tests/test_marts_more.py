@@ -178,3 +178,39 @@ def test_pay_rate(spark):
 
     rate = trainers.pay_rate(F.col("cat"), F.col("minutes"), F.col("training"), F.col("kind"))
     assert [r["r"] for r in df.select(rate.alias("r")).collect()] == [x[4] for x in cases]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sessions_in_batches_equal_one_run(spark, tmp_path, seed):
+    """Appends in order, late rows, versions in another batch, equal seconds: always the sessions of one run."""
+    import random
+
+    from clubflow.sources import watching
+
+    rng = random.Random(seed)
+    base = T("2024-01-01 00:00:00")
+    data = []
+    for n in range(400):
+        at = base + dt.timedelta(seconds=rng.choice([0, 1, 1, 60, 4000, 11_000]) + 3000 * n)
+        data.append((n, rng.randrange(3), rng.randrange(4), rng.randrange(300), n % 2, n % 4, n % 3, f"c{n % 5}", at, at, n))
+    data += [(*d[:9], d[9] + dt.timedelta(hours=1), d[10] + 1000) for d in rng.sample(data, 40)]  # second versions
+    schema = (
+        "id long, video_id long, user_id long, duration int, is_completed int, stars int, difficulty int, comment string, "
+        "updated_at timestamp_ntz, version_updated_at timestamp_ntz, version long"
+    )
+    everything = spark.createDataFrame(data, schema)
+    # most rows arrive in order, some in any batch
+    batch_of = [min(3, d[0] // 100) if rng.random() < 0.9 else rng.randrange(4) for d in data]
+    path = str(tmp_path / "sessions")
+    late = 0
+    for b in range(4):
+        new = spark.createDataFrame([d for d, k in zip(data, batch_of) if k == b], schema)
+        so_far = spark.createDataFrame([d for d, k in zip(data, batch_of) if k <= b], schema)
+        late += watching.add_progress(spark, path, new, so_far)
+        got = watching.read_sessions(spark, path)
+        want = campaign.session_spans(so_far)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert late
+    assert rows(campaign.kept_sessions(watching.read_sessions(spark, path)), "user_id", "video_id", "session_number", "id", "qty_rows") == rows(
+        campaign.watch_sessions(everything), "user_id", "video_id", "session_number", "id", "qty_rows"
+    )
