@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from clubflow.llm.common import mix, narrow, stored, window_minimum
 
 #: Buckets a partition of the exchange works through one after the other.
-BUCKETS_PER_PARTITION = 16
+BUCKETS_PER_PARTITION = 8
 #: Packed bytes a task gathers, and compares among themselves, before it sends them.
-HELD_BYTES = 8 << 20
+HELD_BYTES = 12 << 20
 #: Symbols whose hashes a task holds at a time; longer texts are worked on in blocks that overlap.
 BLOCK = 1 << 20
 _PLACE = 31
