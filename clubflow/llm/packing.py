@@ -2,9 +2,10 @@
 
 Each partition of the documents packs its own: a document's full windows go out at once, and what remains goes to
 the fill level that makes the sum of squared counts of partly filled windows smallest, read from an array with one
-count per level. What is still open at the end of a partition is laid out again, cut where a window ends; the very
-last tokens form windows whose lengths are powers of two, so no window needs padding. No token moves between
-machines, and a task keeps the open windows only.
+count per level. At the end of a partition the emptiest window is taken apart again and again and the rule places its
+pieces in the others; a piece that fits into none is cut to close the fullest. The tokens of the last window form
+windows whose lengths are powers of two, so no window needs padding. No token moves between machines, and a task keeps
+the open windows only.
 
 Null text counts as empty: a document then has its end mark alone. A repeated doc_id is a document of its own.
 """
@@ -42,20 +43,26 @@ class SumOfSquares:
         self.counts = np.zeros(size + 1, np.int64)
         self.open: dict[int, list[list[Piece]]] = defaultdict(list)
 
-    def level(self, length: int) -> int:
-        """The level (0: a new window) at which adding ``length`` makes the sum of squares least; ties: the fullest."""
+    def level(self, length: int, new: bool = True) -> int:
+        """The level (0: a new window) at which adding ``length`` makes the sum of squares least; ties: the fullest.
+
+        Without ``new`` only open windows count; 0 then says that the piece fits into none.
+        """
         n, size = self.counts, self.size
         lost = 1 - 2 * n[: size + 1 - length]
-        lost[0] = 0
+        lost[0] = 0 if new else np.iinfo(np.int64).max // 2
         gained = 2 * n[length:] + 1
         gained[-1] = 0  # a full window is open no more
         change = lost + gained
         change[1:][n[1 : size + 1 - length] == 0] = np.iinfo(np.int64).max
         return int(len(change) - 1 - np.argmin(change[::-1]))
 
-    def put(self, piece: Piece) -> list[Piece] | None:
+    def put(self, piece: Piece, new: bool = True) -> list[Piece] | None:
+        """Place a piece; without ``new`` it has to fit into an open window."""
+        return self._put(piece, self.level(len(piece[2]), new))
+
+    def _put(self, piece: Piece, at: int) -> list[Piece] | None:
         length = len(piece[2])
-        at = self.level(length)
         window = self.open[at].pop() if at else []
         self.counts[at] -= at > 0
         window.append(piece)
@@ -65,19 +72,40 @@ class SumOfSquares:
         self.counts[at + length] += 1
         return None
 
-    def rest(self) -> list[Piece]:
-        """The pieces of all windows still open, the fullest windows first."""
-        return [p for level in sorted(self.open, reverse=True) for window in self.open[level] for p in window]
-
-
-def _lay_out(pieces: list[Piece], size: int) -> Iterator[list[Piece]]:
-    """Fill windows one after the other, cutting at their ends; the last tokens in powers of two."""
+    def close(self) -> Iterator[list[Piece]]:
+        """The windows that are still open, closed: each step empties the emptiest one into the others."""
+        while self.counts.sum() > 1:
+            levels = np.flatnonzero(self.counts)
+            least = int(levels[0])
+            window = self.open[least].pop()
+            self.counts[least] -= 1
+            for doc, start, ids, tokens in sorted(window, key=lambda p: -len(p[2])):
+                while len(ids):
+                    if not self.counts.any():  # all others are full: the rest of the window stays open
+                        full = self.put((doc, start, ids, tokens))
+                    elif self.level(len(ids), new=False):
+                        full = self.put((doc, start, ids, tokens), new=False)
+                    else:
+                        most = int(np.flatnonzero(self.counts)[-1])
+                        full = self._put((doc, start, ids[: self.size - most], tokens), most)
+                        start, ids = start + self.size - most, ids[self.size - most :]
+                        yield full
+                        continue
+                    if full:
+                        yield full
+                    break
+        last = [p for windows in self.open.values() for window in windows for p in window]
+        yield from _powers(last)
+
+
+def _powers(pieces: list[Piece]) -> Iterator[list[Piece]]:
+    """The tokens of the pieces in windows whose lengths are powers of two, the longest first."""
     left = sum(len(p[2]) for p in pieces)
     window, room = [], 0
     for doc, start, ids, tokens in pieces:
         while len(ids):
             if not room:
-                room = size if left >= size else 1 << (left.bit_length() - 1)
+                room = 1 << (left.bit_length() - 1)
             take = min(room, len(ids))
             window.append((doc, start, ids[:take], tokens))
             start, ids, room, left = start + take, ids[take:], room - take, left - take
@@ -98,7 +126,7 @@ def windows(docs: Iterator[tuple[int, np.ndarray]], size: int = WINDOW) -> Itera
             full = packer.put((doc, whole, ids[whole:].copy(), n))
             if full:
                 yield full
-    yield from _lay_out(packer.rest(), size)
+    yield from packer.close()
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, size: int = WINDOW, with_ids: bool = False) -> DataFrame:

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words remembered before the memory starts anew.
-REMEMBERED = 400_000
+#: Words of one generation. When it is full it becomes the old one, whose words move on only when they come again.
+REMEMBERED = 250_000
 #: Words longer than this are not remembered.
 LONGEST = 64
 
@@ -41,6 +43,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,45 +59,57 @@ class WordEncoder:
         # as in the default pipeline: neither cut nor filled up
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.words, self.old_words = {}, {}  # str -> ids, four bytes each
+        self.plain, self.old_plain = {}, {}
         self.table: list[str | None] | None = None
 
     def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, w: str) -> bytes:
         """Ids of one word (no ASCII white space inside), four bytes each."""
         got = self.words.get(w)
         if got is None:
-            got = self._word(w)
+            got = self.old_words.get(w)
+            if got is None:
+                got = self._word(w)
             if len(w) <= LONGEST:
                 if len(self.words) >= REMEMBERED:
-                    self.words.clear()
+                    self.words, self.old_words = {}, self.words
                 self.words[w] = got
         return got
 
     def _word(self, w: str) -> bytes:
-        if not _KNOWN(w) or "<|" in w:
+        # printable ASCII without a blank is within the known characters
+        if not (w.isascii() and w.isprintable()) and not _KNOWN(w) or "<|" in w:
             return self._library(w)
+        if w.isalpha():
+            return self._piece(w.lower())
         return b"".join([self._piece(x) for x in _PIECES(w.lower())])
 
     def _piece(self, x: str) -> bytes:
         """Ids of what the vocabulary's splitter takes as one piece."""
         got = self.plain.get(x)
         if got is None:
-            shown = x if x.isascii() else "".join([_BYTES[b] for b in x.encode()])
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
+            got = self.old_plain.get(x)
+            if got is None:
+                shown = x if x.isascii() else "".join([_BYTES[b] for b in x.encode()])
+                got = _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
             if len(x) <= LONGEST:
                 if len(self.plain) >= REMEMBERED:
-                    self.plain.clear()
+                    self.plain, self.old_plain = {}, self.plain
                 self.plain[x] = got
         return got
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, four bytes each."""
-        known = self.words.get
-        return b"".join([known(w) or self.word(w) for w in _split(text) if w])
+        words = _split(text)
+        found = list(map(self.words.get, words))
+        if None in found:
+            for i, known in enumerate(found):
+                if known is None:
+                    found[i] = self.word(words[i])
+        return b"".join(found)
 
     def decode(self, ids: np.ndarray) -> str:
         """What the library's decode gives for this vocabulary: the tokens joined by blanks."""

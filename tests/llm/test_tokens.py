@@ -96,6 +96,29 @@ def test_level_makes_the_sum_of_squares_least():
         assert cost[best] == min(cost.values()) and best == max(h for h, v in cost.items() if v == cost[best])
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_closing_empties_the_emptiest_windows_into_the_others(seed):
+    rng = np.random.default_rng(seed)
+    size = 64
+    packer, full, put = packing.SumOfSquares(size), [], []
+    for doc in range(int(rng.integers(0, 120))):
+        ids = rng.integers(0, 99, int(rng.integers(1, size))).astype("<u4")
+        put.append((doc, ids))
+        full += [w] if (w := packer.put((doc, 0, ids, len(ids)))) else []
+    open_tokens = sum(len(p[2]) for windows in packer.open.values() for w in windows for p in w)
+    closed = list(packer.close())
+    whole = [w for w in closed if sum(len(p[2]) for p in w) == size]
+    rest = sorted(sum(len(p[2]) for p in w) for w in closed if w not in whole)
+    assert len(whole) == open_tokens // size and rest == [1 << k for k in range(7) if open_tokens % size >> k & 1]
+    pieces: dict = {}
+    for w in full + closed:
+        for doc, start, ids, _ in w:
+            pieces.setdefault(doc, []).append((start, ids.tolist()))
+    assert {d: [x for _, part in sorted(p) for x in part] for d, p in pieces.items()} == {d: i.tolist() for d, i in put}
+    # a piece is cut only where it closes a window
+    assert sum(len(p) - 1 for p in pieces.values()) <= len(whole) + len(rest)
+
+
 def test_empty_table(spark):
     docs = documents(spark, [(1, "a")]).where("doc_id > 5")
     assert packing.pack(docs).count() == 0 and chunked_bpe.encode(docs).count() == 0
