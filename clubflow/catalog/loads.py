@@ -10,7 +10,7 @@ from clubflow.catalog.registry import Tables, query
 from clubflow.functions.dates import month_start
 from clubflow.operators.flows import months_of
 from clubflow.session import new_table_path
-from clubflow.sources import load
+from clubflow.sources import bucketed, load
 from clubflow.sources.scan import latest, scan_table
 
 
@@ -19,14 +19,39 @@ def _scan(t: Tables):
     return scan_table(t.spark, f"{t.sf_dir}/lineitem.parquet", ["l_orderkey", "l_partkey", "l_quantity"])
 
 
-@query(
-    "scan_latest",
-    sql="SELECT user_id, event_id, ts, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1",
-)
+_LATEST = "SELECT user_id, event_id, ts, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
+
+
+@query("scan_latest", sql=_LATEST)
 def _latest(t: Tables):
     return latest(t.events.select("user_id", "event_id", "ts", "event_type"), ["user_id"], ["event_id"])
 
 
+#: Buckets of the version tables below; in production as many as tasks should share the whole table.
+_BUCKETS = 16
+
+
+@query("scan_latest_bucketed", sql=_LATEST)
+def _latest_bucketed(t: Tables):
+    """Versions arrive in three loads and are collapsed bucket by bucket."""
+    rows = t.events.select("user_id", "event_id", "ts", "event_type")
+    third = F.col("event_id") % 3
+    table = bucketed.create_versions(rows.where(third == 1), ["user_id"], _BUCKETS)
+    for load_number in (0, 2):
+        bucketed.add_versions(rows.where(third == load_number), table)
+    return bucketed.latest_versions(t.spark, table, ["event_id"])
+
+
+@query("write_compact_bucketed", sql=_LATEST)
+def _compact_bucketed(t: Tables):
+    """Earlier versions are compacted, later ones merged into them, a join of buckets."""
+    rows = t.events.select("user_id", "event_id", "ts", "event_type")
+    early = F.col("event_id") % 5 < 3
+    base = bucketed.compacted(t.spark, bucketed.create_versions(rows.where(early), ["user_id"], _BUCKETS), ["event_id"])
+    changes = bucketed.create_versions(rows.where(~early), ["user_id"], _BUCKETS)
+    return bucketed.merged_versions(t.spark, base, changes, ["event_id"])
+
+
 @query(
     "scan_calendar",
     tables=("days",),
