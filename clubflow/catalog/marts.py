@@ -43,14 +43,12 @@ def _birthday(column: str) -> str:
 # --------------------------------------------------------------------------- visits
 
 
-@query(
-    "mart_occupancy_hourly",
-    tables=("visit_history", "users", "clubs", "employees"),
-    sql="""
+def _occupancy_sql(first: dt.datetime, last: dt.datetime) -> str:
+    return f"""
     WITH ev AS (
         SELECT DISTINCT user_id, club_id, club_name, event_type, event_date FROM visit_history
         WHERE event_type IN ('club_in', 'club_out')
-          AND event_date >= TIMESTAMP '2023-12-31 22:00:00' AND event_date < TIMESTAMP '2024-03-01 02:00:00'
+          AND event_date >= TIMESTAMP '{first}' - INTERVAL 2 HOUR AND event_date < TIMESTAMP '{last}' + INTERVAL 2 HOUR
           AND user_id NOT IN (SELECT user_id FROM employees WHERE is_deleted = 0 AND is_active = 1)
           AND club_id IN (SELECT id FROM clubs WHERE json_extract_string(open_hours, '$.is_open_all_day') = 'true')),
     nx AS (
@@ -67,28 +65,67 @@ def _birthday(column: str) -> str:
     q AS (
         SELECT check_time, club_id, club_name, coalesce(sex, 'unknown') AS sex, count(DISTINCT user_id) AS people_in_club
         FROM hr LEFT JOIN users ON users.id = hr.user_id
-        WHERE check_time >= TIMESTAMP '2024-01-01' AND check_time < TIMESTAMP '2024-03-01' GROUP BY ALL)
+        WHERE check_time >= TIMESTAMP '{first}' AND check_time < TIMESTAMP '{last}' GROUP BY ALL)
     SELECT * FROM q UNION ALL
-    SELECT check_time, club_id, club_name, 'total', CAST(sum(people_in_club) AS BIGINT) FROM q GROUP BY ALL""",
-)
+    SELECT check_time, club_id, club_name, 'total', CAST(sum(people_in_club) AS BIGINT) FROM q GROUP BY ALL"""
+
+
+_OCCUPANCY_TABLES = ("visit_history", "users", "clubs", "employees")
+
+
+@query("mart_occupancy_hourly", tables=_OCCUPANCY_TABLES, sql=_occupancy_sql(EVENTS_FROM, EVENTS_TO))
 def _occupancy(t: Tables):
     return visits.occupancy_hourly(t.visit_history, t.users, t.clubs, t.employees, EVENTS_FROM, EVENTS_TO, large=t.large("visit_history"))
 
 
+#: A day and a half that is loaded again.
+_AGAIN = dt.datetime(2024, 1, 9, 18), dt.datetime(2024, 1, 11, 6)
+
+
 @query(
-    "mart_visit_history",
-    tables=("swipes", "users", "clubs"),
-    dates=("birthday",),
+    "mart_occupancy_reload",
+    tables=_OCCUPANCY_TABLES,
     sql=f"""
+    SELECT * FROM ({_occupancy_sql(EVENTS_FROM, EVENTS_TO)}) WHERE check_time < TIMESTAMP '{_AGAIN[0]}' OR check_time >= TIMESTAMP '{_AGAIN[1]}'
+    UNION ALL SELECT * FROM ({_occupancy_sql(*_AGAIN)})""",
+)
+def _occupancy_reload(t: Tables):
+    """A range of hours loaded again, from the events two hours around it; the days at its edges keep their other hours."""
+    path = new_table_path(t.spark, "occupancy")
+
+    def hours(first: dt.datetime, last: dt.datetime):
+        rows = visits.occupancy_hourly(t.visit_history, t.users, t.clubs, t.employees, first, last, large=t.large("visit_history"))
+        return rows.withColumn("day", F.to_date("check_time"))
+
+    load.overwrite_partitions(hours(EVENTS_FROM, EVENTS_TO), path, "day")
+    for _ in range(2):  # a repeated load changes nothing
+        load.replace_range(hours(*_AGAIN), path, "check_time", *_AGAIN, "day", partitions=(_AGAIN[0].date(), _AGAIN[1].date()))
+    return load.read_target(t.spark, path).drop("day")
+
+
+_VISITS = f"""
     SELECT s.id, s.user_id, u.name AS user_name, coalesce(u.last_name, '') AS last_name, u.email,
         coalesce(u.sex, '') AS sex, {_birthday('u.birthday')} AS birthday, s.club_id, k.name AS club_name,
         s.club_event_date AS event_date, s.event_type
-    FROM swipes s LEFT JOIN users u ON u.id = s.user_id LEFT JOIN clubs k ON k.id = s.club_id WHERE s.id > 10""",
-)
+    FROM swipes s LEFT JOIN users u ON u.id = s.user_id LEFT JOIN clubs k ON k.id = s.club_id WHERE s.id > 10"""
+
+
+@query("mart_visit_history", tables=("swipes", "users", "clubs"), dates=("birthday",), sql=_VISITS)
 def _visit_history(t: Tables):
     return visits.visit_history(t.swipes, t.users, t.clubs, above=10)
 
 
+@query("mart_visit_history_batches", tables=("swipes", "users", "clubs"), dates=("birthday",), sql=_VISITS)
+def _visit_history_batches(t: Tables):
+    """Hourly appends above the watermark that the table keeps."""
+    path = new_table_path(t.spark, "visits")
+    top = t.swipes.agg(F.max("id")).first()[0] or 0
+    for upto in (top // 3, top // 2, top, top):  # the last one finds nothing new
+        arrived = t.swipes.where(F.col("id") <= upto)
+        load.append_computed(t.spark, path, "id", lambda above, rows=arrived: visits.visit_history(rows, t.users, t.clubs, max(above, 10)))
+    return load.read_target(t.spark, path)
+
+
 _IN_OUT = f"""
     raw AS (
         SELECT v.id, v.user_id, u.name AS user_name, coalesce(u.last_name, '') AS last_name, u.email,
@@ -654,11 +691,7 @@ def _anomaly_count(t: Tables):
     return anomalies.anomaly_count(flags, "inflow_date", last)
 
 
-@query(
-    "mart_outflow_anomaly",
-    tables=_TREE_TABLES,
-    dates=("outflow_date",),
-    sql=f"""
+_OUTFLOW = f"""
     WITH {_LIFE}, {_load(True)}, {_LTV}, {_MONTH},
     d AS (SELECT end_date AS outflow_date, count(*) AS churned_subscribers FROM flows WHERE is_outflow = 1 GROUP BY ALL),
     stock AS (SELECT date, CAST(sum(active_subscribers) AS DOUBLE) AS n FROM month GROUP BY ALL),
@@ -672,12 +705,27 @@ def _anomaly_count(t: Tables):
             v[least(CAST(floor(0.75 * len(v)) AS BIGINT), len(v) - 1) + 1] - v[least(CAST(floor(0.25 * len(v)) AS BIGINT), len(v) - 1) + 1] AS iqr_6months
         FROM l)
     SELECT *, CASE WHEN daily_churn_rate > median_6months + 1.5::DOUBLE * iqr_6months THEN 1
-        WHEN prev_day_rate > 0 AND daily_churn_rate > prev_day_rate * 2 THEN 1 ELSE 0 END AS is_anomaly FROM q""",
-)
+        WHEN prev_day_rate > 0 AND daily_churn_rate > prev_day_rate * 2 THEN 1 ELSE 0 END AS is_anomaly FROM q"""
+
+
+@query("mart_outflow_anomaly", tables=_TREE_TABLES, dates=("outflow_date",), sql=_OUTFLOW)
 def _outflow_anomaly(t: Tables):
     return anomalies.outflow_anomaly(t.flows, _month_tree(t))
 
 
+@query(
+    "mart_outflow_anomaly_count",
+    tables=_TREE_TABLES,
+    sql=f"""
+    SELECT count(*) AS cnt FROM ({_OUTFLOW}) WHERE is_anomaly = 1
+        AND outflow_date = (SELECT max(outflow_date) FROM ({_OUTFLOW}) WHERE is_anomaly = 1)""",
+)
+def _outflow_count(t: Tables):
+    flags = materialize(anomalies.outflow_anomaly(t.flows, _month_tree(t)))
+    last = flags.where("is_anomaly = 1").agg(F.max("outflow_date")).first()[0]
+    return anomalies.anomaly_count(flags, "outflow_date", last)
+
+
 # --------------------------------------------------------------------------- debt cohorts
 
 

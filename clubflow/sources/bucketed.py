@@ -2,6 +2,7 @@
 
 A table of versions is bucketed and sorted by its key. All versions of a key lie in one bucket, whatever load they came
 with, so the newest of each key is found bucket by bucket without a shuffle; loads are laid out once, when they arrive.
+For ``merged_versions`` keys are not null.
 """
 
 from __future__ import annotations
