@@ -892,7 +892,7 @@ def _tracker_users(t: Tables):
 # --------------------------------------------------------------------------- campaign
 
 _CAMPAIGN = f"""
-    staff AS (SELECT user_id FROM plans WHERE payment_plan_id IN (1, 152, 208) AND status = 'Current'
+    staff AS (SELECT user_id FROM plans WHERE payment_plan_id IN {_in(c.STAFF_PLAN_IDS)} AND status = 'Current'
         UNION SELECT user_id FROM employees WHERE is_active = 1),
     ct AS (
         SELECT t.*, p.payment_plan_id, p.user_id AS owner, p.club_id, p.status AS current_status, p.signed_date, p.end_date,
@@ -900,12 +900,12 @@ _CAMPAIGN = f"""
             row_number() OVER (PARTITION BY t.user_payment_plan_id ORDER BY t.created_at, t.id) AS rnk
         FROM transactions t JOIN plans p ON p.id = t.user_payment_plan_id JOIN clubs k ON k.id = p.club_id
         JOIN payment_plans pp ON pp.id = p.payment_plan_id JOIN gates g ON g.id = t.gate_id
-        WHERE p.payment_plan_id IN (205, 206, 208) AND t.provider_id IN (1, 2, 6, 9, 10, 17, 20)),
+        WHERE p.payment_plan_id IN {_in(c.CAMPAIGN_PLAN_IDS)} AND t.provider_id IN {_in(c.CAMPAIGN_PROVIDERS)}),
     cd AS (SELECT *, min(updated_at) OVER (PARTITION BY user_id ORDER BY id) AS first_buy FROM ct
         WHERE CAST(updated_at AS DATE) >= DATE '1996-01-01'),
     mpd AS (
         SELECT p.user_id, CAST(t.updated_at AS DATE) AS d, max(p.id) AS pid, max(p.payment_plan_id) AS plan, max(p.discount_id) AS disc
-        FROM plans p JOIN transactions t ON t.user_payment_plan_id = p.id AND t.provider_id IN (6, 17, 20, 21, 26, 27)
+        FROM plans p JOIN transactions t ON t.user_payment_plan_id = p.id AND t.provider_id IN {_in(c.FIRST_PAYMENT_PROVIDERS)}
         WHERE p.payment_plan_id IN (SELECT id FROM inflow_plan_ids) AND p.status NOT IN ('Created', 'Deleted')
           AND coalesce(p.cancel_reason, '') <> 'ExcludeFromReport' GROUP BY ALL),
     nw AS (
@@ -931,7 +931,7 @@ _CAMPAIGN = f"""
             CAST(date_diff('day', fv.created_at, cd.updated_at) AS INTEGER) AS diff_days, nw.pid AS user_payment_plan_id_main,
             nw.plan_name AS user_payment_plan_name_main, CASE WHEN nw.mu IS NULL AND nw.k IS NOT NULL THEN NULL ELSE nw.main_discount END AS discount_name_main,
             CASE WHEN bn.u IS NULL THEN 'Не переходил' ELSE 'Перешел по баннеру' END AS is_banner_user, bn.last_banner_date,
-            CASE WHEN EXISTS (SELECT 1 FROM plans z WHERE z.payment_plan_id = 207 AND z.user_id = cd.user_id)
+            CASE WHEN EXISTS (SELECT 1 FROM plans z WHERE z.payment_plan_id = {c.TRIAL_PLAN_ID} AND z.user_id = cd.user_id)
                 THEN 'Был триал' ELSE 'Не было триала' END AS is_trial_user,
             CASE WHEN tk.click <= CAST(first_buy AS DATE) + 30 THEN 'Пришел по трекеру' ELSE '-' END AS is_tracker_user
         FROM cd LEFT JOIN staff ON staff.user_id = cd.owner LEFT JOIN users u ON u.id = cd.user_id

@@ -686,7 +686,7 @@ def _union_all(t: Tables):
 @query(
     "set_union_distinct",
     tables=("plans", "employees"),
-    sql="""SELECT user_id FROM plans WHERE payment_plan_id IN (1, 152, 208) AND status = 'Current'
+    sql=f"""SELECT user_id FROM plans WHERE payment_plan_id IN {c.STAFF_PLAN_IDS} AND status = 'Current'
         UNION SELECT user_id FROM employees WHERE is_active = 1""",
 )
 def _union_distinct(t: Tables):
