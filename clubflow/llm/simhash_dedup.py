@@ -4,8 +4,9 @@ Each text gets a 64-bit fingerprint of its 3-word shingles. Reference fingerprin
 into a row of Hamming distances; two fingerprints at most ``d`` bits apart differ by at most ``d`` in every
 distance. The first pivots are 0 and one mask per block of bits: their distances fix the number of ones per block,
 and the distance vectors that lie within the bound can be listed, so a fingerprint meets exactly the cells that
-can hold a partner. In a cell the distances to all other pivots discard pairs by their largest difference, and the
-survivors are verified by their differing bits.
+can hold a partner. The number of blocks follows the number of fingerprints, so that cells stay small, and a cell that is
+large all the same is cut into parts that meet pair by pair. In a cell the distances to all other pivots discard pairs
+by their largest difference, and the survivors are verified by their differing bits.
 
 Null text counts as empty; an empty text has the fingerprint zero and links like any other. Equal fingerprints are
 one node, so groups of copies cost one row. Repeated doc_ids give one row each.
@@ -26,8 +27,8 @@ from clubflow.llm.common import components, local_components, mix, narrow, ragge
 SHINGLE = 3
 SEED = 42
 BITS = 2
-#: Blocks of bits that the first pivots mark.
-BLOCKS = 6
+#: Least and greatest number of blocks of bits that the first pivots mark.
+BLOCKS = (6, 12)
 #: Further reference fingerprints, and pairs of a cell looked at in one step.
 PIVOTS = 16
 STEP = 1 << 21
@@ -83,6 +84,16 @@ def pivots(count: int, words: int = 1, seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**64, (count, words), dtype=np.uint64)
 
 
+def blocks_for(prints: int) -> int:
+    """Blocks for so many different fingerprints: about as many cells as fingerprints, within ``BLOCKS``.
+
+    The ones of a block of 64 / b random bits spread over about 16.5 / sqrt(b) values. More blocks also mean more cells
+    that a fingerprint visits, so no more than needed.
+    """
+    least, most = BLOCKS
+    return next((b for b in range(least, most) if prints <= 4 * (16.5 / b**0.5) ** b), most)
+
+
 def _offsets(blocks: int, bits: int) -> np.ndarray:
     """All differences of ones per block that ``bits`` or fewer flips can make, one of each opposite pair."""
     found = {(0,) * blocks}
@@ -99,7 +110,7 @@ def _cells(fp: np.ndarray, blocks: int, offsets: np.ndarray) -> tuple[np.ndarray
     # distance to pivot 0 and to the mask of a block give the ones of the block
     d0 = np.bitwise_count(fp).astype(np.int64)
     ones = np.stack([(d0 - np.bitwise_count(fp ^ m).astype(np.int64) + s) // 2 for m, s in zip(masks, sizes)], axis=1)
-    shift = np.int64(67) ** np.arange(blocks)
+    shift = np.int64(64 // blocks + 2) ** np.arange(blocks)
     home = ones @ shift
     rows, cells, probe = [np.arange(len(fp))], [home], [np.zeros(len(fp), bool)]
     for o in offsets:
@@ -228,12 +239,22 @@ def _linked(cells: DataFrame, bits: int, count: int) -> DataFrame:
     )
 
 
-def links(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS, count: int = PIVOTS) -> DataFrame:
-    """(a, b): a spanning set of the links between distinct fingerprints (column ``fp``) at most ``bits`` apart."""
-    return _linked(prints.mapInArrow(_spread(blocks, bits), _CELLS), bits, count)
+def links(
+    prints: DataFrame, bits: int = BITS, blocks: int | None = None, count: int = PIVOTS, part: int | None = None
+) -> DataFrame:
+    """(a, b): a spanning set of the links between distinct fingerprints (column ``fp``) at most ``bits`` apart.
+
+    ``part``: fingerprints of a cell that a task holds at a time, twice.
+    """
+    cells = prints.mapInArrow(_spread(blocks or blocks_for(prints.count()), bits), _CELLS)
+    part = part or PART_PRINTS
+    large = stored(_large(cells, "cell", F.lit(1), part), "large")
+    if large.limit(1).count():
+        cells = _tiled(cells, "cell", large).select(F.col("tile").alias("cell"), "name", "probe", "print")
+    return _linked(cells, bits, count)
 
 
-def near_duplicates(docs: DataFrame, bits: int = BITS, blocks: int = BLOCKS, count: int = PIVOTS) -> DataFrame:
+def near_duplicates(docs: DataFrame, bits: int = BITS, blocks: int | None = None, count: int = PIVOTS) -> DataFrame:
     """Rows (doc_id, fp, fingerprint, component_id, n_same): 16 hex digits; smallest doc_id reachable; copies."""
     prints = stored(fingerprints(docs), "fingerprints")
     nodes = stored(
@@ -370,13 +391,20 @@ def tiles(rows: DataFrame, key: str, size: Column, bound: int) -> DataFrame:
 
     A key of more than the bound is cut by name into parts; each pair of parts is a tile.
     """
-    large = rows.groupBy(key).agg(F.ceil(F.sum(size) / bound).cast("int").alias("parts")).where("parts > 1")
+    # the large keys are few: at most all sizes over the bound
+    return _tiled(rows, key, F.broadcast(_large(rows, key, size, bound)))
+
+
+def _large(rows: DataFrame, key: str, size: Column, bound: int) -> DataFrame:
+    return rows.groupBy(key).agg(F.ceil(F.sum(size) / bound).cast("int").alias("parts")).where("parts > 1")
+
+
+def _tiled(rows: DataFrame, key: str, large: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("name"), F.col("parts")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.xxhash64(key, F.least(part, q), F.greatest(part, q))
     )
-    # the large keys are few: at most all sizes over the bound
-    return rows.join(F.broadcast(large), key, "left").select(
+    return rows.join(large, key, "left").select(
         *rows.columns, F.explode(F.when(F.col("parts").isNull(), F.array(key)).otherwise(pairs)).alias("tile")
     )
 

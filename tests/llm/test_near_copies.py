@@ -65,6 +65,23 @@ def test_fingerprints_a_few_bits_apart_are_all_found(spark):
     assert all((e.a ^ e.b) != 0 for e in edges)
 
 
+@pytest.mark.parametrize("blocks,part", [(6, 40), (9, None), (12, None), (12, 25)])
+def test_links_do_not_depend_on_blocks_and_parts(spark, blocks, part):
+    """Many fingerprints in a few cells: few ones, so that cells of any number of blocks are large."""
+    rng = random.Random(blocks)
+    values = sorted({sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(500)} | {2**63, 2**64 - 1})
+    signed = [v - 2**64 if v >> 63 else v for v in values]
+    edges = simhash_dedup.links(spark.createDataFrame([(s,) for s in signed], "fp long"), blocks=blocks, part=part).collect()
+    at = {s: i for i, s in enumerate(signed)}
+    pairs = [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= 2]
+    assert union(len(values), [(at[e.a], at[e.b]) for e in edges]) == union(len(values), pairs)
+
+
+def test_blocks_follow_the_number_of_fingerprints():
+    found = [simhash_dedup.blocks_for(10**k) for k in range(13)]
+    assert found == sorted(found) and found[0] == 6 and found[-1] == 12 and len(set(found)) > 4
+
+
 def test_wide_groups_find_similar_texts_only(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(3000)]
