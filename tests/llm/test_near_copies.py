@@ -269,3 +269,41 @@ def test_vectors_whose_squares_overflow_or_vanish(spark, kind):
     # the least double is zero in single precision
     n, own = (2, (2, 3)) if kind == "double" else (1, (0, 6))
     assert got == {1: (1, 1), 2: (1, 1), 3: (n, 3), 4: (n, 3), 5: (0, 5), 6: own, 7: (0, 7)}
+
+
+def similar_pairs(texts, similar=0.8):
+    """All pairs of texts with so many common shingles, exactly: two such sets share one of their rarest shingles."""
+    sets = [simhash_dedup.shingle_set(t) for t in texts]
+    values, times = np.unique(np.concatenate(sets), return_counts=True)
+    rank = np.argsort(np.argsort(times, kind="stable"), kind="stable")
+    ids = [np.sort(rank[np.searchsorted(values, s)]) for s in sets]
+    whole = [set(s.tolist()) for s in ids]
+    holders: dict = {}
+    found = []
+    for i, s in enumerate(ids):
+        n = len(s)
+        near = set()
+        for r in s[: n - -(-8 * n // 10) + 1].tolist():
+            near.update(holders.setdefault(r, []))
+            holders[r].append(i)
+        for j in near:
+            common = len(whole[i] & whole[j])
+            if common * 10 >= 8 * (len(whole[i]) + len(whole[j]) - common):
+                found.append((i, j))
+    return found
+
+
+def test_similar_groups_of_the_given_documents_are_those_of_all_pairs(spark):
+    """Recall of the SimHash stage of the pipeline on 10,000 documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = docs.orderBy("doc_id").collect()
+    pairs = similar_pairs([r.text for r in rows])
+    assert len(pairs) > 1000
+    got = {r.place: r.component for r in simhash_dedup.similar_groups(docs.withColumnRenamed("doc_id", "place")).collect()}
+    place = [r.doc_id for r in rows]
+    kept = [got[place[i]] == got[place[j]] for i, j in pairs]
+    print(f"recall {np.mean(kept):.5f} of {len(pairs)} pairs")
+    root = union(len(rows), pairs)
+    empty = {i for i, r in enumerate(rows) if not (r.text or "").split()}
+    same = [got[place[i]] == place[root[i]] for i in range(len(rows)) if i not in empty]
+    assert np.mean(kept) == 1 and all(same)
