@@ -120,6 +120,33 @@ WITH RECURSIVE good AS (
 SELECT e.vec_id, coalesce(c.n, 0) AS n_links, coalesce(r.component_id, e.vec_id) AS component_id,
        coalesce(r.component_id, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN counted c ON c.node = e.vec_id LEFT JOIN root r ON r.node = e.vec_id
+""",
+    "op2_suffix_array_dedup": """
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), chunks AS (
+    SELECT doc_id, c, substr(h, 1024 * c + 1, 1024 + 398) AS part
+    FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1024 + 1)) AS c FROM docs)
+), windows AS (
+    SELECT doc_id, 512 * c + j AS i, md5(substr(part, 2 * j + 1, 400)) AS m
+    FROM (SELECT doc_id, c, part, unnest(range(0, least(512, length(part) // 2 - 199))) AS j FROM chunks)
+), repeated AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY m) > 1
+), marked AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens FROM repeated
+), runs AS (
+    SELECT doc_id, min(i) AS b, max(i) + 200 AS e
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run
+), before AS (
+    SELECT r.doc_id, r.b, r.e, substr(d.h, 2 * p + 1, 2 * (r.b - p)) AS kept
+    FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS p FROM runs) r JOIN docs d ON d.doc_id = r.doc_id
+), cut AS (
+    SELECT doc_id, CAST(sum(e - b) AS BIGINT) AS n_removed, count(*) AS n_spans, max(e) AS e, string_agg(kept, '' ORDER BY b) AS kept
+    FROM before GROUP BY doc_id
+)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(c.n_removed, 0) AS n_removed, coalesce(c.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(c.kept, '') || substr(d.h, 2 * coalesce(c.e, 0) + 1))) AS kept_sha256
+FROM docs d LEFT JOIN cut c ON c.doc_id = d.doc_id
 """,
     "op4_substring_dedup": r"""
 WITH words AS (
