@@ -268,6 +268,59 @@ def test_work_tables_go_when_the_next_stage_starts(spark, tmp_path):
     assert again.count() >= 0
 
 
+def plain_ratings(rows, labels):
+    """Scores by one loop over the labelled rows, and the isotonic fit by its min-max formula."""
+    x = {d: np.array(quality.statistics(t)) for d, t in rows}
+    known = [(x[d], y, f) for d, y, f in labels]
+    mean, spread = np.mean([a for a, _, _ in known], axis=0), np.std([a for a, _, _ in known], axis=0)
+    model = quality.Model(mean, np.where(spread > 1e-9, spread, 1.0))  # for its fixed random directions
+
+    def features(a):
+        z = np.clip((a - model.mean) / model.spread, -quality.REACH, quality.REACH)
+        return np.append(np.cos(z @ model.turn + model.phase) * np.sqrt(2 / quality.WIDTH), 1.0)
+
+    share = np.mean([y for _, y, _ in known])
+    weights = {}
+    for fold in (0, 1):  # learned on the other fold
+        left, right = np.zeros((quality.WIDTH + 1, quality.WIDTH + 1)), np.zeros(quality.WIDTH + 1)
+        total = 0.0
+        for a, y, f in known:
+            if f != fold:
+                w = 0.5 / share if y else 0.5 / (1 - share)
+                g = features(a)
+                left += w * np.outer(g, g)
+                right += w * g * y
+                total += w
+        weights[fold] = np.linalg.solve(left + quality.RIDGE * max(total, 1.0) * np.eye(len(right)), right)
+    cells: dict = {}
+    for a, y, f in known:
+        c = int(np.clip(np.round(features(a) @ weights[f] * quality.BINS), -quality.BINS, 2 * quality.BINS))
+        good, n = cells.get(c, (0, 0))
+        cells[c] = good + y, n + 1
+    at = sorted(cells)
+    mean_of = lambda a, b: sum(cells[c][0] for c in at[a : b + 1]) / sum(cells[c][1] for c in at[a : b + 1])
+    height = [max(min(mean_of(a, b) for b in range(i, len(at))) for a in range(i + 1)) for i in range(len(at))]
+    steps: dict = {}
+    for c, h in zip(at, height):
+        top, n = steps.get(round(h, 12), (0, 0))
+        steps[round(h, 12)] = top + c / quality.BINS * cells[c][1], n + cells[c][1]
+    middles = [top / n for top, n in steps.values()]
+    both = (weights[0] + weights[1]) / 2
+    return {d: float(np.clip(np.interp(features(a) @ both, middles, list(steps)), 0, 1)) for d, a in x.items()}
+
+
+def test_ratings_match_a_plain_version(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 160")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    fold = {r.doc_id: r.fold for r in docs.select("doc_id", (F.abs(F.xxhash64("doc_id")) % 2).alias("fold")).collect()}
+    used = [(r.doc_id, r.quality, fold[r.doc_id]) for r in labels.collect() if r.doc_id in fold and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    assert 0 < sum(y for _, y, _ in used) < len(used)
+    want = plain_ratings(rows, used)
+    got = {r.doc_id: r.score for r in quality.rate(docs, labels).collect()}
+    assert got.keys() == want.keys() and max(abs(got[d] - want[d]) for d in want) < 1e-6
+
+
 def test_quality_stage_keeps_every_column_and_what_the_scores_say(spark):
     rows = odd_texts() + [(3, "same id"), (None, "no id at all")]
     docs = documents(spark, rows)
