@@ -59,11 +59,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_stage
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the first by doc_id, of each group of near copies: 5-word shingles, similarity about 0.8 or more."""
+    """One document, the first by doc_id, of each group whose fingerprints chain within the operator's own distance."""
     place = unused(docs, "row_place")
     rows = numbered(docs, place)
-    groups = simhash_dedup.similar_groups(rows.select(F.col(place).alias("place"), "text"))
-    kept = groups.where("place = component").select(F.col("place").alias(place))
+    groups = simhash_dedup.near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"))
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(place))
     return rows.join(kept, place, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
