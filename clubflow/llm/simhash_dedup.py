@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clubflow.llm.common import components, local_components, mix, narrow, ragged, raw_bytes, slices, stored
+from clubflow.llm.common import components, local_components, narrow, ragged, raw_bytes, slices, stored
 
 SHINGLE = 3
 SEED = 42
@@ -32,6 +32,8 @@ BLOCKS = (6, 12)
 #: Further reference fingerprints, and pairs of a cell looked at in one step.
 PIVOTS = 16
 STEP = 1 << 21
+#: Fingerprints of one cell that one task holds at a time, twice.
+PART_PRINTS = 20_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -272,134 +274,13 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, blocks: int | None = None
     )
 
 
-# Longer fingerprints, for texts that share most shingles but not nearly all. They only choose the pairs to look at.
-
-#: Five-word shingles, 512 bits; texts with a similarity of 0.8 differ in 78 bits, give or take 8, so hardly any in more
-#: than 130.
-WIDE_SHINGLE, WIDE_WORDS, WIDE_BITS = 5, 8, 130
-#: Texts are near copies from this share of common shingles on (distinct ones, common of all in either text).
-SIMILAR = 0.8
-#: Cells a text enters: its least shingle under so many permutations. A pair of similarity 0.8 shares none with
-#: probability 0.2 ** LEAST.
-LEAST = 6
-#: Texts of so few shingles also enter the cells of their least shingles under one permutation, as many as not all can
-#: be missing from a similar text: no pair with a text of 25 or fewer is lost. Even counts tie more often, so their
-#: prints may differ in more bits (96, give or take 9, for 4 of 5 shingles).
-FEW, FEW_BITS = 31, 176
-#: Shingles of the texts of one group that one task holds at a time, twice.
-PART_SHINGLES = 2_000_000
-#: Fingerprints of one cell that one task holds at a time, twice.
-PART_PRINTS = 20_000
-_STEPS = np.random.default_rng(17).integers(1, 2**63, max(LEAST, WIDE_WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct shingle hashes."""
-    return np.unique(_hashes(text, WIDE_SHINGLE))
-
-
-def wide_fingerprint(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint words, cells) of a text; an empty text has the fingerprint zero and the cell zero."""
-    return _wide_print(shingle_set(text))
-
-
-def _wide_print(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(hashes):
-        return np.zeros(WIDE_WORDS, np.uint64), np.zeros(1, np.int64)
-    bits = np.stack([mix(hashes * _STEPS[k]) for k in range(WIDE_WORDS)], axis=1)
-    least = np.array([(mix(hashes + _STEPS[k])).min() for k in range(LEAST)], np.uint64)
-    return _majority(bits), np.unique(mix(least)).view(np.int64)
-
-
-def _few_cells(hashes: np.ndarray) -> np.ndarray:
-    n = len(hashes)
-    if n > FEW:
-        return np.zeros(0, np.int64)
-    return np.sort(mix(hashes + _STEPS[0]))[: n - (8 * n + 9) // 10 + 1].view(np.int64)
-
-
-def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1):
-        sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
-        both = [_wide_print(s) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                pa.array([len(s) for s in sets], pa.int64()), _binary(np.stack([f for f, _ in both])),
-                pa.array([c for _, c in both], pa.list_(pa.int64())),
-                pa.array([_few_cells(s) for s in sets], pa.list_(pa.int64())),
-            ],
-            names=["place", "same", "size", "print", "cells", "few"],
-        )
-
-
-def similar_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of sorted sets with a similarity of ``SIMILAR`` or more.
-
-    Each set reached is compared with those not reached yet, so a group of near copies costs little more than one
-    comparison for each.
-    """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    ids = ids.astype(np.int32)
-    starts = np.cumsum(sizes) - sizes
-    own = lambda i: ids[starts[i] : starts[i] + sizes[i]]
-    left = np.arange(len(sets))
-    held, flags, found = ids, np.zeros(len(values), bool), []
-    queue: list[int] = []
-    while len(left):
-        if not queue:
-            queue.append(int(left[0]))
-            held, left = held[sizes[left[0]] :], left[1:]
-            continue
-        i = queue.pop()
-        flags[own(i)] = True
-        common = np.add.reduceat(flags[held], np.cumsum(sizes[left]) - sizes[left], dtype=np.int64)
-        flags[own(i)] = False
-        # in whole numbers: common / all >= 8 / 10
-        hit = common * 10 >= round(SIMILAR * 10) * (sizes[i] + sizes[left] - common)
-        if hit.any():
-            found += [(i, int(j)) for j in left[hit]]
-            queue += left[hit].tolist()
-            held, left = held[np.repeat(~hit, sizes[left])], left[~hit]
-    return found
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) of rows (tile, name, text) ordered by tile."""
-    tile, names, sets = None, [], []
-
-    def ready() -> pa.RecordBatch:
-        found = similar_links(sets) if len(sets) > 1 else []
-        a, b = [names[i] for i, _ in found], [names[j] for _, j in found]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    for batch in slices(batches, 2):
-        for t, name, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if t != tile and names:
-                yield ready()
-                names, sets = [], []
-            tile = t
-            names.append(name)
-            sets.append(shingle_set(text))
-    if names:
-        yield ready()
-
-
-def tiles(rows: DataFrame, key: str, size: Column, bound: int) -> DataFrame:
-    """The rows with a column ``tile``, so that any two rows of a key share one and none holds over about twice ``bound``.
-
-    A key of more than the bound is cut by name into parts; each pair of parts is a tile.
-    """
-    # the large keys are few: at most all sizes over the bound
-    return _tiled(rows, key, F.broadcast(_large(rows, key, size, bound)))
-
-
 def _large(rows: DataFrame, key: str, size: Column, bound: int) -> DataFrame:
+    """Keys of more than the bound, and the parts they are cut into."""
     return rows.groupBy(key).agg(F.ceil(F.sum(size) / bound).cast("int").alias("parts")).where("parts > 1")
 
 
 def _tiled(rows: DataFrame, key: str, large: DataFrame) -> DataFrame:
+    """The rows with a column ``tile``: a large key's parts meet pair by pair, any two rows of a key in one tile at least."""
     part = F.pmod(F.xxhash64("name"), F.col("parts")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.xxhash64(key, F.least(part, q), F.greatest(part, q))
@@ -407,34 +288,3 @@ def _tiled(rows: DataFrame, key: str, large: DataFrame) -> DataFrame:
     return rows.join(large, key, "left").select(
         *rows.columns, F.explode(F.when(F.col("parts").isNull(), F.array(key)).otherwise(pairs)).alias("tile")
     )
-
-
-def similar_groups(
-    rows: DataFrame, bits: int = WIDE_BITS, count: int = 4, part: int = PART_SHINGLES, prints_held: int = PART_PRINTS
-) -> DataFrame:
-    """(place, component) for rows (place, text), place unique: texts of similarity ``SIMILAR`` or more, and chains.
-
-    Texts with the same set of shingles are one node. Nodes that share a cell and whose fingerprints are near form
-    loose groups; in these the sets themselves decide each pair.
-    """
-    rows = narrow(rows, "place", "text")
-    prints = rows.mapInArrow(_wide, "place long, same binary, size long, print binary, cells array<long>, few array<long>")
-    prints = stored(prints, "prints")
-    nodes = prints.groupBy("same").agg(
-        F.min("place").alias("name"), *[F.first(c).alias(c) for c in ("size", "print", "cells", "few")]
-    )
-    nodes = stored(nodes, "nodes")
-    near = []
-    for column, most in (("cells", bits), ("few", FEW_BITS)):
-        cells = nodes.select(F.explode(column).alias("cell"), "name", "print")
-        cells = tiles(cells, "cell", F.lit(1), prints_held)
-        near.append(_linked(cells.select(F.col("tile").alias("cell"), "name", F.lit(False).alias("probe"), "print"), most, count))
-    loose = components(near[0].unionAll(near[1])).withColumnRenamed("node", "name")
-    loose = stored(tiles(loose.join(nodes.select("name", "size"), "name"), "component", F.col("size"), part), "loose")
-    texts = loose.join(rows, loose["name"] == rows["place"]).select("tile", "name", "text")
-    exact = texts.repartition(F.col("tile")).sortWithinPartitions("tile").mapInArrow(_similar, "a long, b long")
-    found = components(exact)
-    named = nodes.join(found, nodes["name"] == found["node"], "left").select(
-        "same", F.coalesce("component", "name").alias("component")
-    )
-    return prints.select("place", "same").join(named, "same").select("place", "component")

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 import xxhash
 from helpers import collected, documents, odd_texts
-from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clubflow.llm import embedding_dedup, simhash_dedup
 from clubflow.llm.common import components
 
@@ -46,6 +46,15 @@ def test_simhash_matches_all_pairs(spark):
     }
 
 
+def test_the_stage_keeps_the_first_document_of_each_group(spark):
+    rows = sorted(odd_texts(2))
+    prints = [plain_fingerprint(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    root = union(len(rows), pairs)
+    kept = corpus_pipeline.simhash_stage(spark, documents(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted({rows[r][0] for r in root})
+
+
 def test_fingerprints_a_few_bits_apart_are_all_found(spark):
     rng = random.Random(3)
     values = {rng.getrandbits(64) for _ in range(60)}
@@ -82,103 +91,11 @@ def test_blocks_follow_the_number_of_fingerprints():
     assert found == sorted(found) and found[0] == 6 and found[-1] == 12 and len(set(found)) > 4
 
 
-def test_wide_groups_find_similar_texts_only(spark):
-    rng = random.Random(5)
-    words = [f"w{i}" for i in range(3000)]
-    rows, group = [], {}
-    for g in range(25):
-        base = rng.choices(words, k=300)
-        for c in range(3):
-            text = list(base)
-            if c:  # six changed words: similarity about 0.82
-                for i in rng.sample(range(300), 6):
-                    text[i] = rng.choice(words)
-            group[len(rows)] = 3 * g
-            rows.append((len(rows), " ".join(text)))
-    rows += [(500, None), (501, ""), (502, "one two"), (503, "one two")]
-    group |= {500: 500, 501: 500, 502: 502, 503: 502}
-    got = collected(simhash_dedup.similar_groups(spark.createDataFrame(rows, "place long, text string")), "place")
-    assert {p: r.component for p, r in got.items()} == group
-
-
 def shingles(text):
     words = text.lower().split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
 
-def groups_by_all_pairs(texts):
-    sets = [shingles(t) for t in texts]
-    near = lambda a, b: 10 * len(a & b) >= 8 * len(a | b)
-    return union(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if near(sets[i], sets[j])])
-
-
-def wide_groups(spark, texts, **how):
-    rows = spark.createDataFrame(list(enumerate(texts)), "place long, text string")
-    got = collected(simhash_dedup.similar_groups(rows, **how), "place")
-    return [got[i].component for i in range(len(texts))]
-
-
-def test_unlike_texts_with_one_shingle_repeated_stay_apart(spark):
-    rng = random.Random(12)
-    say = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
-    runs = [say(200) + " x" * times for times in (300, 320, 150, 300)]
-    rules = [say(300) + " " + "- | + = ; " * 400 for _ in range(3)]
-    base = say(150)
-    runs += [base + " x" * 40, base + " x" * 700]  # the same set of shingles
-    texts = runs + rules
-    want = groups_by_all_pairs(texts)
-    assert want == [0, 1, 2, 3, 4, 4, 6, 7, 8]
-    assert wide_groups(spark, texts) == want
-
-
-def test_links_are_decided_at_the_required_similarity(spark):
-    rng = random.Random(9)
-    words = [f"w{i}" for i in range(9000)]
-    texts = []
-    for _ in range(40):  # pairs of long texts of similarities about 0.6 to 0.9, by a changed passage
-        base = rng.choices(words, k=300)
-        own = rng.randint(15, 70)
-        texts += [" ".join(base), " ".join(base[:-own] + rng.choices(words, k=own))]
-    for n in range(5, 32):  # short ones: the most shingles that a text of n can lose, and one more
-        for _ in range(6):
-            base = rng.choices(words, k=n + 4)
-            texts += [" ".join(base), " ".join(base[: n + 4 - n // 5]), " ".join(base[: n + 3 - n // 5])]
-    want = groups_by_all_pairs(texts)
-    sets = [shingles(t) for t in texts]
-    shares = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 80, 2)]
-    assert sum(0.65 < s < 0.8 for s in shares) > 9 and sum(s >= 0.8 for s in shares) > 9
-    assert wide_groups(spark, texts) == want
-
-
-def test_large_groups_are_compared_in_parts(spark):
-    rng = random.Random(4)
-    base = [f"w{rng.randrange(2000)}" for _ in range(120)]
-    texts = []
-    for i in range(60):
-        words = list(base)
-        for k in rng.sample(range(120), rng.choice((1, 2, 6))):
-            words[k] = f"v{i} {k}"
-        texts.append(" ".join(words))
-    want = groups_by_all_pairs(texts)
-    assert 1 < len(set(want)) < 60
-    assert wide_groups(spark, texts, part=500) == want == wide_groups(spark, texts)
-
-
-def test_large_cells_are_dealt_out_in_tiles(spark):
-    rows = [(1, i) for i in range(1000)] + [(2, 1000 + i) for i in range(90)] + [(3, 2000)]
-    table = spark.createDataFrame(rows, "cell long, name long")
-    held = {}
-    for r in simhash_dedup.tiles(table, "cell", F.lit(1), 100).collect():
-        held.setdefault(r.tile, []).append((r.cell, r.name))
-    assert max(map(len, held.values())) < 300
-    met = {(a, b) for t in held.values() for a in t for b in t}
-    assert met == {(a, b) for a in rows for b in rows if a[0] == b[0]}
-    rng = random.Random(6)
-    base = [f"w{rng.randrange(2000)}" for _ in range(60)]
-    texts = [" ".join(base[: rng.randint(30, 60)] + [f"v{rng.randrange(9)}"] * rng.randint(0, 1)) for _ in range(60)]
-    assert wide_groups(spark, texts, prints_held=6) == groups_by_all_pairs(texts)
-
-
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(8)
     chain = [(i, i + 1) for i in range(100, 160)]
@@ -269,41 +186,3 @@ def test_vectors_whose_squares_overflow_or_vanish(spark, kind):
     # the least double is zero in single precision
     n, own = (2, (2, 3)) if kind == "double" else (1, (0, 6))
     assert got == {1: (1, 1), 2: (1, 1), 3: (n, 3), 4: (n, 3), 5: (0, 5), 6: own, 7: (0, 7)}
-
-
-def similar_pairs(texts, similar=0.8):
-    """All pairs of texts with so many common shingles, exactly: two such sets share one of their rarest shingles."""
-    sets = [simhash_dedup.shingle_set(t) for t in texts]
-    values, times = np.unique(np.concatenate(sets), return_counts=True)
-    rank = np.argsort(np.argsort(times, kind="stable"), kind="stable")
-    ids = [np.sort(rank[np.searchsorted(values, s)]) for s in sets]
-    whole = [set(s.tolist()) for s in ids]
-    holders: dict = {}
-    found = []
-    for i, s in enumerate(ids):
-        n = len(s)
-        near = set()
-        for r in s[: n - -(-8 * n // 10) + 1].tolist():
-            near.update(holders.setdefault(r, []))
-            holders[r].append(i)
-        for j in near:
-            common = len(whole[i] & whole[j])
-            if common * 10 >= 8 * (len(whole[i]) + len(whole[j]) - common):
-                found.append((i, j))
-    return found
-
-
-def test_similar_groups_of_the_given_documents_are_those_of_all_pairs(spark):
-    """Recall of the SimHash stage of the pipeline on 10,000 documents."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
-    rows = docs.orderBy("doc_id").collect()
-    pairs = similar_pairs([r.text for r in rows])
-    assert len(pairs) > 1000
-    got = {r.place: r.component for r in simhash_dedup.similar_groups(docs.withColumnRenamed("doc_id", "place")).collect()}
-    place = [r.doc_id for r in rows]
-    kept = [got[place[i]] == got[place[j]] for i, j in pairs]
-    print(f"recall {np.mean(kept):.5f} of {len(pairs)} pairs")
-    root = union(len(rows), pairs)
-    empty = {i for i, r in enumerate(rows) if not (r.text or "").split()}
-    same = [got[place[i]] == place[root[i]] for i in range(len(rows)) if i not in empty]
-    assert np.mean(kept) == 1 and all(same)
