@@ -148,13 +148,13 @@ def accounting_ledger(
     who = users.select(
         F.col("id").alias("user_id"), F.concat("name", F.lit(" "), "last_name").alias("name")
     )
+    # what a transaction adds is looked up for its few columns; the wide rows meet it, the receipts and the users as the
+    # streamed side of hash joins, so no task sorts wide rows
+    added = tx.join(parent, "parent_id", "left").join(legal, "club_legal_info_id", "left").join(club, "_club", "left")
     return (
-        fresh.join(tx, "transaction_id", "left")
-        .join(own, "transaction_id", "left")
-        .join(parent, "parent_id", "left")
-        .join(who, "user_id", "left")
-        .join(legal, "club_legal_info_id", "left")
-        .join(club, "_club", "left")
+        fresh.join(added.hint("shuffle_hash"), "transaction_id", "left")
+        .join(own.hint("shuffle_hash"), "transaction_id", "left")
+        .join(who.hint("shuffle_hash"), "user_id", "left")
         .select(
             "transaction_id",
             "club_name",
