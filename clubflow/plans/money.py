@@ -45,13 +45,12 @@ def revenue_monthly(
         month_start(F.col("updated_at")).alias("date"),
         signed.alias("revenue"),
     )
-    # only plans paid in the range, and their moves, are looked at
-    own = (
-        plans.where(~F.col("payment_plan_id").isin(*c.REVENUE_EXCLUDED_PLANS))
-        .select("id", "user_id", "club_id", "start_date", "end_date")
-        .join(paid.select(F.col("user_payment_plan_id").alias("id")).distinct(), "id", "left_semi")
+    own = plans.where(~F.col("payment_plan_id").isin(*c.REVENUE_EXCLUDED_PLANS)).select(
+        "id", "user_id", "club_id", "start_date", "end_date"
     )
     moved_at = shift_hours(F.col("created_at"), shift)
+    # plans are not reduced to the paid ones first: that sorts and groups the payments beside the plans and their moves in
+    # the same tasks, twice, for rows that the join with the payments leaves out anyway
     first_move = (
         club_moves.select(F.col("user_payment_plan_id").alias("id"), "old_club_id", moved_at.alias("_at"))
         .join(own.select("id", "start_date"), "id")

@@ -1,10 +1,16 @@
 """Plans of the payment marts: what a task has to sort, and what is read for it."""
 
+import datetime as dt
+
 from clubflow.plans import money
 
 TS = "TIMESTAMP_NTZ'2024-01-02 00:00:00'"
 
 
+def leaves(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
 def test_ledger_sorts_no_wide_rows(spark):
     accounting = spark.createDataFrame([(n, n % 3, n) for n in range(1, 7)], "transaction_id long, user_id long, provider_id int").selectExpr(
         "*", "1 payment_plan_tax", "1 product_tax", "false is_deleted", "1 product_quantity", "'t' type", "'p' payment_plan_name",
@@ -34,3 +40,25 @@ def test_ledger_sorts_no_wide_rows(spark):
         ],
         key=repr,
     )
+
+
+def _revenue(spark, first: dt.date, last: dt.date):
+    plans = spark.createDataFrame([(1, 1, 7, 20), (2, 1, 7, 20), (None, 1, 7, 20)], "id long, user_id long, payment_plan_id long, club_id long").selectExpr(
+        "*", f"{TS} start_date", "CAST(NULL AS TIMESTAMP_NTZ) end_date"
+    )
+    moves = spark.createDataFrame([(1, 30), (2, 30), (3, 30)], "user_payment_plan_id long, old_club_id long").selectExpr("*", f"{TS} created_at")
+    tx = spark.createDataFrame([(1, 1, 5.0), (1, 3, 6.0), (1, None, 7.0)], "user_id long, user_payment_plan_id long, total_amount double").selectExpr(
+        "*", "1 provider_id", "nullif(user_id, 1) club_legal_info_id", f"{TS} updated_at"
+    )
+    legal = spark.createDataFrame([(9, 50)], "id long, club_id long")
+    clubs = spark.createDataFrame([(30, "C", 1, "t", first)], "id long, name string, city_id long, club_type string, open_date date")
+    names = spark.createDataFrame([(7, "plan")], "id long, name string")
+    return money.revenue_monthly(tx, plans, moves, legal, clubs, names, first, last)
+
+
+def test_revenue_reads_the_payments_once(spark):
+    out = _revenue(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))
+    # payments once; plans for the product, the first move and the first club; moves, legal entities, clubs, names
+    assert leaves(out) == 1 + 3 + 4
+    assert sorted((r["payment_plan_id"], r["club_id"], r["total_cost"]) for r in out.collect() if r["club_id"]) == [(7, 30, 5.0)]
+    assert [(r["payment_plan_id"], r["total_cost"]) for r in out.collect() if not r["club_id"]] == [(0, 6.0)]
