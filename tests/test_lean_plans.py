@@ -3,6 +3,7 @@
 import datetime as dt
 
 from clubflow.plans import money
+from clubflow.sources import load
 
 TS = "TIMESTAMP_NTZ'2024-01-02 00:00:00'"
 
@@ -62,3 +63,17 @@ def test_revenue_reads_the_payments_once(spark):
     assert leaves(out) == 1 + 3 + 4
     assert sorted((r["payment_plan_id"], r["club_id"], r["total_cost"]) for r in out.collect() if r["club_id"]) == [(7, 30, 5.0)]
     assert [(r["payment_plan_id"], r["total_cost"]) for r in out.collect() if not r["club_id"]] == [(0, 6.0)]
+
+
+def test_reload_of_a_month_reads_its_payments_once(spark, tmp_path):
+    path, builds = str(tmp_path / "revenue"), []
+
+    def build(first: dt.date, last: dt.date):
+        builds.append(_revenue(spark, first, last))
+        return builds[-1]
+
+    load.overwrite_partitions(build(dt.date(2024, 1, 1), dt.date(2024, 12, 31)), path, "date")
+    load.replace_months(build, path, dt.date(2024, 2, 1))  # January again, and February, which has nothing
+    assert [leaves(b) for b in builds[:2]] == [8, 8]
+    got = load.read_target(spark, path).collect()
+    assert sorted((r["payment_plan_id"], r["total_cost"]) for r in got) == [(0, 6.0), (7, 5.0)]
