@@ -440,7 +440,7 @@ _SALES_TABLES = (
 
 
 def _sales(t: Tables):
-    """The stored sales mart, which the flow marketing mart reads too."""
+    """The stored sales mart."""
 
     def build():
         return money.subscription_sales(*[getattr(t, n) for n in _SALES_TABLES], as_of=NOW, large=t.large("plans"))
@@ -496,8 +496,9 @@ def _subscription_sales(t: Tables):
     FROM m WINDOW w AS (PARTITION BY user_id ORDER BY start_date, first_id)""",
 )
 def _marketing(t: Tables):
+    terms = money.sale_terms(t.plans, t.transactions, t.users, t.employees, t.gates)
     return money.inflow_outflow_marketing(
-        t.flows, t.users, _sales(t), t.plans, t.payment_plans, t.clubs, t.inflow_plan_ids, t.discount_codes, AS_OF,
+        t.flows, t.users, terms, t.plans, t.payment_plans, t.clubs, t.inflow_plan_ids, t.discount_codes, AS_OF,
         large=t.large("flows"),
     )
 

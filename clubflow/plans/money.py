@@ -213,6 +213,22 @@ def first_payments(transactions: DataFrame) -> DataFrame:
     return first_rows(kept, ["user_payment_plan_id"], ["id"])
 
 
+def _reported(plans: DataFrame) -> DataFrame:
+    """The subscriptions that the sales list shows."""
+    return plans.where(
+        (F.coalesce("cancel_reason", F.lit("-")) != c.EXCLUDED_REASON) & (F.col("status") != "Deleted")
+    )
+
+
+def _staff(employees: DataFrame, users: DataFrame) -> DataFrame:
+    """Names of employees, who are users too."""
+    return employees.select(F.col("id").alias("employee_id"), F.col("user_id").alias("_staff")).join(
+        users.select(F.col("id").alias("_staff"), F.col("name").alias("employee_name"), "last_name"),
+        "_staff",
+        "left",
+    ).drop("_staff")
+
+
 def subscription_sales(
     plans: DataFrame,
     inflow_plan_ids: DataFrame,
@@ -233,9 +249,7 @@ def subscription_sales(
     """One row per subscription with its first payment, previous plan and client class. Large keys: ``plans.user``."""
     plan_name = F.lower("_plan_name")
     subs = (
-        plans.where(
-            (F.coalesce("cancel_reason", F.lit("-")) != c.EXCLUDED_REASON) & (F.col("status") != "Deleted")
-        )
+        _reported(plans)
         .join(inflow_plan_ids.select(F.col("id").alias("_main")), F.col("payment_plan_id") == F.col("_main"), "left")
         .join(
             payment_plans.select(F.col("id").alias("payment_plan_id"), F.col("name").alias("_plan_name")),
@@ -304,11 +318,7 @@ def subscription_sales(
         "sex",
         F.col("sport_experience").alias("fitness_experience"),
     )
-    staff = employees.select(F.col("id").alias("employee_id"), F.col("user_id").alias("_staff")).join(
-        users.select(F.col("id").alias("_staff"), F.col("name").alias("employee_name"), "last_name"),
-        "_staff",
-        "left",
-    ).drop("_staff")
+    staff = _staff(employees, users)
     name = lambda df, key, label, source="name": df.select(
         F.col("id").alias(key), F.col(source).alias(label)
     )
@@ -386,6 +396,26 @@ def subscription_sales(
     )
 
 
+def sale_terms(
+    plans: DataFrame, transactions: DataFrame, users: DataFrame, employees: DataFrame, gates: DataFrame
+) -> DataFrame:
+    """What the flow marketing mart takes from the sales list, without the rest of it: the terms of the first payment.
+
+    The distinct rows are those of ``subscription_sales`` in these columns.
+    """
+    subs = _reported(plans).select(F.col("id").alias("sub_id"))
+    paid = first_payments(transactions).select(
+        F.col("user_payment_plan_id").alias("sub_id"), "discount_amount", "membership_fee", "gate_id", "employee_id"
+    )
+    gate = gates.select(F.col("id").alias("gate_id"), F.col("name").alias("gate_name"))
+    return (
+        subs.join(paid, "sub_id", "left")
+        .join(_staff(employees, users), "employee_id", "left")
+        .join(gate, "gate_id", "left")
+        .select("sub_id", "discount_amount", "membership_fee", "gate_name", "employee_name", "last_name")
+    )
+
+
 def inflow_outflow_marketing(
     flows: DataFrame,
     users: DataFrame,

@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from clubflow import config as c
 from clubflow.plans import money
 from clubflow.sources import load
 
@@ -77,3 +80,28 @@ def test_reload_of_a_month_reads_its_payments_once(spark, tmp_path):
     assert [leaves(b) for b in builds[:2]] == [8, 8]
     got = load.read_target(spark, path).collect()
     assert sorted((r["payment_plan_id"], r["total_cost"]) for r in got) == [(0, 6.0), (7, 5.0)]
+
+
+def test_sale_terms_are_those_of_the_sales_list(spark):
+    plans = spark.createDataFrame(
+        [(1, 1, 3, "Current", None), (1, 1, 3, "Current", None), (2, 2, 3, "Ended", "ExcludeFromReport"), (3, 2, 3, "Deleted", None), (4, None, None, "Ended", "Other"), (None, 1, 3, "Ended", None)],
+        "id long, user_id long, payment_plan_id long, status string, cancel_reason string",
+    ).selectExpr("*", f"{TS} signed_date", f"{TS} start_date", f"{TS} end_date", "1L club_id", "1L discount_id", "1L discount_code_id", "1L card_token_id")
+    provider = c.FIRST_PAYMENT_PROVIDERS[0]
+    tx = spark.createDataFrame(
+        [(10, 1, provider, 5, 8), (9, 1, provider, 6, 8), (11, 4, provider, None, 7), (12, 2, provider, 5, 8), (13, None, provider, 5, 8)],
+        "id long, user_payment_plan_id long, provider_id int, gate_id long, employee_id long",
+    ).selectExpr("*", "id * 2 discount_amount", "id * 3 membership_fee", "1 join_fee", "1 total_amount", "1L discount_code_id", "1L discount_id", f"{TS} updated_at")
+    users = spark.createDataFrame([(1, "A", "B"), (1, "C", "D"), (2, "E", None)], "id long, name string, last_name string").selectExpr(
+        "*", "'p' phone", "'e' email", "DATE'2000-01-01' birthday", "'s' sex", "'x' sport_experience"
+    )
+    employees = spark.createDataFrame([(8, 1), (7, 2), (7, None)], "id long, user_id long")
+    gates = spark.createDataFrame([(6, "six"), (6, "six b"), (5, "five")], "id long, name string")
+    named = spark.createDataFrame([(1, "n", "c", 1), (3, "n", "c", 1)], "id long, name string, code string, city_id long").withColumn("payment_plan_type", F.lit("t"))
+    flows = spark.createDataFrame([(1, 1, 1), (1, 0, 1)], "first_id long, is_new int, is_inflow int")
+    sales = money.subscription_sales(plans, named, named, tx, flows, users, employees, named, named, gates, named, named, as_of=dt.datetime(2024, 1, 1))
+    terms = money.sale_terms(plans, tx, users, employees, gates)
+    want = sales.select(*terms.columns).distinct()
+    assert terms.dtypes == want.dtypes
+    got = {tuple(r) for r in terms.collect()}
+    assert got == {tuple(r) for r in want.collect()} and (1, 18, 27, "six b", "C", "D") in got
