@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from clubflow import config as c
 from clubflow.catalog.registry import Tables, query
+from clubflow.catalog.standins import KEY_SETS
 from clubflow.functions.dates import month_start
 from clubflow.functions.text import split_number
+from clubflow.operators.skew import measure
 from clubflow.plans import anomalies, campaign, cohorts, mobile, money, trainers, tree, visits
 from clubflow.session import materialize, new_table_path
 from clubflow.sources import load, receipts, watching
@@ -820,10 +822,9 @@ _MOBILE = f"""
 _MOBILE_TABLES = ("app_events", "users", "clubs", "plans", "inflow_plan_ids", "payment_plans")
 
 
-def _mobile(t: Tables):
-    return mobile.mobile_events(
-        *[getattr(t, n) for n in _MOBILE_TABLES], date_from=EVENTS_FROM.date(), date_to=EVENTS_TO.date(), as_of=NOW
-    )
+def _mobile(t: Tables, **given):
+    tables = [given.get(n, getattr(t, n)) for n in _MOBILE_TABLES]
+    return mobile.mobile_events(*tables, date_from=EVENTS_FROM.date(), date_to=EVENTS_TO.date(), as_of=NOW)
 
 
 @query(
@@ -877,7 +878,9 @@ _TRACKER = f"""
 
 
 def _tracker(t: Tables):
-    return mobile.tracker_users(t.postbacks, mobile.device_users(_mobile(t)))
+    clicks = materialize(mobile.tracker_clicks(t.postbacks))
+    events = mobile.clicked_events(t.app_events, clicks)
+    return mobile.users_of_clicks(clicks, mobile.device_users(_mobile(t, app_events=events)))
 
 
 @query(
@@ -945,11 +948,12 @@ _CAMPAIGN_TABLES = (
 
 
 def _purchases(t: Tables):
-    payments = materialize(campaign.campaign_payments(t.transactions))
+    payments = campaign.campaign_payments(t.transactions)
+    paid = materialize(campaign.campaign_plan_payments(payments, t.plans))
     return campaign.campaign_purchases(
         payments, t.plans, t.clubs, t.payment_plans, t.gates, t.users, t.employees, t.discounts,
         t.inflow_plan_ids, t.app_events, t.video_progress, t.videos, _tracker(t), start=CAMPAIGN_FROM,
-        large=t.large("transactions"),
+        large=measure(paid, KEY_SETS["transactions"]), paid=paid,
     )
 
 

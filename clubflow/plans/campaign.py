@@ -24,7 +24,7 @@ def staff_users(plans: DataFrame, employees: DataFrame) -> DataFrame:
 def campaign_payments(transactions: DataFrame) -> DataFrame:
     """The transactions that the campaign mart looks at, in one pass, with the roles they play.
 
-    Far fewer than all transactions: store them once and give them to ``campaign_purchases``, which reads them for each role.
+    ``campaign_purchases`` reads them for each role: the two larger roles need two or three columns.
     """
     roles = {
         "is_campaign": F.col("provider_id").isin(*c.CAMPAIGN_PROVIDERS),
@@ -41,6 +41,25 @@ def campaign_payments(transactions: DataFrame) -> DataFrame:
     )
 
 
+def campaign_plan_payments(payments: DataFrame, plans: DataFrame) -> DataFrame:
+    """Payments of campaign plans among the rows of ``campaign_payments``.
+
+    Few of many: store them and give them to ``campaign_purchases``, which needs them twice. The plans are the narrow side of
+    a hash join, so no task sorts all payments for them.
+    """
+    of_campaign = plans.where(F.col("payment_plan_id").isin(*c.CAMPAIGN_PLAN_IDS)).select(F.col("id").alias("user_payment_plan_id"))
+    return (
+        payments.where("is_campaign")
+        .select(
+            F.col("id").alias("transaction_id"),
+            F.col("updated_at").alias("transaction_date"),
+            F.col("created_at").alias("_created"),
+            "user_id", "user_payment_plan_id", "provider_id", "type", "total_amount", "discount_id", "gate_id",
+        )
+        .join(of_campaign.hint("shuffle_hash"), "user_payment_plan_id", "left_semi")
+    )
+
+
 def main_plan_by_day(
     plans: DataFrame,
     payments: DataFrame,
@@ -102,10 +121,12 @@ def campaign_purchases(
     start: dt.date = c.CAMPAIGN_START,
     shift: int = 3,
     large: KeyStatistics = NO_STATISTICS,
+    paid: DataFrame | None = None,
 ) -> DataFrame:
     """Purchases of campaign plans with everything known about the buyer.
 
-    ``payments`` are the rows of ``campaign_payments``. Large keys: ``payments.user``.
+    ``payments`` are the rows of ``campaign_payments``, ``paid`` those of ``campaign_plan_payments`` if they are stored.
+    Large keys: ``payments.user``.
     """
     plan = payment_plans.select(
         F.col("id").alias("payment_plan_id"), F.col("name").alias("payment_plan"), "payment_plan_type"
@@ -129,16 +150,7 @@ def campaign_purchases(
         .drop("club_id")
     )
     gate = gates.select(F.col("id").alias("gate_id"), F.col("name").alias("gate_name"))
-    paid = (
-        payments.where("is_campaign")
-        .select(
-            F.col("id").alias("transaction_id"),
-            F.col("updated_at").alias("transaction_date"),
-            F.col("created_at").alias("_created"),
-            "user_id", "user_payment_plan_id", "provider_id", "type", "total_amount", "discount_id", "gate_id",
-        )
-        .join(gate, "gate_id")
-    )
+    paid = (campaign_plan_payments(payments, plans) if paid is None else paid).join(gate, "gate_id")
     # the first payment of every campaign plan, with what is attributed to the plan through it
     first = (
         paid.join(campaign.select("user_payment_plan_id"), "user_payment_plan_id", "left_semi")
@@ -253,14 +265,19 @@ def _progress(history: DataFrame, shift: int) -> DataFrame:
     return history.groupBy(*facts, shift_hours(F.col("updated_at"), shift).alias("updated_at")).agg(F.max("version").alias("version"))
 
 
+def by_user_video(history: DataFrame, large: KeyStatistics = NO_STATISTICS) -> DataFrame:
+    """Progress rows dealt by user and video: one shuffle for versions, windows and sessions, unless a key is too large for a task."""
+    return history if large.of("progress.user_video") else history.repartition(*_KEYS)
+
+
 def session_spans(
     history: DataFrame, shift: int = 3, tails: DataFrame | None = None, large: KeyStatistics = NO_STATISTICS
 ) -> DataFrame:
     """All sessions of each user and video, numbered 1, 2, …, with what it takes to go on from them.
 
-    ``tails`` are the last sessions of users and videos so far. With them, ``history`` need only hold the progress rows
-    that have come since (each after its tail), and the result is those last sessions, continued, and the ones after
-    them. A tail takes part as one row that stands for its session. Large keys: ``progress.user_video``.
+    ``tails`` are the last sessions so far of users and videos in ``history``. With them, ``history`` need only hold the
+    progress rows that have come since (each after its tail), and the result is those last sessions, continued, and the ones
+    after them. A tail takes part as one row that stands for its session. Large keys: ``progress.user_video``.
     """
     clean = _progress(history, shift)
     rated = lambda name: F.when(F.col(name) != 0, F.col(name)).alias(name)
@@ -271,7 +288,7 @@ def session_spans(
     )
     if tails is not None:
         rows = rows.unionByName(
-            tails.join(clean.select(*_KEYS).distinct(), _KEYS, "left_semi").select(
+            tails.select(
                 *_KEYS, F.col("last_at").alias("updated_at"), F.col("last_version").alias("version"), F.col("last_id").alias("id"),
                 F.col("qty_rows").alias("rows"), "top_id", "seconds", "day", F.col("max_duration").alias("duration"),
                 "is_completed", "stars", "difficulty", "comment", F.col("session_number").alias("number"),
@@ -288,10 +305,9 @@ def session_spans(
     numbered = in_order(rows, _KEYS, _ORDER, steps, large.of("progress.user_video"))
     # the same second twice in a row is not watching time
     repeated = F.date_trunc("second", "_after") == F.date_trunc("second", "updated_at")
-    last = lambda name: F.max_by(name, F.struct(*_ORDER))
     # the first row of a session does not tell how long it was watched; a tail carries that of its session
     watched = F.when(F.col("number").isNotNull() | (F.col("_step") != 1), F.col("duration"))
-    return numbered.groupBy(*_KEYS, "session_number").agg(
+    spans = numbered.groupBy(*_KEYS, "session_number").agg(
         F.sum("rows").alias("qty_rows"),
         F.max("top_id").alias("top_id"),
         F.sum(F.when(repeated, F.col("seconds") - 1).otherwise(F.col("seconds"))).alias("seconds"),
@@ -301,10 +317,10 @@ def session_spans(
         F.max("stars").alias("stars"),
         F.max("difficulty").alias("difficulty"),
         F.max("comment").alias("comment"),
-        last("updated_at").alias("last_at"),
-        last("version").alias("last_version"),
-        last("id").alias("last_id"),
+        F.max(F.struct(*_ORDER)).alias("_last"),
     )
+    last = {"last_at": "updated_at", "last_version": "version", "last_id": "id"}
+    return spans.withColumns({n: F.col(f"_last.{at}") for n, at in last.items()}).drop("_last")
 
 
 def kept_sessions(spans: DataFrame) -> DataFrame:
@@ -331,7 +347,7 @@ def watch_sessions(history: DataFrame, shift: int = 3, large: KeyStatistics = NO
 
     Large keys: ``progress.user_video``.
     """
-    return kept_sessions(session_spans(history, shift, large=large))
+    return kept_sessions(session_spans(by_user_video(history, large), shift, large=large))
 
 
 def video_rewatch(watched: DataFrame, videos: DataFrame, purchases: DataFrame) -> DataFrame:

@@ -127,9 +127,9 @@ def device_users(events: DataFrame) -> DataFrame:
     )
 
 
-def tracker_users(postbacks: DataFrame, devices: DataFrame) -> DataFrame:
-    """Users behind the clicks of the campaign trackers."""
-    clicks = (
+def tracker_clicks(postbacks: DataFrame) -> DataFrame:
+    """Clicks of the campaign trackers with their device."""
+    return (
         postbacks.where(F.col("TrackerName").isin(*c.TRACKERS))
         .select(
             F.col("ClickDate").alias("click_date"),
@@ -137,6 +137,22 @@ def tracker_users(postbacks: DataFrame, devices: DataFrame) -> DataFrame:
         )
         .where(F.col("device_id") != "")
     )
+
+
+def clicked_events(events: DataFrame, clicks: DataFrame) -> DataFrame:
+    """All app events of the devices behind the clicks, so that no other event is parsed to find their users.
+
+    With stored ``clicks``, the rows of ``tracker_clicks``, Spark knows their size and sends few of them to the events.
+    """
+    return events.join(clicks.select(F.col("device_id").alias("DeviceID")), "DeviceID", "left_semi")
+
+
+def users_of_clicks(clicks: DataFrame, devices: DataFrame) -> DataFrame:
     owners = devices.where(F.col("user_id") != 0).select("device_id", "user_id").distinct()
     # rows without a user are not wanted, so the join is an inner one
     return clicks.join(owners, "device_id").select("click_date", "device_id", "user_id")
+
+
+def tracker_users(postbacks: DataFrame, devices: DataFrame) -> DataFrame:
+    """Users behind the clicks of the campaign trackers."""
+    return users_of_clicks(tracker_clicks(postbacks), devices)
